@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from quadrangle.llm.common import LOWER, UPPER, fold, table
 from quadrangle.llm.exact_dedup import exact_duplicates
+from quadrangle.llm.mixing import mix_sources
+from quadrangle.llm.ngram_join import ngram_components
 from quadrangle.llm.packing import pack_documents
 from quadrangle.llm.quality_classifier import fit_quality, score_quality
 from quadrangle.llm.token_counts import token_counts
@@ -20,6 +22,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     trees = fit_quality(docs, labels, learn_from=fold(F.col("doc_id"), 4) != 2)
@@ -30,7 +36,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), limit=512)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_exact_dedup, op7_quality_classifier, op9_token_counts)}
+def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_exact_dedup, op5_ngram_jaccard_join, op7_quality_classifier, op9_token_counts, op10_temperature_mixing)}
 
 ORACLES = {
     "op3_exact_dedup": f"""
