@@ -75,20 +75,6 @@ class Memory(dict):
         return [self[w] for w in words]
 
 
-@cache
-def library(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-def ids_by_library(path: str, words: list[str]) -> list[np.ndarray]:
-    return [np.asarray(e.ids, np.int32) for e in library(path).encode_batch(words, add_special_tokens=False)]
-
-
 @cache
 def merge_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbol of each byte; sorted keys of mergeable pairs, their ranks and the symbols they become."""

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrangle.llm.bpe import Memory, encoded, ids_by_library, pretokens, vocabulary_path
+from quadrangle.llm.bpe import SPECIAL, vocabulary_path
 from quadrangle.llm.common import materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -98,40 +99,49 @@ def pack_items(items: DataFrame, *, length: int = 1024, max_docs: int = 1024, ma
     return items.repartition(groups).mapInPandas(_packer(length, max_docs, cost, weights, score), PIECES + ", sequence_id long, offset long")
 
 
-def tokenized_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = 2, length: int = 1024) -> DataFrame:
-    """Rows of PIECES: token ids and end_id, cut into `length`-token pieces with the shorter piece first."""
-    path = vocabulary or vocabulary_path()
+@cache
+def _encoding(path: str, special: str, special_id: int):
+    """The published ranks in the tiktoken library; tests hold its ids against the tokenizers library's."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={special: special_id})
+
+
+def tokenized_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, special: tuple[str, int] = (SPECIAL, 50256), end_id: int = 2, length: int = 1024) -> DataFrame:
+    """Rows of PIECES: token ids and end_id, cut into `length`-token pieces with the shorter piece first.
+
+    The string of the special token inside a text is that token.
+    """
+    path = ranks or vocabulary_path("byte_bpe_50k.tiktoken")
     names = [p.split()[0] for p in PIECES.split(", ")]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = Memory()
+        encode = _encoding(path, *special).encode_to_numpy
         for batch in batches:
-            words, index, begins = encoded(batch)
-            ids = memory.known(words, lambda new: ids_by_library(path, new))
-            sizes = np.array([len(x) for x in ids], np.int64)
-            flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-            starts = np.cumsum(sizes) - sizes
             out: list[list] = [[] for _ in names]
-            for doc, a, b in zip(batch.column(0).to_pylist(), begins[:-1], begins[1:], strict=True):
-                of = index[a:b]
-                n, ends = sizes[of], np.cumsum(sizes[of])
-                total = int(ends[-1]) if len(ends) else 0
-                own = np.full(total + 1, end_id, "<u4")
-                own[:-1] = flat[np.repeat(starts[of] - (ends - n), n) + np.arange(total)]
-                edges = [0, *range(len(own) % length or length, len(own) + 1, length)] if len(own) > length else [0, len(own)]
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.append(encode(text, allowed_special="all"), end_id).astype("<u4")
+                first = len(own) % length or length
+                edges = [0, *range(first, len(own) + 1, length)]
                 for k, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                     for column, value in zip(out, (doc, k, s, e - s, zlib.crc32(own[s:e].tobytes())), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), *pretokens(F.col(text_col))).mapInArrow(cut, PIECES)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(cut, PIECES)
 
 
-def pack_documents(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = 2, length: int = 1024, **constraints) -> DataFrame:
+def pack_documents(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, end_id: int = 2, length: int = 1024, **constraints) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts are one piece of end_id alone. Repeated rows are packed
     as often as they occur. Other columns are ignored. `constraints` go to pack_items().
     """
-    pieces = materialize(tokenized_pieces(df, id_col=id_col, text_col=text_col, vocabulary=vocabulary, end_id=end_id, length=length), "pieces")
+    pieces = materialize(tokenized_pieces(df, id_col=id_col, text_col=text_col, ranks=ranks, end_id=end_id, length=length), "pieces")
     return pack_items(pieces, length=length, **constraints)
