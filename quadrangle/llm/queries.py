@@ -12,6 +12,7 @@ from quadrangle.llm.ngram_join import ngram_components
 from quadrangle.llm.packing import pack_documents
 from quadrangle.llm.quality_classifier import fit_quality, score_quality
 from quadrangle.llm.token_counts import token_counts
+from quadrangle.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op4_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels, learn_from=fold(F.col("doc_id"), 5) != 0)
+    return score_toxicity(docs, model, threshold=0.5).withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), n=5, percent=80)
 
@@ -40,7 +47,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_exact_dedup, op5_ngram_jaccard_join, op7_quality_classifier, op9_token_counts, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op7_quality_classifier, op9_token_counts, op10_temperature_mixing)}
 
 ORACLES = {
     "op3_exact_dedup": f"""
