@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrangle.llm.archives import archive_round_trip
 from quadrangle.llm.common import LOWER, UPPER, fold, table
 from quadrangle.llm.exact_dedup import exact_duplicates
 from quadrangle.llm.mixing import mix_sources
@@ -19,6 +20,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), length=1024)
 
 
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -47,9 +52,17 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op7_quality_classifier, op9_token_counts, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op7_quality_classifier, op9_token_counts, op10_temperature_mixing)}
 
 ORACLES = {
+    "op2_arc_to_warc": """
+        with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+        g as (select page_id, octet_length(payload) as payload_bytes, sha1(payload) as payload_digest,
+                     case when octet_length(payload) >= 1000 then max(page_id) over (partition by payload) else page_id end as first_id from p)
+        select page_id, payload_bytes, payload_digest, case when page_id = first_id then 'response' else 'revisit' end as record_type,
+               case when page_id <> first_id then first_id end as refers_to
+        from g
+    """,
     "op3_exact_dedup": f"""
         with d as (select doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as norm from documents)
         select doc_id, max(doc_id) over (partition by norm) as keep_id, count(*) over (partition by norm) as group_size,
