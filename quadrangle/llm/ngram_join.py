@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from quadrangle.llm.common import materialize, partitions
 from quadrangle.llm.components import components
 
-#: Words a worker remembers the hashes of.
-REMEMBERED = 1_000_000
+#: Words whose hashes a worker remembers, and classes it remembers to have sent.
+REMEMBERED = 100_000
 #: n-grams that meet in one task, in the mean.
 PER_RANGE = 2_000_000
 _ODD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -40,9 +40,9 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < REMEMBERED:
+            self[word] = h
         return h
 
 
@@ -89,9 +89,9 @@ def _send(n: int, ranges: int):
         hashes, sent = _Hashes(), set()
         bounds = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
         for whole in batches:
-            for at in range(0, len(whole), 8192):  # places fit in 16 bits
+            for at in range(0, len(whole), 4096):  # places fit in 16 bits
                 sids, sets = [], []
-                for text in _texts(whole.slice(at, 8192)):
+                for text in _texts(whole.slice(at, 4096)):
                     grams = ngram_set(text, n, hashes)
                     if len(grams) and (sid := _class_of(grams)) not in sent:
                         sent.add(sid)
