@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quadrangle.llm.common import materialize
 from quadrangle.llm.gbt import logistic
 from quadrangle.llm.quality_classifier import training_sample
 
@@ -38,28 +39,18 @@ class ToxicityModel:
     level: int = 9
 
 
+def _words(text: bytes) -> set[bytes]:
+    return {w[:64].strip(_EDGES) for w in text.lower().split()}
+
+
 def _fragments(words: set[bytes], shortest: int, longest: int) -> set[bytes]:
     return {w[:k] for w in words for k in range(shortest, min(len(w), longest) + 1)}
 
 
-def dictionaries(docs: list[tuple[set[bytes], int]], *, common_bytes: int = 6000, shortest: int = 4, longest: int = 12, ratio: float = 20.0, least: int = 3, cover: int = 3) -> tuple[bytes, bytes]:
-    """Contents of the toxic and the ordinary dictionary, from (distinct words, label) of documents.
-
-    Toxic fragments are beginnings of words that `ratio` times as large a share
-    of toxic as of ordinary documents have; the fewest are taken that give each
-    toxic document `cover` of them, as far as there are.
-    """
-    n = Counter(y for _, y in docs)
-    plain: Counter = Counter()
-    seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    bare = [({w.strip(_EDGES) for w in words}, y) for words, y in docs]
-    for words, y in bare:
-        seen[y].update(_fragments(words, shortest, longest))
-        if not y:
-            plain.update(words)
-    pool = {g for g, k in seen[1].items() if k >= least and (k + 0.5) / (n[1] + 1) >= ratio * (seen[0][g] + 0.5) / (n[0] + 1)}
+def cover_fragments(documents: list[set[bytes]], *, least: int, cover: int) -> list[bytes]:
+    """The fewest fragments, greedily, that give each document `cover` of its own; each is in `least` documents at least."""
     chosen: list[bytes] = []
-    short = [[f, cover] for f in (_fragments(words, shortest, longest) & pool for words, y in bare if y) if f]
+    short = [[f, cover] for f in documents if f]
     while short:
         count = Counter(g for f, _ in short for g in f)
         most = max(count.values(), default=0)
@@ -72,12 +63,48 @@ def dictionaries(docs: list[tuple[set[bytes], int]], *, common_bytes: int = 6000
                 x[1] -= 1
                 x[0] = {g for g in x[0] if not (g.startswith(best) or best.startswith(g))}
         short = [x for x in short if x[1] > 0 and x[0]]
-    ranked = [w for w, _ in sorted(plain.items(), key=lambda x: (-x[1], x[0])) if len(w) >= shortest]
+    return chosen
+
+
+def dictionaries(rows: DataFrame, *, common_bytes: int = 6000, shortest: int = 4, longest: int = 12, ratio: float = 20.0, least: int = 3, cover: int = 3) -> tuple[bytes, bytes]:
+    """Contents of the toxic and the ordinary dictionary, from rows (label, text).
+
+    Toxic fragments are beginnings of words that `ratio` times as large a share
+    of toxic as of ordinary documents have. Documents are counted on the
+    executors; the fragments that pass, and the commonest words, reach the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            toxic, ordinary, plain = Counter(), Counter(), Counter()
+            for label, text in zip(batch.column(0).to_pylist(), _texts(batch), strict=True):
+                words = _words(text)
+                (toxic if label else ordinary).update(_fragments(words, shortest, longest))
+                if not label:
+                    plain.update(w for w in words if len(w) >= shortest)
+            grams = sorted({*toxic, *ordinary})
+            for k in range(0, len(grams), 50_000):
+                g = grams[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([False] * len(g)), pa.array(g, pa.binary()), pa.array([toxic[x] for x in g], pa.int64()), pa.array([ordinary[x] for x in g], pa.int64())], names=["word", "gram", "toxic", "ordinary"])
+            yield pa.RecordBatch.from_arrays([pa.array([True] * len(plain)), pa.array(list(plain), pa.binary()), pa.array([0] * len(plain), pa.int64()), pa.array(list(plain.values()), pa.int64())], names=["word", "gram", "toxic", "ordinary"])
+
+    n = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    counts = materialize(rows.mapInArrow(count, "word boolean, gram binary, toxic long, ordinary long").groupBy("word", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "fragments")
+    share = (F.col("toxic") + 0.5) / (n.get(1, 0) + 1) >= ratio * (F.col("ordinary") + 0.5) / (n.get(0, 0) + 1)
+    pool = {bytes(r.gram) for r in counts.where(~F.col("word") & (F.col("toxic") >= least) & share).select("gram").collect()}
+    ranked = [bytes(r.gram) for r in counts.where("word").orderBy(F.desc("ordinary"), "gram").limit(common_bytes).select("gram").collect()]
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(_fragments(_words(t), shortest, longest) & pool) for t in _texts(batch)], pa.list_(pa.binary()))], names=["own"])
+
+    documents = sorted(sorted(map(bytes, r.own)) for r in rows.where("label = 1").mapInArrow(own, "own array<binary>").collect())
+    marks = b" " + b" ".join(cover_fragments([set(d) for d in documents], least=least, cover=cover))
     common, size = [], 0
     while len(common) < len(ranked) and size < common_bytes:
         size += len(ranked[len(common)]) + 1
         common.append(ranked[len(common)])
-    base, marks = b" " + b" ".join(common), b" " + b" ".join(chosen)
+    base = b" " + b" ".join(common)
     rest = b" " + b" ".join(ranked[len(common) : len(common) + len(marks)])
     return marks + base, rest[: len(marks)] + base
 
@@ -113,18 +140,12 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def fit_toxicity(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn_from: Column | None = None, sample: int = 12_000, level: int = 9, **parameters) -> ToxicityModel:
-    """Learns from at most about `sample` labelled documents; their distinct words reach the driver. parameters go to dictionaries().
+    """Learns from at most about `sample` labelled documents. parameters go to dictionaries().
 
     Without documents of both labels the score is a constant.
     """
-    rows = training_sample(df, labels, id_col=id_col, text_col=text_col, label_col=label_col, learn_from=learn_from, sample=sample)
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b" ".join(sorted({x[:64] for x in t.lower().split()})) for t in _texts(batch)], pa.binary())], names=["label", "words"])
-
-    docs = sorted((bytes(r.words), r.label) for r in rows.mapInArrow(distinct, "label int, words binary").collect())
-    toxic, ordinary = dictionaries([(set(w.split()), y) for w, y in docs], **parameters)
+    rows = materialize(training_sample(df, labels, id_col=id_col, text_col=text_col, label_col=label_col, learn_from=learn_from, sample=sample), "toxicity-sample")
+    toxic, ordinary = dictionaries(rows, **parameters)
     model = ToxicityModel(toxic, ordinary, np.zeros(0), level)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
