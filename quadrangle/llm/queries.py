@@ -12,6 +12,7 @@ from quadrangle.llm.mixing import mix_sources
 from quadrangle.llm.ngram_join import ngram_components
 from quadrangle.llm.packing import pack_documents
 from quadrangle.llm.quality_classifier import fit_quality, score_quality
+from quadrangle.llm.quality_rules import fit_rules, judge
 from quadrangle.llm.token_counts import token_counts
 from quadrangle.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -38,6 +39,11 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), n=5, percent=80)
 
 
+def op6_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return judge(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     trees = fit_quality(docs, labels, learn_from=fold(F.col("doc_id"), 4) != 2)
@@ -52,7 +58,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op7_quality_classifier, op9_token_counts, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op9_token_counts, op10_temperature_mixing)}
 
 ORACLES = {
     "op2_arc_to_warc": """
