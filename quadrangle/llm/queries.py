@@ -11,6 +11,7 @@ from quadrangle.llm.exact_dedup import exact_duplicates
 from quadrangle.llm.mixing import mix_sources
 from quadrangle.llm.ngram_join import ngram_components
 from quadrangle.llm.packing import pack_documents
+from quadrangle.llm.personal_data import find_personal_data, fit_judge
 from quadrangle.llm.quality_classifier import fit_quality, score_quality
 from quadrangle.llm.quality_rules import fit_rules, judge
 from quadrangle.llm.token_counts import token_counts
@@ -50,6 +51,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, trees, threshold=0.7).withColumn("held_out", fold(F.col("doc_id"), 4) == 2)
 
 
+def op8_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return find_personal_data(docs, fit_judge(docs)).drop("found")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), limit=512)
 
@@ -58,7 +64,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op9_token_counts, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op8_boosted_pii, op9_token_counts, op10_temperature_mixing)}
 
 ORACLES = {
     "op2_arc_to_warc": """
