@@ -33,6 +33,10 @@ from quadrangle.llm.components import components
 REMEMBERED = 100_000
 #: n-grams that meet in one task, in the mean.
 PER_RANGE = 2_000_000
+#: Texts that are sent together; places among them fit in 16 bits.
+SLICE = 2048
+#: Parts of a range that are sorted one after another.
+PARTS = 4
 _ODD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -76,8 +80,13 @@ def _measure(n: int):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            sets = [ngram_set(t, n, hashes) for t in _texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_class_of(s) for s in sets], pa.int64())], names=["id", "n", "sid"])
+            sizes, sids = [], []
+            for at in range(0, len(batch), SLICE):
+                for text in _texts(batch.slice(at, SLICE)):
+                    grams = ngram_set(text, n, hashes)
+                    sizes.append(len(grams))
+                    sids.append(_class_of(grams))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64())], names=["id", "n", "sid"])
 
     return measure
 
@@ -89,9 +98,9 @@ def _send(n: int, ranges: int):
         hashes, sent = _Hashes(), set()
         bounds = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
         for whole in batches:
-            for at in range(0, len(whole), 4096):  # places fit in 16 bits
+            for at in range(0, len(whole), SLICE):
                 sids, sets = [], []
-                for text in _texts(whole.slice(at, 4096)):
+                for text in _texts(whole.slice(at, SLICE)):
                     grams = ngram_set(text, n, hashes)
                     if len(grams) and (sid := _class_of(grams)) not in sent:
                         sent.add(sid)
@@ -121,6 +130,15 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of ranges that come one after another: (sid, h, df) of the n-grams that two classes or more have."""
 
     def done(hs: list, ss: list) -> Iterator[pa.RecordBatch]:
+        """Each pair of arrays is sorted by hash: cutting all at the same hashes keeps equal ones together."""
+        low, high = int(min(h[0] for h in hs)), int(max(h[-1] for h in hs))
+        bounds = np.array([low + (high - low) * k // PARTS for k in range(1, PARTS)], np.uint64)
+        cuts = [[0, *np.searchsorted(h, bounds), len(h)] for h in hs]
+        for k in range(PARTS):
+            if any(c[k] < c[k + 1] for c in cuts):
+                yield from part([h[c[k] : c[k + 1]] for h, c in zip(hs, cuts, strict=True)], [s[c[k] : c[k + 1]] for s, c in zip(ss, cuts, strict=True)])
+
+    def part(hs: list, ss: list) -> Iterator[pa.RecordBatch]:
         h, s = np.concatenate(hs), np.concatenate(ss)
         order = np.lexsort((s, h))
         h, s = h[order], s[order]
