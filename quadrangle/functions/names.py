@@ -52,4 +52,5 @@ def rename_mangled_columns(df: DataFrame, overrides: dict[str, str] | None = Non
 def rename_student_id(df: DataFrame) -> DataFrame:
     """study_id, else student_guid, becomes student_id; always a string."""
     old = next((c for c in ("study_id", "student_guid") if c in df.columns), "student_id")
-    return df.withColumnRenamed(old, "student_id").withColumn("student_id", df[old].cast("string"))
+    renamed = df.withColumnRenamed(old, "student_id")
+    return renamed.withColumn("student_id", renamed["student_id"].cast("string"))
