@@ -128,7 +128,7 @@ def low_variance_features(df: DataFrame, threshold: float = 0.0) -> list[str]:
     for k, c in enumerate(df.columns):
         x = F.col(f"`{c}`")
         if kinds[c] in NUMBERS:
-            aggs += [F.var_pop(x).alias(f"v{k}"), F.count_if(F.abs(x.cast("double")) == float("inf")).alias(f"i{k}")]
+            aggs += [F.when(F.min(x) == F.max(x), 0.0).otherwise(F.var_pop(x)).alias(f"v{k}"), F.count_if(F.abs(x.cast("double")) == float("inf")).alias(f"i{k}")]
         else:
             aggs.append(F.countDistinct(x).alias(f"d{k}"))
     got = df.agg(*aggs).first()
