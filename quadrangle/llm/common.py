@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once an application: they need not find it on their own path."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        path = Path(tempfile.mkdtemp(prefix="quadrangle-")) / "quadrangle.zip"  # on the driver; Spark serves it to the executors
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        context.addPyFile(str(path))
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -48,10 +66,3 @@ def fold(doc_id: Column, modulus: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]) -> Column:
-    cond = F.lit(True)
-    for a, b in keys:
-        cond = cond & left[a].eqNullSafe(right[b])
-    return cond
