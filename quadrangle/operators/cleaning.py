@@ -32,7 +32,7 @@ LABELED_DROPS += ["years_of_last_enrollment_at_cohort_institution", "years_of_la
 def drop_columns_safely(df: DataFrame, columns: list[str]) -> DataFrame:
     missing = sorted(set(columns) - set(df.columns))
     if missing:
-        LOG.warning("no such columns to drop: %s", missing)
+        LOG.info("no such columns to drop: %s", missing)
     return df.drop(*columns)
 
 
