@@ -66,11 +66,12 @@ def cover_fragments(documents: list[set[bytes]], *, least: int, cover: int) -> l
     return chosen
 
 
-def dictionaries(rows: DataFrame, *, common_bytes: int = 6000, shortest: int = 4, longest: int = 12, ratio: float = 20.0, least: int = 3, cover: int = 3) -> tuple[bytes, bytes]:
+def dictionaries(rows: DataFrame, *, common_bytes: int = 6000, shortest: int = 4, longest: int = 12, ratio: float = 20.0, least: int = 3, least_share: float = 0.01, cover: int = 3) -> tuple[bytes, bytes]:
     """Contents of the toxic and the ordinary dictionary, from rows (label, text).
 
     Toxic fragments are beginnings of words that `ratio` times as large a share
-    of toxic as of ordinary documents have. Documents are counted on the
+    of toxic as of ordinary documents have, and at least `least` and
+    `least_share` of the toxic ones. Documents are counted on the
     executors; the fragments that pass, and the commonest words, reach the driver.
     """
 
@@ -89,6 +90,7 @@ def dictionaries(rows: DataFrame, *, common_bytes: int = 6000, shortest: int = 4
             yield pa.RecordBatch.from_arrays([pa.array([True] * len(plain)), pa.array(list(plain), pa.binary()), pa.array([0] * len(plain), pa.int64()), pa.array(list(plain.values()), pa.int64())], names=["word", "gram", "toxic", "ordinary"])
 
     n = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    least = max(least, round(least_share * n.get(1, 0)))
     counts = materialize(rows.mapInArrow(count, "word boolean, gram binary, toxic long, ordinary long").groupBy("word", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "fragments")
     share = (F.col("toxic") + 0.5) / (n.get(1, 0) + 1) >= ratio * (F.col("ordinary") + 0.5) / (n.get(0, 0) + 1)
     pool = {bytes(r.gram) for r in counts.where(~F.col("word") & (F.col("toxic") >= least) & share).select("gram").collect()}
@@ -106,7 +108,8 @@ def dictionaries(rows: DataFrame, *, common_bytes: int = 6000, shortest: int = 4
         common.append(ranked[len(common)])
     base = b" " + b" ".join(common)
     rest = b" " + b" ".join(ranked[len(common) : len(common) + len(marks)])
-    return marks + base, rest[: len(marks)] + base
+    # Both end alike, and begin with as many bytes: the common words are equally far in both.
+    return marks + base, rest[: len(marks)].ljust(len(marks)) + base
 
 
 def windows(text: bytes) -> list[bytes]:
