@@ -306,7 +306,7 @@ def _(v: Views) -> DataFrame:
 
 
 def labeled(v: Views) -> DataFrame:
-    d = v.cum()
+    d = readers.read_table(v.spark, writers.scratch_parquet(v.cum()), format="parquet")  # read three times below
     rows = selection.first_terms(d).join(selection.select_students(v.cohort(), enrollment_type=["FIRST-TIME", "RE-ADMIT"]).select("student_id"), "student_id", "left_semi")
     return rows.join(targets.target_credits(d, selection.first_terms(d), LIMITS, min_credits=30), "student_id")
 
