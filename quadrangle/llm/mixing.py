@@ -7,8 +7,8 @@ than a limit. A source's quota is its weight times the token budget: so many
 whole passes, then whole blocks of its documents in a permuted order, and of the
 last block the documents that the quota still holds.
 
-Documents are dealt to blocks by a hash, so blocks are even however large a
-source is; running totals go over blocks first, in two levels, and only inside
+Documents are dealt to blocks by a hash of id and text, so blocks are even
+however large a source is and however many rows share an id; running totals go over blocks first, in two levels, and only inside
 one block over documents.
 """
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadrangle.llm.common import WORD, materialize
@@ -89,10 +89,18 @@ def mix_sources(df: DataFrame, *, id_col: str = "doc_id", source_col: str = "sou
     with whole passes, and with a partial one where their block does. Repeated
     rows count as often as they occur. A partial pass never exceeds its quota.
     Other columns are ignored. More than max_sources sources are an error: the
-    table of sources is solved on the driver.
+    table of sources is solved on the driver. Copies of one id and text that
+    would overfill a block are dealt over several, by their place in the input.
     """
+    found = _mix(df, F.monotonically_increasing_id(), id_col, source_col, text_col, token_col, target_entropy, max_repeats, budget, block_docs, seed, max_sources)
+    return found.select(F.col("id").alias(id_col), F.col("source").alias(source_col), F.col("n").alias("n_tokens"), "exponent", "weight", F.col("pass").cast("int").alias("pass"), "block", F.col("place").cast("int").alias("place"))
+
+
+def _mix(df: DataFrame, row: Column, id_col: str, source_col: str, text_col: str, token_col: str | None, target_entropy: float | None, max_repeats: float | None, budget: int | None, block_docs: int, seed: int, max_sources: int) -> DataFrame:
+    """One row per input row and pass, with `row`, which tells input rows apart."""
     count = F.col(token_col) if token_col else F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD))
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), F.coalesce(count, F.lit(0)).cast("long").alias("n"))
+    content = F.xxhash64(text_col) if text_col in df.columns else F.lit(0).cast("long")
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), F.coalesce(count, F.lit(0)).cast("long").alias("n"), content.alias("h"), row.alias("row"))
     docs = materialize(docs, "mixing-docs")
     rows = docs.groupBy("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs")).limit(max_sources + 1).collect()
     if len(rows) > max_sources:
@@ -106,10 +114,17 @@ def mix_sources(df: DataFrame, *, id_col: str = "doc_id", source_col: str = "sou
     kind = df.schema[source_col].dataType.simpleString()
     plans = df.sparkSession.createDataFrame(plan, f"source {kind}, exponent double, weight double, passes long, rest long, blocks long")
     d = docs.join(F.broadcast(plans), docs["source"].eqNullSafe(plans["source"])).drop(plans["source"])  # at most max_sources rows
-    d = d.withColumn("block_id", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")))
-
-    def order(what: str, by: str):
-        return F.xxhash64(F.col(what), F.lit(seed), F.col(by))
+    # At most one group for each block_docs rows, and none in most tables.
+    copies = materialize(docs.groupBy("source", "id", "h").count().where(F.col("count") > block_docs), "mixing-copies")
+    part = F.lit(0).cast("long")
+    if not copies.isEmpty():
+        same = [d[c].eqNullSafe(copies[c]) for c in ("source", "id", "h")]
+        d = d.join(copies, same, "left").drop(copies["source"], copies["id"], copies["h"])
+        part = F.coalesce(F.pmod(F.xxhash64("row"), F.ceil(F.col("count") / block_docs)), part)
+    d = d.withColumn("block_id", F.pmod(F.xxhash64("id", "h", part, F.lit(seed)), F.col("blocks"))).drop("count")
+
+    def order(*what: str):
+        return F.xxhash64(*what[:-1], F.lit(seed), F.col(what[-1]))
 
     whole = d.where("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)))
     partial = d.where("rest > 0").withColumn("pass", F.col("passes"))
@@ -131,14 +146,16 @@ def mix_sources(df: DataFrame, *, id_col: str = "doc_id", source_col: str = "sou
     placed = placed.where(F.col("all") | (F.col("start") < F.col("rest"))).select("source", "pass", "block_id", "block", "start")
 
     found = every.join(placed, [every["source"].eqNullSafe(placed["source"]), every["pass"] == placed["pass"], every["block_id"] == placed["block_id"]]).drop(placed["source"], placed["pass"], placed["block_id"])
-    within = Window.partitionBy("source", "pass", "block_id").orderBy(order("id", "pass"), "id", "n")
+    within = Window.partitionBy("source", "pass", "block_id").orderBy(order("id", "h", "pass"), "id", "h", "n", "row")
     found = found.withColumn("place", F.row_number().over(within) - 1).withColumn("end", F.col("start") + F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)))
     found = found.where(F.col("all") | (F.col("end") <= F.col("rest")))
-    return found.select(F.col("id").alias(id_col), F.col("source").alias(source_col), F.col("n").alias("n_tokens"), "exponent", "weight", F.col("pass").cast("int").alias("pass"), "block", F.col("place").cast("int").alias("place"))
+    return found.select("row", "id", "source", "n", "exponent", "weight", "pass", "block", "place")
 
 
-def mixed_rows(df: DataFrame, *, id_col: str = "doc_id", **parameters) -> DataFrame:
-    """The rows of df, with all their columns, as often as mix_sources() takes them. Ids must be unique; null ids count as one id."""
-    times = mix_sources(df, id_col=id_col, **parameters).groupBy(id_col).agg(F.count("*").cast("int").alias("__times")).withColumnRenamed(id_col, "__mixed_id")
-    out = df.join(times, F.col(id_col).cast("long").eqNullSafe(F.col("__mixed_id")))
-    return out.withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[out[c] for c in df.columns])
+def mixed_rows(df: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", token_col: str | None = None, target_entropy: float | None = None, max_repeats: float | None = 2.0, budget: int | None = None, block_docs: int = 256, seed: int = 1, max_sources: int = 100_000) -> DataFrame:
+    """The rows of df, with all their columns, as often as mix_sources() takes them: each row by itself, whether or not others share its id."""
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "mixing-rows")  # written, so that the keys stay
+    found = _mix(rows, F.col("__row"), id_col, source_col, text_col, token_col, target_entropy, max_repeats, budget, block_docs, seed, max_sources)
+    times = found.groupBy(F.col("row").alias("__row")).agg(F.count("*").cast("int").alias("__times"))
+    out = rows.join(times, "__row")
+    return out.withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[rows[c] for c in df.columns])

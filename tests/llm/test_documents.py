@@ -194,3 +194,19 @@ def test_empty_table(spark, operator):
 
 def test_awkward_rows_mix(spark):
     assert mix_sources(frame(spark)).where(F.col("pass") == 0).count() == len(documents())
+
+
+def test_mixed_rows_of_null_and_repeated_ids(spark):
+    """Each row counts by itself: once at least, and as often as mix_sources takes it, however many rows share its id."""
+    rows = documents() + [(None, f"null id {k}") for k in range(40)] + [(3, f"other text {k}") for k in range(5)] + [(77, "same")] * 30
+    df = frame(spark, rows)
+    out = Counter((r.doc_id, r.text) for r in mixed_rows(df, max_repeats=2.0).collect())
+    have = Counter(rows)
+    assert set(out) == set(have) and all(have[k] <= out[k] <= 3 * have[k] for k in have)
+    assert sum(out.values()) == mix_sources(df, max_repeats=2.0).count()
+
+
+def test_no_id_overfills_a_block(spark):
+    rows = [(None, f"text {k}", "a") for k in range(500)] + [(7, "same", "a")] * 500
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_docs=50).collect()
+    assert len(got) == 1000 and max(Counter((r.doc_id, r.block) for r in got).values()) <= 200
