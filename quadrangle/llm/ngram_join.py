@@ -86,7 +86,8 @@ def _measure(n: int):
                     grams = ngram_set(text, n, hashes)
                     sizes.append(len(grams))
                     sids.append(_class_of(grams))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64())], names=["id", "n", "sid"])
+            own = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64())], names=[*own, "n", "sid"])
 
     return measure
 
@@ -228,10 +229,21 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ignored. `enough`: rounds of hubs end when the pairs left to test number at
     most this many times the prefix entries, or when a round links nothing.
     """
-    spark, p = df.sparkSession, partitions(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     members = materialize(docs.mapInArrow(_measure(n), "id long, n long, sid long"), "members")
-    classes = members.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.min("id").alias("first_id"))
+    owned = _roots(docs, members, F.min("id"), n, percent, fragments, enough)
+    smallest = owned.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = owned.join(smallest, "root").select("sid", "component_id")
+    # A class may have a third of all rows: an equi-join whose large partitions Spark splits.
+    out = members.where("n > 0").join(named, "sid").select("id", "n", "component_id")
+    out = out.union(members.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent: int, fragments: int, enough: int) -> DataFrame:
+    """(sid, n, first, root) of each class of docs (id, text): `first` is that aggregate of its members (id, n, sid), root names its component."""
+    spark, p = docs.sparkSession, partitions(docs.sparkSession)
+    classes = members.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), first.alias("first"))
 
     grams = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(p, -(-grams // PER_RANGE))
@@ -276,17 +288,19 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             break
         step += 1
 
-    owned = classes.withColumn("root", F.col("sid")) if labels is None else classes.join(labels, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    smallest = owned.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = owned.join(smallest, "root").select("sid", "component_id")
-    # A class may have a third of all rows: an equi-join whose large partitions Spark splits.
-    out = members.where("n > 0").join(named, "sid").select("id", "n", "component_id")
-    out = out.union(members.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    return classes.withColumn("root", F.col("sid")) if labels is None else classes.join(labels, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+
 
+def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, fragments: int = 4, enough: int = 4) -> DataFrame:
+    """The rows of df, with all their columns, that stay when one row of each component of ngram_components() does.
 
-def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", **parameters) -> DataFrame:
-    """The rows of df, with all their columns, that have their component's smallest id."""
-    out = ngram_components(df, id_col=id_col, **parameters)
-    kept = out.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__kept_id"))
-    return df.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    It is a row with the component's smallest id; null ids win only where there
+    is no other. Of rows that repeat this id one stays. Null and empty texts
+    are no near copies of anything: all their rows stay.
+    """
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "near-rows")  # written, so that the keys stay
+    docs = rows.select(F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    members = materialize(docs.mapInArrow(_measure(n), "id long, row long, n long, sid long"), "members")
+    owned = _roots(docs.select("id", "text"), members, F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "sid", "row")), n, percent, fragments, enough)
+    kept = owned.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
+    return rows.join(kept.union(members.where("n = 0").select("row")), "__row", "left_semi").drop("__row")

@@ -210,3 +210,27 @@ def test_no_id_overfills_a_block(spark):
     rows = [(None, f"text {k}", "a") for k in range(500)] + [(7, "same", "a")] * 500
     got = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_docs=50).collect()
     assert len(got) == 1000 and max(Counter((r.doc_id, r.block) for r in got).values()) <= 200
+
+
+def test_drop_near_duplicates_of_null_and_repeated_ids(spark):
+    """One row of each component, with its smallest id, and every row without words: on all rows, and with null and repeated ids on both sides of a link."""
+    near = " ".join(f"k{k}" for k in range(60))
+    rows = documents() + [(None, near), (None, f"{near} tail"), (-5, "stands alone"), (-5, f"{near} end"), (-5, f"{near} tail"), (None, None), (None, ""), (None, "null id alone"), (None, "null id alone")]
+    out = [(r.doc_id, r.text) for r in drop_near_duplicates(frame(spark, rows)).collect()]
+    assert not Counter(out) - Counter(rows)
+    parts, label = defaultdict(list), _labels(rows)
+    for k, (i, t) in enumerate(rows):
+        parts[label[k]].append((i, t))
+    blank = [p[0] for p in parts.values() if not (p[0][1] or "").strip()]
+    assert ordered(r for r in out if not (r[1] or "").strip()) == ordered(blank)
+    left = Counter(out)
+    for p in parts.values():
+        known = [i for i, _ in p if i is not None]
+        stays = [r for r in set(p) if left[r]]
+        assert len(stays) == 1 and stays[0][0] == (min(known) if known else None)
+    assert len(out) == len(parts)
+
+
+def _labels(rows) -> list[int]:
+    """The first row of each row's component; each row stands for itself under an id of its own."""
+    return [c for _, _, c in components([(k, t) for k, (_, t) in enumerate(rows)])]
