@@ -1,11 +1,13 @@
 """Personal data: base patterns, and candidates judged by boosted trees, all in column expressions.
 
-Base spans come from fixed patterns. Wider patterns then propose overlapping
-candidates of every kind; boosted trees look at their format and at what stands
-around them. The trees learn from candidates that a base span confirms against
-those that none does, on a bounded sample of documents; per kind the threshold
-is the lowest at which, on candidates kept aside, nearly all that pass are
-confirmed. Candidates that pass and touch no base span are added.
+Base spans come from fixed patterns. A wider pattern for each kind then proposes
+candidates in the text without its base spans; boosted trees look at their
+format and at what stands around them. The trees learn from base spans of a
+bounded sample of documents, rewritten where they stand into forms that the base
+patterns don't know, against decoys (digits that fail Luhn's check, dates,
+prices, octets over 255) in the same places; per kind the threshold is the
+lowest at which, on spans kept aside, nearly all that pass are true. Candidates
+that pass are added.
 
 Patterns are written without repeated groups: Java's matcher recurses on those,
 and very long texts would exhaust the stack. Starts inside a run are ruled out,
@@ -17,10 +19,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadrangle.llm import gbt
+from quadrangle.llm.common import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -35,10 +38,15 @@ OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]
 
 #: High-recall generators, bounded in length.
 _AT, _DOT = r"(?:@|[\[({<]\x20?at\x20?[\])}>])", r"(?:\.|[\[({<]\x20?dot\x20?[\])}>])"
-WIDE_EMAIL = rf"(?i)(?<!{_LOCAL}){_LOCAL}{{1,64}}\x20?{_AT}\x20?[a-z0-9-]{{1,63}}(?:\x20?{_DOT}\x20?[a-z0-9-]{{1,63}}){{1,5}}"
-WIDE_NUMBER = r"(?<![0-9A-Za-z])[+(]?[0-9][0-9().\x20/-]{6,30}[0-9](?![0-9A-Za-z])"
+HIDDEN = "\ufffc"
+_OPEN, _CLOSE = rf"(?<![0-9A-Za-z{HIDDEN}])", rf"(?![0-9A-Za-z{HIDDEN}])"
+_POINT = r"(?:\.|\x20\.\x20|\x20?[\[({<]\x20?(?:\.|dot)\x20?[\])}>]\x20?)"
+WIDE_EMAIL = rf"(?i)(?<!{_LOCAL}|{HIDDEN}){_LOCAL}{{1,64}}\x20?{_AT}\x20?[a-z0-9-]{{1,63}}(?:\x20?{_DOT}\x20?[a-z0-9-]{{1,63}}){{1,5}}"
+WIDE_IP = rf"(?i){_OPEN}[0-9]{{1,3}}{_POINT}[0-9]{{1,3}}{_POINT}[0-9]{{1,3}}{_POINT}[0-9]{{1,3}}{_CLOSE}"
+WIDE_CARD = rf"{_OPEN}[0-9](?:[\x20./-]?[0-9]){{12,18}}{_CLOSE}"
+WIDE_PHONE = rf"{_OPEN}[+(]?[0-9](?:[().\x20/-]{{0,2}}[0-9]){{6,14}}{_CLOSE}"
 _NEAR = {"email": r"(?i)mail|contact|write", "ip": r"(?i)\bip\b|host|server|addr", "card": r"(?i)card|visa|credit|kart|tarjeta|carte", "phone": r"(?i)tel|phone|call|fax|mobil"}
-FEATURES = ["kind", "length", "digits", "groups", "longest", "dots", "spaces", "hyphens", "parens", "slashes", "luhn", "octets", "plus", "named", "after_mark"]
+FEATURES = ["kind", "length", "digits", "groups", "longest", "dots", "spaces", "hyphens", "parens", "slashes", "brackets", "luhn", "octets", "plus", "zeros", "letters", "joined", "named", "after_mark"]
 _SPAN = "array<struct<start:int,end:int,text:string>>"
 
 
@@ -106,38 +114,104 @@ def _touches(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def _hidden(text: Column, found: Column) -> Column:
+    """The text with the characters of these spans, sorted by start, replaced one by one."""
+
+    def step(acc: Column, x: Column) -> Column:
+        start, end = F.greatest(acc["at"], x["start"]), F.greatest(acc["at"], x["end"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.substr(text, acc["at"] + 1, start - acc["at"]), F.repeat(F.lit(HIDDEN), end - start)).alias("out"))
+
+    whole = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(found) > 0, whole).otherwise(text)
+
+
 def candidates(base: DataFrame) -> DataFrame:
-    """base with an array `proposed` of (start, end, kind, base, confirmed, features in FEATURES)."""
-    t = F.col("text")
-    mails = F.when(t.rlike(r"(?i)@|[\[({<]\x20?at\x20?[\])}>]"), spans(t, WIDE_EMAIL)).otherwise(_none())
-    numbers = F.when(t.rlike(r"[0-9][0-9().\x20/-]{6}"), spans(t, WIDE_NUMBER)).otherwise(_none())
-    d = base.withColumn("mails", mails).withColumn("numbers", numbers)
+    """base with an array `proposed` of (start, end, kind, features in FEATURES), none of which touches a base span."""
+    t, rest = F.col("text"), F.col("rest")
+    d = base.withColumn("rest", _hidden(t, F.array_sort(F.concat(*KINDS))))
+    digits = rest.rlike(r"[0-9][0-9().\x20/-]{6}")
+    for kind, pattern, may in (("email", WIDE_EMAIL, rest.rlike(r"(?i)@|[\[({<]\x20?at\x20?[\])}>]")), ("ip", WIDE_IP, rest.rlike(rf"(?i)[0-9]{_POINT}[0-9]")), ("card", WIDE_CARD, digits), ("phone", WIDE_PHONE, digits)):
+        d = d.withColumn(f"wide_{kind}", F.when(may, spans(rest, pattern)).otherwise(_none()))
 
     def describe(kind: str):
         def one(x: Column) -> Column:
             hit, before = x["text"], F.substr(t, F.greatest(x["start"] - 24 + 1, F.lit(1)), F.least(x["start"], F.lit(24)))
-            digits = _digits(hit)
+            digits, after = _digits(hit), F.substr(t, x["end"] + 1, F.lit(2))
 
             def count(characters: str) -> Column:
                 return F.length(hit) - F.length(F.translate(hit, characters, ""))
 
             values = {
                 "kind": F.lit(KINDS.index(kind)), "length": F.length(hit), "digits": F.length(digits), "groups": F.size(F.filter(F.split(hit, "[^0-9]+"), lambda g: g != "")),
-                "longest": F.array_max(F.transform(F.split(hit, "[^0-9]+"), lambda g: F.length(g))), "dots": count("."), "spaces": count(" "), "hyphens": count("-"), "parens": count("()"), "slashes": count("/"),
-                "luhn": F.when(F.length(digits) > 1, luhn(digits)).otherwise(F.lit(False)).cast("int"), "octets": hit.rlike(OCTETS).cast("int"), "plus": hit.startswith("+").cast("int"),
+                "longest": F.array_max(F.transform(F.split(hit, "[^0-9]+"), lambda g: F.length(g))), "dots": count("."), "spaces": count(" "), "hyphens": count("-"), "parens": count("()"), "slashes": count("/"), "brackets": count("[](){}<>"),
+                "luhn": F.when(F.length(digits) > 1, luhn(digits)).otherwise(F.lit(False)).cast("int"), "octets": F.regexp_replace(hit, f"(?i){_POINT}", ".").rlike(OCTETS).cast("int"), "plus": hit.startswith("+").cast("int"), "zeros": hit.startswith("00").cast("int"), "letters": hit.rlike(r"[A-Za-z]{2}$").cast("int"), "joined": (before.rlike(r"[0-9][\x20./-]?$") | after.rlike(r"^[\x20./-]?[0-9]")).cast("int"),
                 "named": before.rlike(_NEAR[kind]).cast("int"), "after_mark": before.rlike(r"[=#/:]$").cast("int"),
             }
-            every = F.concat(*KINDS)
             return F.struct(
                 x["start"].alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind"),
-                F.exists(every, lambda b: _touches(x, b)).alias("base"), F.exists(F.col(kind), lambda b: _touches(x, b)).alias("confirmed"),
                 *[values[f].cast("double").alias(f) for f in FEATURES if f != "kind"], values["kind"].cast("double").alias("kind_number"),
             )
 
         return one
 
-    parts = [F.transform("mails", describe("email")), *(F.transform("numbers", describe(k)) for k in KINDS[1:])]
-    return d.withColumn("proposed", F.concat(*parts)).drop("mails", "numbers")
+    wide = [f"wide_{k}" for k in KINDS]
+    return d.withColumn("proposed", F.concat(*[F.transform(w, describe(k)) for w, k in zip(wide, KINDS, strict=True)])).drop(*wide, "rest")
+
+
+def examples(base: DataFrame, per_kind: int, per_text: int = 4) -> DataFrame:
+    """(example, text): base spans rewritten within 24 characters of their surroundings; example has kind, start, end, true, aside.
+
+    Of each kind at most per_kind spans, chosen by a hash, each in all forms:
+    true ones that no base pattern knows, and decoys that only look like it.
+    """
+
+    def named(kind: str):
+        return lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("hit"))
+
+    found = F.concat(*[F.transform(F.slice(k, 1, per_text), named(k)) for k in KINDS])
+    rows = base.select("text", F.explode(found).alias("b")).select(
+        "b.kind", "b.hit", F.substr("text", F.greatest(F.col("b.start") - 24 + 1, F.lit(1)), F.least("b.start", F.lit(24))).alias("before"), F.substr("text", F.col("b.end") + 1, F.lit(24)).alias("after")
+    )
+    chosen = Window.partitionBy("kind").orderBy(F.xxhash64("hit"), "hit", "before", "after")
+    rows = rows.withColumn("place", F.row_number().over(chosen)).where(F.col("place") <= per_kind)
+    hit, digits = F.col("hit"), _digits(F.col("hit"))
+
+    def some(k: int, salt: int) -> Column:
+        return F.lpad(F.pmod(F.xxhash64("hit", F.lit(salt)), F.lit(10**k)).cast("string"), k, "0")
+
+    def text(*parts: Column | str) -> Column:
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    def fours(x: Column, mark: str) -> Column:
+        return F.regexp_replace(x, "([0-9]{4})(?=[0-9])", f"$1{mark}")
+
+    local, domain = F.substring_index(hit, "@", 1), F.substring_index(hit, "@", -1)
+    last = F.concat(F.substr(digits, F.lit(1), F.length(digits) - 1), ((F.substr(digits, F.length(digits), F.lit(1)).try_cast("int") + 1) % 10).cast("string"))
+    twelve = F.substr(digits, F.lit(1), F.lit(12))
+    check = F.get(F.filter(F.array(*[F.lit(str(c)) for c in range(10)]), lambda c: F.call_function("luhn_check", F.concat(twelve, c))), F.lit(0)).cast("int")
+    ten = F.right(digits, F.lit(10))
+    a, b, c = F.substr(ten, F.lit(1), F.lit(3)), F.substr(ten, F.lit(4), F.lit(3)), F.substr(ten, F.lit(7), F.lit(4))
+    over = F.regexp_replace(hit, r"^[0-9]+", F.concat(F.lit("4"), some(2, 1)))
+    true = {
+        "email": [text(local, at, F.replace(domain, F.lit("."), F.lit(dot))) for at, dot in ((" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" (at) ", "."), (" [at] ", "."), ("{at}", "{dot}"), (" <at> ", " <dot> "))],
+        "ip": [F.replace(hit, F.lit("."), F.lit(dot)) for dot in ("[.]", " . ", "(.)", " [dot] ", "(dot)")] + [F.regexp_replace(hit, r"\.([0-9]+)$", "[.]$1")],
+        "card": [fours(digits, "."), fours(digits, "/"), text(twelve, check.cast("string"))],
+        "phone": [text("(", a, ") ", b, "-", c), text(a, "-", b, "-", c), text(a, ".", b, ".", c), text(a, " ", b, " ", c), text("(", a, ")", b, "-", c), text("00", digits)],
+    }
+    decoys = {
+        "email": [text(local, " @ ", some(1, 1), ".", some(2, 2)), text(some(2, 1), " (at) ", some(1, 2), ".", some(2, 3)), text(local, " [at] v", some(1, 1), ".", some(2, 2))],
+        "ip": [F.replace(over, F.lit("."), F.lit(dot)) for dot in (".", "[.]", " . ", " [dot] ")],
+        "card": [last, fours(last, "."), fours(last, "/"), fours(last, " "), text(twelve, ((check + 1 + F.pmod(F.xxhash64("hit"), F.lit(9))) % 10).cast("string"))],
+        "phone": [text("20", some(2, 1), "-0", some(1, 2), "-1", some(1, 3)), text("1", some(1, 1), "/0", some(1, 2), "/20", some(2, 3)), text("20", some(2, 1), "-0", some(1, 2), "-1", some(1, 3), " 1", some(1, 4)), some(8, 1), some(10, 5), text("15", some(11, 1)), text(some(3, 1), "-", some(2, 2), "-", some(4, 3)), text("978-", some(1, 1), "-", some(2, 2), "-", some(6, 3), "-", some(1, 4)), text(some(1, 1), ".", some(3, 2), ".", some(3, 3), ".", some(3, 4)), text(some(2, 1), " ", some(3, 2), " ", some(3, 3))],
+    }
+    forms = F.array().cast("array<struct<form:string,true:boolean>>")
+    for kind in KINDS:
+        own = F.array(*[F.struct(f.alias("form"), F.lit(label).alias("true")) for label, fs in ((True, true[kind]), (False, decoys[kind])) for f in fs])
+        forms = F.when(F.col("kind") == kind, own).otherwise(forms)
+    rows = rows.withColumn("f", F.explode(forms)).where(F.col("f.form").isNotNull())
+    start = F.length("before")
+    example = F.struct("kind", start.alias("start"), (start + F.length("f.form")).alias("end"), F.col("f.true").alias("true"), (F.pmod(F.xxhash64("hit", F.lit(3)), F.lit(3)) == 2).alias("aside"))
+    return rows.select(example.alias("example"), F.concat("before", "f.form", "after").alias("text"))
 
 
 @dataclass(frozen=True)
@@ -164,23 +238,28 @@ class Judge:
         return 1 / (1 + F.exp(-raw))
 
 
-def fit_judge(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, trees: int = 12, precision: float = 0.995) -> Judge:
-    """Learns from the candidates of at most about `sample` documents, chosen by a hash of the id; a third of them sets thresholds.
+def fit_judge(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, trees: int = 12, precision: float = 0.995, per_kind: int = 1000) -> Judge:
+    """Learns from examples() of at most about `sample` documents, chosen by a hash of the id; a third of the spans sets thresholds.
 
-    A kind of which too few candidates pass at any threshold adds nothing.
+    A kind with too few base spans to learn from adds nothing.
     """
     share = min(1.0, sample / max(df.count(), 1))
     some = df.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = candidates(base_spans(some, id_col=id_col, text_col=text_col)).select(F.explode_outer("proposed").alias("c")).select("c.*").collect()
-    got = sorted((tuple(r["kind_number" if f == "kind" else f] for f in FEATURES), r.confirmed) for r in rows if r.start is not None)
+    made = materialize(examples(base_spans(some, id_col=id_col, text_col=text_col), per_kind), "pii-examples")
+    e, c = F.col("example"), F.col("c")
+    rows = candidates(base_spans(made, id_col="example", text_col="text")).select("example", F.explode("proposed").alias("c")).where(_touches(e, c))
+    whole = (c["start"] == e["start"]) & (c["end"] == e["end"])
+    label = F.when(~e["true"] | (c["kind"] != e["kind"]), F.lit(False)).when(whole, F.lit(True))  # parts of a true span count as neither
+    rows = rows.select(label.alias("label"), e["aside"].alias("aside"), "c.*").where(F.col("label").isNotNull()).collect()
+    got = sorted((tuple(r["kind_number" if f == "kind" else f] for f in FEATURES), r.label, r.aside) for r in rows)
     x, y = np.array([g[0] for g in got], float).reshape(len(got), len(FEATURES)), np.array([g[1] for g in got], float)
-    aside = np.arange(len(x)) % 3 == 2
+    aside = np.array([g[2] for g in got], bool)
     model = gbt.fit(x[~aside], y[~aside], trees=trees, depth=3, rate=0.4)
     p, thresholds = model.probability(x[aside]), {}
     for k, kind in enumerate(KINDS):
         own, is_true = p[(x[aside][:, 0] == k)], y[aside][x[aside][:, 0] == k]
-        good = [t for t in sorted(set(own)) if (own >= t).sum() >= 50 and is_true[own >= t].mean() >= precision]
-        thresholds[kind] = float(max(good[0], 0.5)) if good else 2.0
+        good = [t for t in sorted({0.5, *own[own > 0.5]}) if (own >= t).sum() >= 50 and is_true[own >= t].mean() >= precision]
+        thresholds[kind] = float(good[0]) if good else 2.0
     return Judge(model, thresholds)
 
 
@@ -201,7 +280,7 @@ def find_personal_data(df: DataFrame, judge: Judge, *, id_col: str = "doc_id", t
         limit = F.lit(2.0)
         for kind, t in judge.thresholds.items():
             limit = F.when(c["kind"] == kind, F.lit(t)).otherwise(limit)
-        return F.when(c["base"], F.lit(False)).otherwise(judge.score(c) >= limit)
+        return judge.score(c) >= limit
 
     d = d.withColumn("base_found", F.array_sort(F.concat(*[F.transform(k, plain(k)) for k in KINDS])))
     ranks = F.create_map(*[v for k, kind in enumerate(KINDS) for v in (F.lit(kind), F.lit(k))])

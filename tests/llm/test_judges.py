@@ -168,6 +168,33 @@ def test_added_spans_and_redaction(spark):
     assert fit_judge(frame(spark, [])).thresholds == dict.fromkeys(["email", "ip", "card", "phone"], 2.0)
 
 
+def test_wide_forms_are_added_and_decoys_are_not(spark):
+    rng = random.Random(5)
+
+    def number(k: int) -> str:
+        return "".join(rng.choice("123456789") for _ in range(k))
+
+    def card(k: int, wrong: int = 0) -> str:
+        d = number(k - 1)
+        total = sum(int(x) if j % 2 else sum(divmod(2 * int(x), 10)) for j, x in enumerate(reversed(d)))
+        return f"{d}{(-total + wrong) % 10}"
+
+    known = [(k, f"call +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} or mail a{number(3)}@b{k % 9}.example.com, card {card(16)} from host {rng.randint(1, 255)}.{rng.randint(0, 255)}.3.{k % 250} now") for k in range(400)]
+    model = fit_judge(frame(spark, known))
+    planted = {"email": ["jo.doe [at] host [dot] com", "jo (at) mail.host.org"], "phone": ["(269) 555-3296", "269-555-3296"], "card": [card(13), "4111.1111.1111.1111"], "ip": ["10[.]20[.]30[.]40", "10 . 20 . 30 . 40"]}
+    decoys = {"card": [card(13, 3), "4111.1111.1111.1112"], "ip": ["410[.]20[.]30[.]40"], "phone": ["2024-03-14", "123-45-6789"], "email": ["bread @ 3.50"]}
+    near = {"email": "mail", "ip": "host", "card": "card", "phone": "call"}
+    every = [(kind, x, kind) for kind, xs in planted.items() for x in xs] + [(kind, x, None) for kind, xs in decoys.items() for x in xs]
+    rows = [(k, f"{near[where]} {x} or x@y.org now", kind) for k, (where, x, kind) in enumerate(every)]
+    rows += [(200, "call 10.2.3.4 269-555-3297 now", None)]
+    got = {r.doc_id: r.spans.split(",") for r in find_personal_data(frame(spark, [r[:2] for r in rows]), model).collect()}
+    for k, t, kind in rows[:-1]:
+        at = t.index(" or x@y.org")
+        mail = f"email:{at + 4}:{at + 11}"
+        assert got[k] == ([f"{kind}:5:{at}", mail] if kind else [mail]), t
+    assert got[200] == ["ip:5:13", "phone:14:26"]
+
+
 def test_arc_and_warc_round_trip(spark, tmp_path):
     long = "<p>same</p>" * 200
     pages = [(1, "http://a/x y", long), (2, "http://b", long), (5, "http://b", long), (3, None, None), (4, "http://c", "WARC/1.1\r\n\r\nWARC-Type: no\r\n" * 60), (None, "http://d", "né🙂\r\n\r\nx"), (6, "http://e", "short"), (7, "http://e", "short"), (8, "f", "")]
