@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrangle.llm.common import materialize, shared_dir
+from quadrangle.llm.common import lean, materialize, shared_dir
 
 #: Fixed values of the format: the header fields of ARC versions 1 and 2, in order.
 ARC_FIELDS = {
@@ -245,12 +245,12 @@ def _binary(spark: SparkSession, path: str) -> DataFrame:
 def write_arc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", version: str | None = None, date: str = "20000101000000") -> None:
     """Write pages as ARC files of this version (None: segments of either in turn). Null html is an empty payload; null urls are "unknown:"."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    rows.mapInArrow(_arc_segments(version, date), "value string").write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).option("compression", "gzip").text(path)
+    rows.mapInArrow(lean(_arc_segments(version, date)), "value string").write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).option("compression", "gzip").text(path)
 
 
 def read_arc(spark: SparkSession, path: str, *, payloads: bool = True) -> DataFrame:
     """Rows of ARC_RECORD of all ARC files at path."""
-    return _binary(spark, path).mapInArrow(_arc_rows(payloads), ARC_RECORD)
+    return _binary(spark, path).mapInArrow(lean(_arc_rows(payloads)), ARC_RECORD)
 
 
 def convert_arc(spark: SparkSession, arc: str, warc: str, *, revisit_bytes: int = 1000) -> None:
@@ -265,12 +265,12 @@ def convert_arc(spark: SparkSession, arc: str, warc: str, *, revisit_bytes: int
     groups = large.groupBy("digest", "size").agg(F.max(F.struct("page_id", "record_id")).alias("first"), F.count("*").alias("n")).where("n > 1")
     again = large.join(groups, ["digest", "size"]).where("record_id <> first.record_id").select("record_id", F.col("first.record_id").alias("refers_to_record"))
     records = read_arc(spark, arc).join(again, "record_id", "left")
-    records.mapInArrow(_warc_segments, "value string").write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).option("compression", "gzip").option("lineSep", "\r\n\r\n").text(warc)
+    records.mapInArrow(lean(_warc_segments), "value string").write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).option("compression", "gzip").option("lineSep", "\r\n\r\n").text(warc)
 
 
 def read_warc(spark: SparkSession, path: str, *, payloads: bool = True) -> DataFrame:
     """Rows of WARC_RECORD of all WARC files at path; digests of payloads are checked, revisits have neither size nor payload."""
-    return _binary(spark, path).mapInArrow(_warc_rows(payloads), WARC_RECORD)
+    return _binary(spark, path).mapInArrow(lean(_warc_rows(payloads)), WARC_RECORD)
 
 
 def archive_round_trip(pages: DataFrame, **parameters) -> DataFrame:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +55,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder; the session sends Arrow batches of some megabytes instead of 64."""
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -64,5 +71,41 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+#: Bytes of a record batch that a worker turns into Python objects at once; a longer row is a slice by itself.
+SLICE_BYTES = 4_000_000
+
+
+def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """For mapInArrow: the function sees slices of a few megabytes, and the worker returns its memory when a task ends.
+
+    Workers live on from task to task and from stage to stage; without this each
+    keeps what its largest task once took.
+    """
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = max(1, SLICE_BYTES * len(batch) // max(batch.nbytes, 1))
+            yield from (batch.slice(at, rows) for at in range(0, len(batch), rows))
+
+    @wraps(function)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(sliced(batches))
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    """Give freed memory of this process back to the operating system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

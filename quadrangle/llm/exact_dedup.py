@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrangle.llm.common import lower_ascii, materialize, partitions
+from quadrangle.llm.common import lean, lower_ascii, materialize, partitions
 
 RUNS = "id long, sha string, run_keep long, run_size long, cand boolean, run_id long, norm binary"
 
@@ -85,7 +85,7 @@ def exact_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = df.select(F.col(id_col).cast("long").alias("id"), norm.alias("norm"))
     keyed = rows.select("id", "norm", F.substring("norm", 1, head_bytes).alias("head"), F.xxhash64("norm").alias("hash"))
     ranged = keyed.repartitionByRange(partitions(df.sparkSession), "head", "hash", "id")
-    runs = materialize(ranged.sortWithinPartitions("head", "hash", "norm", "id").mapInArrow(_neighbours(largest), RUNS), "exact-runs")
+    runs = materialize(ranged.sortWithinPartitions("head", "hash", "norm", "id").mapInArrow(lean(_neighbours(largest)), RUNS), "exact-runs")
 
     same = Window.partitionBy("norm")
     edges = runs.where(F.col("norm").isNotNull()).withColumn("all_keep", (F.max if largest else F.min)("run_keep").over(same))

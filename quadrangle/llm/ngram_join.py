@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrangle.llm.common import materialize, partitions
+from quadrangle.llm.common import lean, materialize, partitions
 from quadrangle.llm.components import components
 
 #: Words whose hashes a worker remembers, and classes it remembers to have sent.
@@ -230,7 +230,7 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     most this many times the prefix entries, or when a round links nothing.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    members = materialize(docs.mapInArrow(_measure(n), "id long, n long, sid long"), "members")
+    members = materialize(docs.mapInArrow(lean(_measure(n)), "id long, n long, sid long"), "members")
     owned = _roots(docs, members, F.min("id"), n, percent, fragments, enough)
     smallest = owned.groupBy("root").agg(F.min("first").alias("component_id"))
     named = owned.join(smallest, "root").select("sid", "component_id")
@@ -247,8 +247,8 @@ def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent:
 
     grams = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(p, -(-grams // PER_RANGE))
-    sent = docs.mapInArrow(_send(n, ranges), "range int, sids binary, places binary, steps binary")
-    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(_shared, "sid long, h long, df long")
+    sent = docs.mapInArrow(lean(_send(n, ranges)), "range int, sids binary, places binary, steps binary")
+    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(_shared), "sid long, h long, df long")
     tokens = shared.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("tokens"))  # at most one document's
     sets = materialize(tokens.join(classes.select("sid", "n"), "sid"), "sets")
 
@@ -300,7 +300,7 @@ def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "near-rows")  # written, so that the keys stay
     docs = rows.select(F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    members = materialize(docs.mapInArrow(_measure(n), "id long, row long, n long, sid long"), "members")
+    members = materialize(docs.mapInArrow(lean(_measure(n)), "id long, row long, n long, sid long"), "members")
     owned = _roots(docs.select("id", "text"), members, F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "sid", "row")), n, percent, fragments, enough)
     kept = owned.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
     return rows.join(kept.union(members.where("n = 0").select("row")), "__row", "left_semi").drop("__row")

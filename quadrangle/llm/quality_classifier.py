@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.llm import gbt
+from quadrangle.llm.common import lean
 
 STATISTICS = ["log_bytes", "upper", "lower", "digit", "other_ascii", "marked", "exclaim", "bar", "non_ascii", "space", "log_words", "word_bytes", "distinct_words", "distinct_pairs", "repeats", "commonest", "lines", "duplicate_lines", "words_a_line", "stops", "marked_words"]
 _MARKED = np.isin(np.arange(256), np.frombuffer(b"#*$%&<>^~=_", np.uint8))
@@ -87,7 +88,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(_matrix(batch)), pa.list_(pa.float64()))], names=["label", "x"])
 
     rows = training_sample(df, labels, id_col=id_col, text_col=text_col, label_col=label_col, learn_from=learn_from, sample=sample)
-    got = sorted((tuple(r.x), r.label) for r in rows.mapInArrow(measure, "label int, x array<double>").collect())
+    got = sorted((tuple(r.x), r.label) for r in rows.mapInArrow(lean(measure), "label int, x array<double>").collect())
     x = np.array([g[0] for g in got], float).reshape(len(got), len(STATISTICS))
     return gbt.fit(x, np.array([g[1] for g in got], float), **parameters)
 
@@ -105,7 +106,7 @@ def score_quality(df: DataFrame, trees: gbt.Trees, *, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[id_col, "score", "predicted"])
 
     rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(score, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, score double, predicted int")
+    return rows.mapInArrow(lean(score), f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, score double, predicted int")
 
 
 def keep_good(df: DataFrame, trees: gbt.Trees, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -119,4 +120,4 @@ def keep_good(df: DataFrame, trees: gbt.Trees, *, text_col: str = "text", thresh
             x = np.array([statistics(t) for t in texts], float).reshape(len(texts), len(STATISTICS))
             yield batch.filter(pa.array(model.value.probability(x) >= threshold))
 
-    return df.mapInArrow(choose, df.schema)
+    return df.mapInArrow(lean(choose), df.schema)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.llm.bpe import Memory, count_by_merging, encoded, pretokens, vocabulary_path
+from quadrangle.llm.common import lean
 
 
 def token_counts(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, limit: int = 512) -> DataFrame:
@@ -33,4 +34,4 @@ def token_counts(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col), F.octet_length(text).cast("long").alias("n_bytes"), *pretokens(F.col(text_col)))
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(count, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(lean(count), f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrangle.llm.common import materialize
+from quadrangle.llm.common import lean, materialize
 from quadrangle.llm.gbt import logistic
 from quadrangle.llm.quality_classifier import training_sample
 
@@ -91,7 +91,7 @@ def dictionaries(rows: DataFrame, *, common_bytes: int = 6000, shortest: int = 4
 
     n = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     least = max(least, round(least_share * n.get(1, 0)))
-    counts = materialize(rows.mapInArrow(count, "word boolean, gram binary, toxic long, ordinary long").groupBy("word", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "fragments")
+    counts = materialize(rows.mapInArrow(lean(count), "word boolean, gram binary, toxic long, ordinary long").groupBy("word", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "fragments")
     share = (F.col("toxic") + 0.5) / (n.get(1, 0) + 1) >= ratio * (F.col("ordinary") + 0.5) / (n.get(0, 0) + 1)
     pool = {bytes(r.gram) for r in counts.where(~F.col("word") & (F.col("toxic") >= least) & share).select("gram").collect()}
     ranked = [bytes(r.gram) for r in counts.where("word").orderBy(F.desc("ordinary"), "gram").limit(common_bytes).select("gram").collect()]
@@ -100,7 +100,7 @@ def dictionaries(rows: DataFrame, *, common_bytes: int = 6000, shortest: int = 4
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sorted(_fragments(_words(t), shortest, longest) & pool) for t in _texts(batch)], pa.list_(pa.binary()))], names=["own"])
 
-    documents = sorted(sorted(map(bytes, r.own)) for r in rows.where("label = 1").mapInArrow(own, "own array<binary>").collect())
+    documents = sorted(sorted(map(bytes, r.own)) for r in rows.where("label = 1").mapInArrow(lean(own), "own array<binary>").collect())
     marks = b" " + b" ".join(cover_fragments([set(d) for d in documents], least=least, cover=cover))
     common, size = [], 0
     while len(common) < len(ranked) and size < common_bytes:
@@ -156,7 +156,7 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t) for t in _texts(batch)], pa.list_(pa.float64()))], names=["label", "x"])
 
-    got = sorted((tuple(r.x), r.label) for r in rows.mapInArrow(measure, "label int, x array<double>").collect())
+    got = sorted((tuple(r.x), r.label) for r in rows.mapInArrow(lean(measure), "label int, x array<double>").collect())
     width = 3 + len(SAVED) + len(COST)
     x, y = np.array([g[0] for g in got], float).reshape(len(got), width), np.array([g[1] for g in got], float)
     if len(set(y)) < 2:
@@ -181,4 +181,4 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[id_col, "score", "predicted"])
 
     rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(score, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, score double, predicted int")
+    return rows.mapInArrow(lean(score), f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, score double, predicted int")
