@@ -14,6 +14,7 @@ sequence that is not full.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -25,9 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrangle.llm.bpe import SPECIAL, vocabulary_path
-from quadrangle.llm.common import materialize
+from quadrangle.llm.bpe import SPECIAL, cut, vocabulary_path
+from quadrangle.llm.common import lean, materialize, release
 
+#: The library's regular expression gives up on white space of a million characters; texts with runs this long are cut by another.
+LONG_SPACE = re.compile(r"\s{10000}")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -84,6 +87,7 @@ def _packer(length: int, max_docs: int, max_cost: float, weights: tuple[float, .
         offset = np.empty_like(n)
         offset[order] = ends - n[order] - begin
         yield items.assign(sequence_id=base + bins, offset=offset)
+        release()
 
     return pack
 
@@ -112,6 +116,17 @@ def _encoding(path: str, special: str, special_id: int):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={special: special_id})
 
 
+def _ids(encoding, text: str, special: str) -> np.ndarray:
+    """Token ids of a text, whatever runs are in it; the special string is its token."""
+    if len(text) < 10_000 or not LONG_SPACE.search(text):
+        return encoding.encode_to_numpy(text, allowed_special="all")
+    known: dict[str, np.ndarray] = {special: encoding.encode_to_numpy(special, allowed_special="all")}
+    words = cut(text)
+    for w in set(words).difference(known):
+        known[w] = np.array(encoding._encode_single_piece(w), np.uint32)
+    return np.concatenate([known[w] for w in words])
+
+
 def tokenized_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, special: tuple[str, int] = (SPECIAL, 50256), end_id: int = 2, length: int = 1024) -> DataFrame:
     """Rows of PIECES: token ids and end_id, cut into `length`-token pieces with the shorter piece first.
 
@@ -121,12 +136,12 @@ def tokenized_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     names = [p.split()[0] for p in PIECES.split(", ")]
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(path, *special).encode_to_numpy
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = _encoding(path, *special)
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.append(encode(text, allowed_special="all"), end_id).astype("<u4")
+                own = np.append(_ids(encoding, text, special[0]), end_id).astype("<u4")
                 first = len(own) % length or length
                 edges = [0, *range(first, len(own) + 1, length)]
                 for k, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
@@ -134,7 +149,7 @@ def tokenized_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(cut, PIECES)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(lean(encoded), PIECES)
 
 
 def pack_documents(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, end_id: int = 2, length: int = 1024, **constraints) -> DataFrame:

@@ -234,3 +234,12 @@ def test_drop_near_duplicates_of_null_and_repeated_ids(spark):
 def _labels(rows) -> list[int]:
     """The first row of each row's component; each row stands for itself under an id of its own."""
     return [c for _, _, c in components([(k, t) for k, (_, t) in enumerate(rows)])]
+
+
+@pytest.mark.parametrize("filler", [" ", "\n", "\u00a0", "a", " x", "\t<|endoftext|>"])
+def test_packing_of_very_long_runs(spark, library, filler):
+    text = "a" + filler * (2_000_000 // len(filler)) + "b"
+    ids = [*library.encode(text, add_special_tokens=False).ids, 2]
+    got = sorted(pack_documents(frame(spark, [(1, text), (2, "short")])).where("doc_id = 1").collect(), key=lambda r: r.piece)
+    assert sum(r.length for r in got) == len(ids)
+    assert all(r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes()) for r in got)
