@@ -9,7 +9,7 @@ from quadrangle.functions import columns as C
 from quadrangle.functions import names
 from quadrangle.operators import cleaning, selection
 from quadrangle.plans import student_terms as S
-from quadrangle.plans.oracle import CIP, LEVEL, LETTER, NUMERIC, ORD, PASSED, START
+from quadrangle.plans.oracle import CIP, LEVEL, LETTER, NUMERIC, ORD, PASSED, START, WHOLE
 from quadrangle.plans.registry import Views, query
 
 # --- one column over course or cohort rows -------------------------------------------------
@@ -352,12 +352,11 @@ _CUM = "select student_id, term_id, cumnum_terms_enrolled, cumnum_core_terms_enr
 query("cumulative_features", _CUM)(lambda v: v.cum().select("student_id", "term_id", "cumnum_terms_enrolled", "cumnum_core_terms_enrolled", "cumsum_term_is_pre_cohort", "cumsum_num_courses", "cumfrac_num_courses_passed", "min_student_term_rank", "num_courses_diff_prev_term"))
 
 
+@query("dataset_student_terms", "select " + ", ".join(f"{text} as {name}" for name, text in WHOLE.items()) + " from cum")
 def dataset(v: Views) -> DataFrame:
+    """All columns; lists as text."""
     d = S.student_term_dataset(v.cohort(), v.course(), key_areas=["13"])
-    return d.select("student_id", "term_id", "cohort_id", "term_rank", "num_courses", "num_courses_passed", "num_credits_earned", "course_grade_numeric_mean", "sections_num_students_enrolled", "year_of_enrollment_at_cohort_inst", "term_is_pre_cohort", "frac_courses_passed", "cumnum_terms_enrolled", "cumsum_num_courses", "cummean_num_courses", "cumstd_course_grade_numeric_mean", "cumfrac_num_courses_passed", "num_courses_diff_prev_term", "num_credits_earned_diff_prev_term")
-
-
-query("dataset_student_terms", "select student_id, term_id, cohort_id, term_rank, num_courses, num_courses_passed, num_credits_earned, r(course_grade_numeric_mean) as course_grade_numeric_mean, sections_num_students_enrolled, year_of_enrollment_at_cohort_inst, term_is_pre_cohort, r(frac_courses_passed) as frac_courses_passed, cumnum_terms_enrolled, cumsum_num_courses, r(cummean_num_courses) as cummean_num_courses, r(cumstd_course_grade_numeric_mean) as cumstd_course_grade_numeric_mean, r(cumfrac_num_courses_passed) as cumfrac_num_courses_passed, num_courses_diff_prev_term, num_credits_earned_diff_prev_term from cum")(dataset)
+    return d.withColumns({c: F.array_join(c, ",") for c in ("course_ids", "course_subjects", "course_subject_areas")})
 
 
 @query("dedupe_renumber_courses", """select student_id, academic_year, academic_term, course_prefix, section_id, number_of_credits_attempted,

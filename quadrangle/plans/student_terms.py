@@ -139,8 +139,7 @@ def aggregate_student_terms(course: DataFrame, *, keys: Sequence[str] = ("studen
         *[F.first(c, ignorenulls=True).alias(c) for c in passed if c in course.columns],
         F.count("course_id").alias("num_courses"), F.count_if("course_passed").alias("num_courses_passed"), F.count_if("course_completed").alias("num_courses_completed"),
         _total("number_of_credits_attempted").alias("num_credits_attempted"), _total("number_of_credits_earned").alias("num_credits_earned"),
-        _list("course_id").alias("course_ids"), _list("course_prefix").alias("course_subjects"), _list("course_subject_area").alias("course_subject_areas"),
-        F.countDistinct("course_id").alias("course_id_nunique"), F.countDistinct("course_prefix").alias("course_subject_nunique"), F.countDistinct("course_subject_area").alias("course_subject_area_nunique"),
+        _list("course_id").alias("course_ids"), _list("course_cip").alias("course_subjects"), _list("course_subject_area").alias("course_subject_areas"),
         F.avg("course_level").alias("course_level_mean"), F.stddev_samp("course_level").alias("course_level_std"), F.avg(number).alias("course_grade_numeric_mean"), F.stddev_samp(number).alias("course_grade_numeric_std"),
         F.avg("section_num_students_enrolled").alias("section_num_students_enrolled_mean"), F.stddev_samp("section_num_students_enrolled").alias("section_num_students_enrolled_std"),
         *[_total(f"section_num_students_{x}").alias(f"sections_num_students_{x}") for x in ("enrolled", "passed", "completed")],
@@ -148,6 +147,9 @@ def aggregate_student_terms(course: DataFrame, *, keys: Sequence[str] = ("studen
         *dummy_aggs(course), *grade_aggs(min_passing_grade),
     ]
     grouped = course.where(" and ".join(f"{k} is not null" for k in keys)).groupBy(*keys).agg(*aggs)
+    # From the lists: distinct counts among the aggregates would multiply every row before the shuffle.
+    distinct = {f"{one}_nunique": F.size(F.array_distinct(F.array_compact(many))).cast("long") for one, many in (("course_id", "course_ids"), ("course_subject", "course_subjects"), ("course_subject_area", "course_subject_areas"))}
+    grouped = grouped.withColumns(distinct)
     took = {c.replace("num_courses_", "took_", 1): F.col(c) >= 1 for c in grouped.columns if c.startswith(("num_courses_course_id", "num_courses_course_subject_area"))}
     return grouped.withColumns(took) if took else grouped
 
@@ -219,8 +221,8 @@ def cumulative_features(df: DataFrame, *, ids: Sequence[str] = ("student_id",),
     new |= {f"cumfrac_{c}": C.fraction(F.sum(c).over(running), F.sum("num_courses").over(running)) for c in counts}
     new |= {f"cummax_{c}": F.max(c).over(running) for c in took}
     for c in ("course_ids", "course_subjects", "course_subject_areas"):
-        every = F.flatten(F.collect_list(c).over(running))  # a student's own courses
-        new |= {f"cumnum_unique_{c}": F.size(F.array_distinct(every)), f"cumnum_repeated_{c}": F.size(every) - F.size(F.array_distinct(every))}
+        unique = F.size(F.array_distinct(F.flatten(F.collect_list(F.array_distinct(c)).over(running))))  # a student's own courses
+        new |= {f"cumnum_unique_{c}": unique, f"cumnum_repeated_{c}": (F.sum(F.size(c)).over(running) - unique).cast("int")}
     new |= {f"min_student_{c}": F.min(c).over(part) for c in ("term_rank", "term_rank_core", "term_rank_noncore")}
     diffs = [c for c in ("num_courses", "num_credits_earned", "course_grade_numeric_mean", "course_level_mean") if c in df.columns]
     new |= {f"{c}_diff_prev_term": F.col(c) - F.lag(c).over(ordered) for c in diffs}
