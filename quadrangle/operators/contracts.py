@@ -32,53 +32,209 @@ CHECKS = {
     "in_range": lambda c, bounds: c.between(*bounds),
     "str_length": lambda c, bounds: F.length(c.cast("string")).between(*bounds),
 }
-_YEARS, _MONEY = {"in_range": (0, 8)}, {"ge": 0}
-_TERMS, _YN = {"isin": ("FALL", "WINTER", "SPRING", "SUMMER")}, {"isin": ("Y", "N")}
+_YEARS, _MONEY, _GPA, _CREDITS = {"in_range": (0, 8)}, {"ge": 0}, {"in_range": (0, 4)}, {"in_range": (0, 20)}
+_TERMS, _YN, _PLACED = {"isin": ("FALL", "WINTER", "SPRING", "SUMMER")}, {"isin": ("Y", "N")}, {"isin": ("C", "N")}
 
-#: The parts of the raw cohort contract with rules of their own; other declared columns are nullable strings.
+
+def _some(values: str) -> dict:
+    return {"isin": tuple(values.split())}
+
+
+#: The raw cohort contract, column by column in the order of the file.
 COHORT: dict[str, Field] = {
     "student_id": Field("string", nullable=False),
     "institution_id": Field("string", nullable=False),
     "cohort": Field("string", nullable=False),
     "cohort_term": Field("string", nullable=False, checks=_TERMS),
-    "enrollment_type": Field("string", nullable=False, checks={"isin": ("FIRST-TIME", "RE-ADMIT", "TRANSFER-IN")}),
-    "enrollment_intensity_first_term": Field("string", checks={"isin": ("FULL-TIME", "PART-TIME")}),
+    "enrollment_type": Field("string", nullable=False, checks=_some("FIRST-TIME RE-ADMIT TRANSFER-IN")),
+    "enrollment_intensity_first_term": Field("string", checks=_some("FULL-TIME PART-TIME")),
+    "math_placement": Field("string", checks=_PLACED),
+    "english_placement": Field("string", checks=_PLACED),
+    "dual_and_summer_enrollment": Field("string", checks=_some("DE SE DS")),
+    "student_age": Field("string"),
+    "race": Field("string"),
+    "ethnicity": Field("string"),
+    "gender": Field("string"),
+    "first_gen": Field("string"),
     "pell_status_first_year": Field("string", checks=_YN),
-    "gpa_group_term_1": Field("float", checks={"in_range": (0, 4)}),
-    "gpa_group_year_1": Field("float", checks={"in_range": (0, 4)}),
+    "attendance_status_term_1": Field("string"),
+    "credential_type_sought_year_1": Field("string"),
+    "program_of_study_term_1": Field("string"),
+    "gpa_group_term_1": Field("float", checks=_GPA),
+    "gpa_group_year_1": Field("float", checks=_GPA),
     "number_of_credits_attempted_year_1": Field("float", checks={"ge": 1}, severity="warning"),
-    **{f"number_of_credits_{x}_year_{y}": Field("float", checks=_MONEY) for y in range(1, 5) for x in ("earned", "attempted") if (x, y) != ("attempted", 1)},
+    "number_of_credits_earned_year_1": Field("float", checks=_MONEY),
+    "number_of_credits_attempted_year_2": Field("float", checks=_MONEY),
+    "number_of_credits_earned_year_2": Field("float", checks=_MONEY),
+    "number_of_credits_attempted_year_3": Field("float", checks=_MONEY),
+    "number_of_credits_earned_year_3": Field("float", checks=_MONEY),
+    "number_of_credits_attempted_year_4": Field("float", checks=_MONEY),
+    "number_of_credits_earned_year_4": Field("float", checks=_MONEY),
+    "gateway_math_status": Field("string", checks=_some("R N")),
+    "gateway_english_status": Field("string", checks=_some("R N")),
+    "attempted_gateway_math_year_1": Field("string", checks=_YN),
+    "attempted_gateway_english_year_1": Field("string", checks=_YN),
+    "completed_gateway_math_year_1": Field("string", checks=_some("C D NA")),
+    "completed_gateway_english_year_1": Field("string", checks=_some("C D NA")),
+    "gateway_math_grade_y_1": Field("string"),
+    "gateway_english_grade_y_1": Field("string"),
+    "attempted_dev_math_y_1": Field("string", checks=_some("Y N NA")),
+    "attempted_dev_english_y_1": Field("string", checks=_some("Y N NA")),
+    "completed_dev_math_y_1": Field("string", checks=_some("Y N NA")),
+    "completed_dev_english_y_1": Field("string", checks=_some("Y N NA")),
     "retention": Field("boolean", nullable=False),
     "persistence": Field("boolean", nullable=False),
-    **{f"{what}_at_{inst}": Field("short", checks=_YEARS) for inst in ("cohort_inst", "other_inst") for what in ("years_to_associates_or_certificate", "first_year_to_associates_or_certificate")},
     "years_to_bachelors_at_cohort_inst": Field("short", checks=_YEARS),
+    "years_to_associates_or_certificate_at_cohort_inst": Field("short", checks=_YEARS),
     "years_to_bachelor_at_other_inst": Field("short", checks=_YEARS),
-    "first_year_to_bachelors_at_cohort_inst": Field("short", checks=_YEARS),
-    "first_year_to_bachelor_at_other_inst": Field("short", checks=_YEARS),
+    "years_to_associates_or_certificate_at_other_inst": Field("short", checks=_YEARS),
     "years_of_last_enrollment_at_cohort_institution": Field("int", nullable=False, checks=_YEARS),
     "years_of_last_enrollment_at_other_institution": Field("int", nullable=False, checks=_YEARS),
-    "gender": Field("string"),
-    "race": Field("string"),
+    "time_to_credential": Field("float"),
+    "reading_placement": Field("string", required=False, checks=_PLACED),
+    "special_program": Field("string", required=False),
+    "naspa_first_generation": Field("string", required=False, checks=_some("-1 0 1 2 3 4 5 6")),
+    "incarcerated_status": Field("string", required=False, checks=_some("Y P N")),
+    "military_status": Field("string", required=False, checks=_some("0 1 2")),
+    "employment_status": Field("string", required=False, checks=_some("-1 0 1 2 3 4")),
+    "disability_status": Field("string", required=False, checks=_YN),
+    "foreign_language_completion": Field("string", required=False),
+    "first_year_to_bachelors_at_cohort_inst": Field("short", checks=_YEARS),
+    "first_year_to_associates_or_certificate_at_cohort_inst": Field("short", checks=_YEARS),
+    "first_year_to_bachelor_at_other_inst": Field("short", checks=_YEARS),
+    "first_year_to_associates_or_certificate_at_other_inst": Field("short", checks=_YEARS),
+    "program_of_study_year_1": Field("string"),
+    "most_recent_bachelors_at_other_institution_state": Field("string"),
+    "most_recent_associates_or_certificate_at_other_institution_state": Field("string"),
+    "most_recent_last_enrollment_at_other_institution_state": Field("string"),
+    "first_bachelors_at_other_institution_state": Field("string"),
+    "first_associates_or_certificate_at_other_institution_state": Field("string"),
+    "most_recent_bachelors_at_other_institution_carnegie": Field("string"),
+    "most_recent_associates_or_certificate_at_other_institution_carnegie": Field("string"),
+    "most_recent_last_enrollment_at_other_institution_carnegie": Field("string"),
+    "first_bachelors_at_other_institution_carnegie": Field("string"),
+    "first_associates_or_certificate_at_other_institution_carnegie": Field("string"),
+    "most_recent_bachelors_at_other_institution_locale": Field("string"),
+    "most_recent_associates_or_certificate_at_other_institution_locale": Field("string"),
+    "most_recent_last_enrollment_at_other_institution_locale": Field("string"),
+    "first_bachelors_at_other_institution_locale": Field("string"),
+    "first_associates_or_certificate_at_other_institution_locale": Field("string"),
+    "years_to_latest_associates_at_cohort_inst": Field("short", required=False, checks=_YEARS),
+    "years_to_latest_certificate_at_cohort_inst": Field("short", required=False, checks=_YEARS),
+    "years_to_latest_associates_at_other_inst": Field("short", required=False, checks=_YEARS),
+    "years_to_latest_certificate_at_other_inst": Field("short", required=False, checks=_YEARS),
+    "first_year_to_associates_at_cohort_inst": Field("short", required=False, checks=_YEARS),
+    "first_year_to_certificate_at_cohort_inst": Field("short", required=False, checks=_YEARS),
+    "first_year_to_associates_at_other_inst": Field("short", required=False, checks=_YEARS),
+    "first_year_to_certificate_at_other_inst": Field("short", required=False, checks=_YEARS),
 }
+#: The raw course contract.
 COURSE: dict[str, Field] = {
     "student_id": Field("string", nullable=False),
     "institution_id": Field("string", nullable=False),
+    "student_age": Field("string"),
+    "race": Field("string"),
+    "ethnicity": Field("string"),
+    "gender": Field("string"),
+    "cohort": Field("string", nullable=False),
+    "cohort_term": Field("string", nullable=False, checks=_TERMS),
     "academic_year": Field("string"),
     "academic_term": Field("string", checks=_TERMS),
     "course_prefix": Field("string"),
     "course_number": Field("string"),
     "section_id": Field("string"),
-    "course_type": Field("string", checks={"isin": ("CU", "CG", "CC", "CD", "EL", "AB", "GE", "NC", "O")}),
+    "course_name": Field("string"),
+    "course_cip": Field("string"),
+    "course_type": Field("string", checks=_some("CU CG CC CD EL AB GE NC O")),
+    "math_or_english_gateway": Field("string", checks=_some("E M NA")),
+    "co_requisite_course": Field("string", checks=_YN),
+    "course_begin_date": Field("timestamp"),
+    "course_end_date": Field("timestamp"),
     "grade": Field("string"),
-    "number_of_credits_attempted": Field("float", checks={"in_range": (0, 20)}),
-    "number_of_credits_earned": Field("float", checks={"in_range": (0, 20)}),
-    "delivery_method": Field("string", checks={"isin": ("F", "O", "H")}),
+    "number_of_credits_attempted": Field("float", checks=_CREDITS),
+    "number_of_credits_earned": Field("float", checks=_CREDITS),
+    "delivery_method": Field("string", checks=_some("F O H")),
     "core_course": Field("string", checks=_YN),
+    "core_course_type": Field("string"),
+    "core_competency_completed": Field("string", checks=_YN),
+    "enrolled_at_other_institution_s": Field("string", checks=_YN),
+    "credential_engine_identifier": Field("string", required=False),
+    "course_instructor_employment_status": Field("string", required=False, checks=_some("PT FT")),
+    "course_instructor_rank": Field("string", required=False, checks=_some("1 2 3 4 5 6 7")),
+    "enrollment_record_at_other_institution_s_state_s": Field("string"),
+    "enrollment_record_at_other_institution_s_carnegie_s": Field("string"),
+    "enrollment_record_at_other_institution_s_locale_s": Field("string"),
+    "term_program_of_study": Field("string", required=False),
 }
 COURSE_KEY = ("student_id", "academic_year", "academic_term", "course_prefix", "course_number", "section_id")
+#: Courses of a term that are counted, and those of optional columns.
+COUNTED = """passed completed enrolled_at_other_institution_s_y course_type_cc_cd course_type_cu course_type_cg course_type_cc course_type_cd course_type_el course_type_ab course_type_ge course_type_nc course_type_o
+    delivery_method_f delivery_method_o delivery_method_h math_or_english_gateway_m math_or_english_gateway_e math_or_english_gateway_na co_requisite_course_y co_requisite_course_n
+    course_instructor_employment_status_pt course_instructor_employment_status_ft course_instructor_rank_1 course_instructor_rank_2 course_instructor_rank_3 course_instructor_rank_4 course_instructor_rank_5
+    course_instructor_rank_6 course_instructor_rank_7 course_level_1 course_grade_a grade_is_failing_or_withdrawal grade_above_section_avg""".split()
+COUNTED_OPTIONAL = ["core_course_y", "core_course_n"]
+#: The contract of student-terms. Columns of the cohort table keep its rules, but for the nulls named here.
 STUDENT_TERM: dict[str, Field] = {
-    "student_id": Field("string", nullable=False), "term_id": Field("string", nullable=False), "term_rank": Field("short", nullable=False), "num_courses": Field("short", nullable=False, checks=_MONEY),
-    "num_credits_earned": Field("float", nullable=False, checks=_MONEY), "frac_courses_passed": Field("float", checks={"in_range": (0, 1)}), "student_term_enrollment_intensity": Field("string", nullable=False, checks={"isin": ("FULL-TIME", "PART-TIME")}),
+    "student_id": Field("string", nullable=False),
+    "term_id": Field("string", nullable=False),
+    "institution_id": Field("string", nullable=False),
+    "academic_year": Field("string", nullable=False),
+    "academic_term": Field("string", nullable=False, checks=_TERMS),
+    "term_start_dt": Field("timestamp", nullable=False),
+    "term_rank": Field("short", nullable=False),
+    "term_in_peak_covid": Field("boolean", nullable=False),
+    "term_rank_core": Field("short"),
+    "term_is_core": Field("boolean", nullable=False),
+    "num_courses": Field("short", nullable=False, checks=_MONEY),
+    "num_credits_attempted": Field("float", nullable=False),
+    "num_credits_earned": Field("float", nullable=False, checks=_MONEY),
+    "course_id_nunique": Field("short"),
+    "course_subject_nunique": Field("short"),
+    "course_subject_area_nunique": Field("short"),
+    "course_level_mean": Field("float"),
+    "course_level_std": Field("float"),
+    "course_grade_numeric_mean": Field("float"),
+    "course_grade_numeric_std": Field("float"),
+    "section_num_students_enrolled_mean": Field("float"),
+    "section_num_students_enrolled_std": Field("float"),
+    "sections_num_students_enrolled": Field("int", nullable=False),
+    "sections_num_students_passed": Field("int", nullable=False),
+    "sections_num_students_completed": Field("int", nullable=False),
+    **{f"num_courses_{c}": Field("short", nullable=False) for c in COUNTED},
+    **{f"num_courses_{c}": Field("short", nullable=False, required=False) for c in COUNTED_OPTIONAL},
+    "cohort": Field("string", nullable=False),
+    "cohort_term": Field("string", nullable=False, checks=_TERMS),
+    "enrollment_type": Field("string", checks=_some("FIRST-TIME RE-ADMIT TRANSFER-IN")),
+    "enrollment_intensity_first_term": Field("string", checks=_some("FULL-TIME PART-TIME")),
+    "math_placement": Field("string", checks=_PLACED),
+    "english_placement": Field("string", checks=_PLACED),
+    "reading_placement": Field("string", checks=_PLACED),
+    "dual_and_summer_enrollment": Field("string", checks=_some("DE SE DS")),
+    "student_age": Field("string", nullable=False),
+    "race": Field("string", nullable=False),
+    "ethnicity": Field("string", nullable=False),
+    "first_gen": Field("string", nullable=False),
+    "pell_status_first_year": Field("string"),
+    **{c: Field("string", required=False) for c in ("special_program", "naspa_first_generation", "incarcerated_status", "military_status", "employment_status", "disability_status", "foreign_language_completion")},
+    "credential_type_sought_year_1": Field("string"),
+    "program_of_study_term_1": Field("string"),
+    "program_of_study_year_1": Field("string"),
+    "gpa_group_term_1": Field("float", checks=_GPA),
+    "gpa_group_year_1": Field("float", checks=_GPA),
+    **{c: Field("float", checks=_MONEY) for c in ("number_of_credits_earned_year_1", "number_of_credits_attempted_year_2", "number_of_credits_earned_year_2", "number_of_credits_attempted_year_3", "number_of_credits_earned_year_3", "number_of_credits_attempted_year_4", "number_of_credits_earned_year_4")},
+    "cohort_id": Field("string", nullable=False),
+    "cohort_start_dt": Field("timestamp", nullable=False),
+    "student_program_of_study_area_term_1": Field("string"),
+    "student_program_of_study_area_year_1": Field("string"),
+    "student_program_of_study_area_changed_term_1_to_year_1": Field("boolean"),
+    "diff_gpa_term_1_to_year_1": Field("float"),
+    **{f"frac_credits_earned_year_{y}": Field("float") for y in (1, 2, 3, 4)},
+    "year_of_enrollment_at_cohort_inst": Field("short", nullable=False),
+    "term_is_while_student_enrolled_at_other_inst": Field("boolean", nullable=False),
+    "frac_credits_earned": Field("float"),
+    "student_term_enrollment_intensity": Field("string", nullable=False, checks=_some("FULL-TIME PART-TIME")),
+    **{f"frac_courses_{c}": Field("float", nullable=False, checks={"in_range": (0, 1)}) for c in COUNTED},
+    **{f"frac_courses_{c}": Field("float", nullable=False, required=False, checks={"in_range": (0, 1)}) for c in COUNTED_OPTIONAL},
 }
 LABELED: dict[str, Field] = {"student_id": Field("string", nullable=False), "target": Field("boolean", nullable=False), "split": Field("string", required=False, checks={"isin": ("train", "test", "validate")})}
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quadrangle.operators.evaluation import running
+
 
 def value_counts(df: DataFrame, cols: Sequence[str], *, dropna: bool = True) -> DataFrame:
     """cols, count, pct (half-even, one decimal). The window runs over groups, not rows."""
@@ -66,31 +69,53 @@ def null_fractions(df: DataFrame) -> DataFrame:
     return flat.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"a{k}").alias("fraction")) for k, c in enumerate(df.columns)])).alias("r")).select("r.*")
 
 
-def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
-    """One row, `value`: plain chi-square V on complete pairs; null where a column has one level. Joins and windows run over cells."""
-    cells = df.dropna(subset=[a, b]).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count("*").cast("double").alias("n"))
-    wa, wb = Window.partitionBy("a"), Window.partitionBy("b")
+def _pairs_of(df: DataFrame, pairs: Sequence[tuple[str, str]], b_kind: str) -> DataFrame:
+    """(col1, col2, a, b) of each row and pair of columns where both are known: one scan for all pairs."""
+    each = [F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(a).cast("string").alias("a"), F.col(b).cast(b_kind).alias("b")) for a, b in pairs]
+    return df.select(F.explode(F.array(*each)).alias("r")).select("r.*").where("a is not null and b is not null")
+
+
+def _with_pairs(found: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """A row for each pair, with a null value where none of its rows is complete."""
+    every = found.sparkSession.createDataFrame(list(pairs), "col1 string, col2 string")
+    return every.join(F.broadcast(found), ["col1", "col2"], "left")
+
+
+def _cramers(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    cells = _pairs_of(df, pairs, "string").groupBy("col1", "col2", "a", "b").agg(F.count("*").cast("double").alias("n"))
+    wa, wb = Window.partitionBy("col1", "col2", "a"), Window.partitionBy("col1", "col2", "b")
     cells = cells.withColumns({"ra": F.sum("n").over(wa), "cb": F.sum("n").over(wb)})
-    t = cells.agg(F.sum("n").alias("n"), F.sum(F.col("n") ** 2 / (F.col("ra") * F.col("cb"))).alias("q"), F.countDistinct("a").alias("r"), F.countDistinct("b").alias("c"))
+    # A level's first cell counts it; joins and windows run over cells.
+    first_a, first_b = (F.row_number().over(w.orderBy(o)) == 1 for w, o in ((wa, "b"), (wb, "a")))
+    cells = cells.withColumns({"fa": first_a, "fb": first_b})
+    t = cells.groupBy("col1", "col2").agg(F.sum("n").alias("n"), F.sum(F.col("n") ** 2 / (F.col("ra") * F.col("cb"))).alias("q"), F.count_if("fa").alias("r"), F.count_if("fb").alias("c"))
     chi2 = F.greatest(F.col("n") * (F.col("q") - 1), F.lit(0.0))  # empty cells add their expectation, which this form includes
     low = F.least("r", "c") - 1
-    return t.select(F.when(low > 0, F.sqrt(chi2 / F.col("n") / low)).alias("value"))
+    return _with_pairs(t.select("col1", "col2", F.when(low > 0, F.sqrt(chi2 / F.col("n") / low)).alias("value")), pairs)
 
 
-def correlation_ratio(df: DataFrame, category: str, number: str) -> DataFrame:
-    """One row, `value`: eta, 0 where the groups' means agree; null for a single group."""
-    g = df.dropna(subset=[category, number]).groupBy(category).agg(F.count("*").alias("n"), F.avg(number).alias("m"), F.sum(F.col(number).cast("double") ** 2).alias("q"))
-    t = g.agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"), F.sum(F.col("n") * F.col("m") ** 2).alias("b"), F.sum("q").alias("q"), F.count("*").alias("k"))
+def _ratios(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    g = _pairs_of(df, pairs, "double").groupBy("col1", "col2", "a").agg(F.count("*").alias("n"), F.avg("b").alias("m"), F.sum(F.col("b") ** 2).alias("q"))
+    t = g.groupBy("col1", "col2").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"), F.sum(F.col("n") * F.col("m") ** 2).alias("b"), F.sum("q").alias("q"), F.count("*").alias("k"))
     shift = F.col("n") * F.col("mean") ** 2
     between, total = F.greatest(F.col("b") - shift, F.lit(0.0)), F.col("q") - shift
-    return t.select(F.when(F.col("k") > 1, F.when(total <= 0, F.lit(0.0)).otherwise(F.sqrt(F.least(between / total, F.lit(1.0))))).alias("value"))
+    return _with_pairs(t.select("col1", "col2", F.when(F.col("k") > 1, F.when(total <= 0, F.lit(0.0)).otherwise(F.sqrt(F.least(between / total, F.lit(1.0))))).alias("value")), pairs)
+
+
+def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
+    """One row, `value`: plain chi-square V on complete pairs; null where a column has one level."""
+    return _cramers(df, [(a, b)]).select("value")
+
+
+def correlation_ratio(df: DataFrame, category: str, number: str) -> DataFrame:
+    """One row, `value`: eta, 0 where the groups' means agree; null for a single group."""
+    return _ratios(df, [(category, number)]).select("value")
 
 
 def _average_rank(counts: DataFrame, col: str, out: str) -> DataFrame:
-    """(col, out): the average rank of each distinct value; the ordered window runs over distinct values."""
-    g = counts.groupBy(col).agg(F.sum("n").alias("k"))
-    before = F.coalesce(F.sum("k").over(Window.orderBy(col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return g.select(F.col(col).alias(f"__{col}"), (before + (F.col("k") + 1) / 2).alias(out))
+    """(col, out): the average rank of each distinct value."""
+    g = running(counts.groupBy(col).agg(F.sum("n").alias("k")), col, {"upto": "k"})
+    return g.select(F.col(col).alias(f"__{col}"), (F.col("upto") - (F.col("k") - 1) / 2).alias(out))
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -112,23 +137,18 @@ def pairwise_associations(df: DataFrame, cols: Sequence[str] | None = None, *, r
     kinds = dict(df.dtypes)
     cols = [c for c in (cols or df.columns) if kinds[c] in NUMBERS or kinds[c] in ("string", "boolean")]
     df = df.select(*[F.col(c).cast("timestamp").cast("double").alias(c) if kinds[c] in ("date", "timestamp") else F.col(c).cast("string").alias(c) if kinds[c] == "boolean" else F.col(c) for c in cols])
-    out = None
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            if ref_col and ref_col not in (a, b):
-                continue
-            na, nb = kinds[a] in NUMBERS, kinds[b] in NUMBERS
-            if a == b:
-                one = df.limit(1).select(F.lit(1.0).alias("value"))
-            elif na and nb:
-                one = spearman(df, a, b)
-            elif not na and not nb:
-                one = cramers_v(df, a, b)
-            else:
-                one = correlation_ratio(df, b if na else a, a if na else b)
-            one = one.select(F.lit(a).alias("col1"), F.lit(b).alias("col2"), "value")
-            out = one if out is None else out.unionByName(one)
-    return out
+    wanted = [(a, b) for i, a in enumerate(cols) for b in cols[i:] if not ref_col or ref_col in (a, b)]
+    number = {c: kinds[c] in NUMBERS for c in cols}
+    parts = [df.limit(1).select(F.explode(F.array(*[F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.lit(1.0).alias("value")) for a, b in wanted if a == b])).alias("r")).select("r.*")] if any(a == b for a, b in wanted) else []
+    if cells := [(a, b) for a, b in wanted if a != b and not number[a] and not number[b]]:
+        parts.append(_cramers(df, cells))
+    if mixed := [(a, b) for a, b in wanted if number[a] != number[b]]:
+        flipped = {((b, a) if number[a] else (a, b)): (a, b) for a, b in mixed}
+        named = F.create_map(*[F.lit(x) for (c, n), (a, _) in flipped.items() for x in (f"{c}\n{n}", a)])
+        first = named[F.concat_ws("\n", "col1", "col2")]
+        parts.append(_ratios(df, list(flipped)).select(first.alias("col1"), F.when(F.col("col1") == first, F.col("col2")).otherwise(F.col("col1")).alias("col2"), "value"))
+    parts += [spearman(df, a, b).select(F.lit(a).alias("col1"), F.lit(b).alias("col2"), "value") for a, b in wanted if a != b and number[a] and number[b]]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def histogram(c: Column, width: float) -> Column:

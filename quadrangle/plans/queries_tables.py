@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.operators import contracts, eda, selection, targets
 from quadrangle.operators.cleaning import null_future_values
+from quadrangle.plans.oracle import WHOLE
 from quadrangle.plans.registry import Views, query
 from quadrangle.sources import readers, writers
 
@@ -17,33 +18,53 @@ def _check(check: str, column: str, failed: str, view: str, severity: str = "err
     return f"select '{check}' as \"check\", '{column}' as \"column\", '{severity}' as severity, count(*) filter (where {failed}) as n_failed from {view}"
 
 
-_T = "not in ('FALL','WINTER','SPRING','SUMMER')"
-_COHORT = {"student_id": contracts.COHORT["student_id"], "cohort_term": contracts.COHORT["cohort_term"], "gpa_group_term_1": contracts.COHORT["gpa_group_term_1"], "pell_status_first_year": contracts.COHORT["pell_status_first_year"]}
+def _checks(contract: dict[str, contracts.Field], columns: str, view: str) -> str:
+    """What a contract's checks say about a view with these columns, in SQL; all columns are of the declared kinds."""
+    have, out = columns.split(), []
 
+    def literal(values) -> str:
+        return "(" + ",".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + ")"
 
-@query("contract_raw_cohort", " union all ".join([
-    _check("kind", "student_id", "false", "v_cohort"), _check("not_null", "student_id", "student_id is null", "v_cohort"), _check("kind", "cohort_term", "false", "v_cohort"), _check("not_null", "cohort_term", "cohort_term is null", "v_cohort"),
-    _check("isin", "cohort_term", f"cohort_term {_T}", "v_cohort"), _check("kind", "gpa_group_term_1", "false", "v_cohort"), _check("in_range", "gpa_group_term_1", "gpa_group_term_1 not between 0 and 4", "v_cohort"),
-    _check("kind", "pell_status_first_year", "false", "v_cohort"), _check("isin", "pell_status_first_year", "pell_status_first_year not in ('Y','N')", "v_cohort"),
-    "select 'unique', 'student_id', 'error', cast(coalesce(sum(n),0) as bigint) from (select student_id, count(*) n from v_cohort group by 1 having count(*)>1)"]))
+    for name, f in contract.items():
+        if name not in have:
+            if f.required:
+                out.append(_check("missing", name, "true", view))
+            continue
+        out.append(_check("kind", name, "false", view))
+        if not f.nullable:
+            out.append(_check("not_null", name, f"{name} is null", view))
+        for check, args in f.checks.items():
+            failed = {"isin": lambda a, c=name: f"{c} not in {literal(a)}", "ge": lambda a, c=name: f"{c}<{a}", "in_range": lambda a, c=name: f"{c} not between {a[0]} and {a[1]}"}[check](args)
+            out.append(_check(check, name, failed, view, f.severity))
+    return " union all ".join(out)
+
+
+_UNIQUE = "select 'unique', '{key}', 'error', cast(coalesce(sum(n),0) as bigint) from (select count(*) n from {view} group by {key} having count(*)>1)"
+_COHORT_COLUMNS = "student_id institution_id cohort cohort_term enrollment_type enrollment_intensity_first_term gender race program_of_study_term_1 program_of_study_year_1 gpa_group_term_1 gpa_group_year_1 pell_status_first_year retention first_year_to_bachelors_at_cohort_inst"
+_COURSE_COLUMNS = "student_id institution_id academic_year academic_term course_prefix course_number section_id course_cip grade number_of_credits_attempted number_of_credits_earned delivery_method core_course"
+
+
+@query("contract_raw_cohort", _checks(contracts.COHORT, _COHORT_COLUMNS, "v_cohort") + " union all " + _UNIQUE.format(key="student_id", view="v_cohort"))
 def _(v: Views) -> DataFrame:
-    return contracts.violations(v.cohort(), _COHORT, unique=["student_id"])
+    return contracts.violations(v.cohort(), contracts.COHORT, unique=["student_id"])
 
 
-_COURSE = {c: contracts.COURSE[c] for c in ("student_id", "number_of_credits_earned", "delivery_method")}
+_KEY = "student_id,academic_year,academic_term,course_prefix,course_number,section_id"
 
 
-@query("contract_raw_course", " union all ".join([
-    _check("kind", "student_id", "false", "v_course"), _check("not_null", "student_id", "student_id is null", "v_course"), _check("kind", "number_of_credits_earned", "false", "v_course"), _check("in_range", "number_of_credits_earned", "number_of_credits_earned not between 0 and 20", "v_course"),
-    _check("kind", "delivery_method", "false", "v_course"), _check("isin", "delivery_method", "delivery_method not in ('F','O','H')", "v_course"), _check("credits", "number_of_credits_earned", "number_of_credits_attempted<number_of_credits_earned", "v_course"),
-    "select 'unique', 'student_id,academic_year,academic_term,course_prefix,course_number,section_id', 'error', cast(coalesce(sum(n),0) as bigint) from (select count(*) n from v_course group by student_id,academic_year,academic_term,course_prefix,course_number,section_id having count(*)>1)"]))
+@query("contract_raw_course", " union all ".join([_checks(contracts.COURSE, _COURSE_COLUMNS, "v_course"), _check("credits", "number_of_credits_earned", "number_of_credits_attempted<number_of_credits_earned", "v_course"), _UNIQUE.format(key=_KEY, view="v_course")]))
 def _(v: Views) -> DataFrame:
-    return contracts.violations(v.course(), _COURSE, unique=contracts.COURSE_KEY, extra=[("credits", "number_of_credits_earned", "error", contracts.more_earned_than_attempted())])
+    return contracts.violations(v.course(), contracts.COURSE, unique=contracts.COURSE_KEY, extra=[("credits", "number_of_credits_earned", "error", contracts.more_earned_than_attempted())])
+
+
+_TERM_NAMES = {"student_program_of_study_area_term_1": "area_term_1", "student_program_of_study_area_year_1": "area_year_1", "diff_gpa_term_1_to_year_1": "diff_gpa", "student_program_of_study_area_changed_term_1_to_year_1": "area_term_1<>area_year_1"}
+_TERM_COLUMNS = " ".join(c for c in contracts.STUDENT_TERM if c in WHOLE)
+_TERM_VIEW = "(select " + ", ".join(f"{_TERM_NAMES.get(c, c)} as {c}" for c in _TERM_COLUMNS.split()) + " from stj)"
 
 
-@query("contract_student_term", " union all ".join([_check("kind", "num_courses", "false", "stj"), _check("not_null", "num_courses", "num_courses is null", "stj"), _check("ge", "num_courses", "num_courses<0", "stj"), _check("kind", "frac_courses_passed", "false", "stj"), _check("in_range", "frac_courses_passed", "frac_courses_passed not between 0 and 1", "stj")]))
+@query("contract_student_term", _checks(contracts.STUDENT_TERM, _TERM_COLUMNS, _TERM_VIEW))
 def _(v: Views) -> DataFrame:
-    return contracts.violations(v.stj(), {c: contracts.STUDENT_TERM[c] for c in ("num_courses", "frac_courses_passed")})
+    return contracts.violations(v.stj(), contracts.STUDENT_TERM)
 
 
 @query("contract_labeled", " union all ".join([_check("kind", "student_id", "false", "v_pred"), _check("not_null", "student_id", "student_id is null", "v_pred"), _check("kind", "target", "false", "v_pred"), _check("not_null", "target", "target is null", "v_pred"), _check("kind", "split", "false", "v_pred"), _check("isin", "split", "split not in ('train','test','validate')", "v_pred")]))
@@ -358,7 +379,7 @@ def _(v: Views) -> DataFrame:
 
 @query("sink_verify")
 def _(v: Views) -> DataFrame:
-    return writers.verify_table(writers.write_table(v.cohort(), writers.scratch_name("cohort")), _COHORT)
+    return writers.verify_table(writers.write_table(v.cohort(), writers.scratch_name("cohort")), contracts.COHORT)
 
 
 @query("sink_single_csv")
