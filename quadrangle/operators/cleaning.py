@@ -10,23 +10,111 @@ from pyspark.sql import functions as F
 
 LOG = logging.getLogger(__name__)
 
-_AWAY = [f"{what}_at_other_institution_{place}" for place in ("state", "carnegie", "locale") for what in ("most_recent_bachelors", "most_recent_associates_or_certificate", "most_recent_last_enrollment", "first_bachelors", "first_associates_or_certificate")]
-_GATEWAY = [f"{what}_gateway_{subject}_year_1" for what in ("attempted", "completed") for subject in ("math", "english")]
-_GATEWAY += [f"gateway_{subject}_{what}" for what in ("status", "grade_y_1") for subject in ("math", "english")]
-_GATEWAY += [f"{what}_dev_{subject}_y_1" for what in ("attempted", "completed") for subject in ("math", "english")]
 #: Columns of the raw cohort table that features don't use.
-COHORT_DROPS = ["time_to_credential", "incarcerated_status", "military_status", "employment_status", "disability_status", "naspa_first_generation", "attendance_status_term_1", *_GATEWAY, *_AWAY]
-COHORT_ADDS = {f"{what}_{degree}_at_{inst}_inst": "short" for what in ("years_to_latest", "first_year_to") for inst in ("cohort", "other") for degree in ("associates", "certificate")}
+COHORT_DROPS = [
+    "attempted_dev_english_y_1",
+    "attempted_dev_math_y_1",
+    "attempted_gateway_english_year_1",
+    "attempted_gateway_math_year_1",
+    "attendance_status_term_1",
+    "completed_dev_english_y_1",
+    "completed_dev_math_y_1",
+    "completed_gateway_english_year_1",
+    "completed_gateway_math_year_1",
+    "disability_status",
+    "employment_status",
+    "first_associates_or_certificate_at_other_institution_carnegie",
+    "first_associates_or_certificate_at_other_institution_locale",
+    "first_associates_or_certificate_at_other_institution_state",
+    "first_bachelors_at_other_institution_carnegie",
+    "first_bachelors_at_other_institution_locale",
+    "first_bachelors_at_other_institution_state",
+    "gateway_english_grade_y_1",
+    "gateway_english_status",
+    "gateway_math_grade_y_1",
+    "gateway_math_status",
+    "incarcerated_status",
+    "military_status",
+    "most_recent_associates_or_certificate_at_other_institution_carnegie",
+    "most_recent_associates_or_certificate_at_other_institution_locale",
+    "most_recent_associates_or_certificate_at_other_institution_state",
+    "most_recent_bachelors_at_other_institution_carnegie",
+    "most_recent_bachelors_at_other_institution_locale",
+    "most_recent_bachelors_at_other_institution_state",
+    "most_recent_last_enrollment_at_other_institution_carnegie",
+    "most_recent_last_enrollment_at_other_institution_locale",
+    "most_recent_last_enrollment_at_other_institution_state",
+    "naspa_first_generation",
+    "time_to_credential",
+]
+#: Columns that older cohort files lack.
+COHORT_ADDS = {
+    "first_year_to_associates_at_cohort_inst": "short",
+    "first_year_to_associates_at_other_inst": "short",
+    "first_year_to_certificate_at_cohort_inst": "short",
+    "first_year_to_certificate_at_other_inst": "short",
+    "years_to_latest_associates_at_cohort_inst": "short",
+    "years_to_latest_associates_at_other_inst": "short",
+    "years_to_latest_certificate_at_cohort_inst": "short",
+    "years_to_latest_certificate_at_other_inst": "short",
+}
 #: Columns of the raw course table that features don't use.
-COURSE_DROPS = ["cohort", "cohort_term", "student_age", "race", "ethnicity", "gender", "course_name", "core_course_type", "core_competency_completed", "credential_engine_identifier"]
-COURSE_DROPS += [f"enrollment_record_at_other_institution_s_{x}_s" for x in ("state", "carnegie", "locale")]
-_RANKS = [f"{x}{y}" for x in ("term_rank", "min_student_term_rank") for y in ("", "_core", "_noncore")]
-_DEGREES = [f"{what}_{degree}_at_{inst}_inst" for what, degree in (("years_to_latest", "associates"), ("first_year_to", "associates"), ("years_to", "associates_or_certificate"), ("first_year_to", "associates_or_certificate")) for inst in ("cohort", "other")]
+COURSE_DROPS = [
+    "cohort",
+    "cohort_term",
+    "core_competency_completed",
+    "core_course_type",
+    "course_name",
+    "credential_engine_identifier",
+    "enrollment_record_at_other_institution_s_carnegie_s",
+    "enrollment_record_at_other_institution_s_locale_s",
+    "enrollment_record_at_other_institution_s_state_s",
+    "ethnicity",
+    "gender",
+    "race",
+    "student_age",
+]
 #: Columns that must not be features: keys, inputs of other features, and outcomes.
-LABELED_DROPS = ["institution_id", "term_id", "academic_year", "cohort", "cohort_id", *_RANKS, "term_is_core", "term_is_noncore", "course_ids", "course_subjects", "course_subject_areas"]
-LABELED_DROPS += ["sections_num_students_enrolled", "sections_num_students_passed", "sections_num_students_completed", "term_start_dt", "cohort_start_dt", "pell_status_first_year", "retention", "persistence"]
-LABELED_DROPS += ["years_to_bachelors_at_cohort_inst", "years_to_bachelor_at_other_inst", "first_year_to_bachelors_at_cohort_inst", "first_year_to_bachelor_at_other_inst", *_DEGREES]
-LABELED_DROPS += ["years_of_last_enrollment_at_cohort_institution", "years_of_last_enrollment_at_other_institution"]
+LABELED_DROPS = [
+    "academic_year",
+    "cohort",
+    "cohort_id",
+    "cohort_start_dt",
+    "course_ids",
+    "course_subject_areas",
+    "course_subjects",
+    "first_year_to_associates_at_cohort_inst",
+    "first_year_to_associates_at_other_inst",
+    "first_year_to_associates_or_certificate_at_cohort_inst",
+    "first_year_to_associates_or_certificate_at_other_inst",
+    "first_year_to_bachelor_at_other_inst",
+    "first_year_to_bachelors_at_cohort_inst",
+    "institution_id",
+    "min_student_term_rank",
+    "min_student_term_rank_core",
+    "min_student_term_rank_noncore",
+    "pell_status_first_year",
+    "persistence",
+    "retention",
+    "sections_num_students_completed",
+    "sections_num_students_enrolled",
+    "sections_num_students_passed",
+    "term_id",
+    "term_is_core",
+    "term_is_noncore",
+    "term_rank",
+    "term_rank_core",
+    "term_rank_noncore",
+    "term_start_dt",
+    "years_of_last_enrollment_at_cohort_institution",
+    "years_of_last_enrollment_at_other_institution",
+    "years_to_associates_or_certificate_at_cohort_inst",
+    "years_to_associates_or_certificate_at_other_inst",
+    "years_to_bachelor_at_other_inst",
+    "years_to_bachelors_at_cohort_inst",
+    "years_to_latest_associates_at_cohort_inst",
+    "years_to_latest_associates_at_other_inst",
+]
 
 
 def drop_columns_safely(df: DataFrame, columns: list[str]) -> DataFrame:

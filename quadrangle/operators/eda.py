@@ -151,5 +151,12 @@ def pairwise_associations(df: DataFrame, cols: Sequence[str] | None = None, *, r
     return reduce(DataFrame.unionByName, parts)
 
 
+def top_bottom(associations: DataFrame, n: int = 10) -> DataFrame:
+    """(which, col1, col2, value): the n highest and the n lowest associations of different columns."""
+    known = associations.where("col1 <> col2 and value is not null")  # a row for each pair of columns
+    high = known.orderBy(F.desc("value"), "col1", "col2").limit(n).select(F.lit("high").alias("which"), "col1", "col2", "value")
+    return high.unionByName(known.orderBy("value", "col1", "col2").limit(n).select(F.lit("low").alias("which"), "col1", "col2", "value"))
+
+
 def histogram(c: Column, width: float) -> Column:
     return (F.floor(c / width) * width).cast("double")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,11 @@ FRACTIONS = {"train": 0.6, "test": 0.2, "validate": 0.2}
 
 def uniform(key: Column, seed: int = 0) -> Column:
     """A number in [0, 1) that depends on the key and the seed only, so it is the same in any partitioning."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    return F.conv(F.substring(_mark(key, seed), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+
+
+def _mark(key: Column, seed: int) -> Column:
+    return F.md5(F.concat_ws(":", key, F.lit(seed)))
 
 
 def random_split(df: DataFrame, *, id_col: str = "student_id", fractions: dict[str, float] | None = None, seed: int = 0, out: str = "split") -> DataFrame:
@@ -111,7 +116,8 @@ def fill_with_mode(df: DataFrame, train: DataFrame, cols: Sequence[str]) -> Data
 
 
 def reference_sample(df: DataFrame, *, n: int = 100, id_col: str = "student_id", seed: int = 0) -> DataFrame:
-    return df.orderBy(F.xxhash64(id_col, F.lit(seed)), id_col).limit(n)
+    """n rows, those with the smallest hash of id and seed."""
+    return df.orderBy(_mark(F.col(id_col), seed), id_col).limit(n)
 
 
 # --- feature selection ----------------------------------------------------------------------
@@ -225,23 +231,49 @@ def train_candidates(df: DataFrame, features: Sequence[str], *, target_col: str
     return df.sparkSession.createDataFrame(rows, "model string, split string, roc_auc double, accuracy double"), models
 
 
+@dataclass(frozen=True)
+class LinearModel:
+    """A logistic model: weight and stand-in for nulls of each feature."""
+
+    weights: dict[str, float]
+    fills: dict[str, float]
+    intercept: float
+
+    @classmethod
+    def of(cls, fitted, features: Sequence[str]) -> LinearModel:
+        """From a fitted logistic pipeline of train_candidates()."""
+        fills, last = fitted.stages[0].surrogateDF.first(), fitted.stages[-1]
+        return cls(dict(zip(features, map(float, last.coefficients), strict=True)), {c: float(fills[c]) for c in features}, float(last.intercept))
+
+    def filled(self, c: str) -> Column:
+        return F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c]))
+
+    def probability(self) -> Column:
+        z = F.lit(self.intercept)
+        for c, w in self.weights.items():
+            z = z + F.lit(w) * self.filled(c)
+        return 1 / (1 + F.exp(-z))
+
+
 def predict(model, df: DataFrame, features: Sequence[str], *, id_col: str = "student_id", threshold: float = 0.5) -> DataFrame:
+    """(id, pred_prob, pred) by a fitted pipeline or a LinearModel."""
     from pyspark.ml.functions import vector_to_array
 
     absent = [c for c in features if c not in df.columns]
     if absent:
         raise ValueError(f"features missing: {absent}")
+    if isinstance(model, LinearModel):
+        p = model.probability()
+        return df.select(id_col, p.alias("pred_prob"), (p >= threshold).alias("pred"))
     scored = model.transform(df.withColumns({c: F.col(c).cast("double") for c in features}))
     p = vector_to_array("probability")[1]
     return scored.select(id_col, p.alias("pred_prob"), (p >= threshold).alias("pred"))
 
 
-def linear_attributions(model, df: DataFrame, features: Sequence[str], *, id_col: str = "student_id") -> DataFrame:
-    """Exact additive attributions of a fitted logistic pipeline: weight times distance from the mean, per feature."""
-    weights = [float(w) for w in model.stages[-1].coefficients]
-    filled = model.transform(df.withColumns({c: F.col(c).cast("double") for c in features}))
-    means = filled.agg(*[F.avg(f"{c}__filled").alias(f"__m_{c}") for c in features])  # one row
-    return filled.join(F.broadcast(means)).select(id_col, *[(F.lit(w) * (F.col(f"{c}__filled") - F.col(f"__m_{c}"))).alias(c) for c, w in zip(features, weights, strict=True)])
+def linear_attributions(model: LinearModel, df: DataFrame, *, id_col: str = "student_id") -> DataFrame:
+    """Exact additive attributions of a linear model: weight times distance from the mean, per feature."""
+    means = df.agg(*[F.avg(model.filled(c)).alias(f"__m_{c}") for c in model.weights])  # one row
+    return df.join(F.broadcast(means)).select(id_col, *[(F.lit(w) * (model.filled(c) - F.col(f"__m_{c}"))).alias(c) for c, w in model.weights.items()])
 
 
 def apply_attributions(df: DataFrame, fn: Callable, schema: str) -> DataFrame:

@@ -33,7 +33,7 @@ from customer c join (select o_custkey,o_orderdate,row_number() over (partition
 """
 
 PREDICTIONS = """
-select cast(o.o_orderkey as string) student_id, o.o_orderstatus='F' target, ((o.o_orderkey*7919)%1000)/cast(1000 as double) pred_prob, ((o.o_orderkey*7919)%1000)>=500 pred,
+select cast(o.o_orderkey as string) student_id, o.o_orderstatus='F' target, ((o.o_orderkey*7919)%1000003)/cast(1000003 as double) pred_prob, ((o.o_orderkey*7919)%1000003)>=500002 pred,
  o.o_orderpriority priority, r.r_name region, case o.o_orderkey%5 when 0 then 'test' when 1 then 'validate' else 'train' end split
 from orders o join customer c on o.o_custkey=c.c_custkey join nation n on c.c_nationkey=n.n_nationkey join region r on n.n_regionkey=r.r_regionkey
 """

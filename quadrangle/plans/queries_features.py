@@ -189,7 +189,7 @@ def _(v: Views) -> DataFrame:
     return v.pred().where("split = 'train'").select("student_id", "split")
 
 
-@query("high_risk_filter", "select student_id, pred_prob from v_pred where pred_prob>=(select quantile_cont(pred_prob,0.9) from v_pred)")
+@query("high_risk_filter", "select student_id, r(pred_prob) as pred_prob from v_pred where pred_prob>=(select quantile_cont(pred_prob,0.9) from v_pred)")
 def _(v: Views) -> DataFrame:
     return selection.above_quantile(v.pred(), "pred_prob", 0.9).select("student_id", "pred_prob")
 
@@ -240,7 +240,7 @@ def _(v: Views) -> DataFrame:
     return selection.update_from(v.cohort().select("student_id", "race"), new, ["student_id"])
 
 
-@query("join_scores", "select c.student_id, c.enrollment_type, p.pred_prob from v_cohort c left join v_pred p on c.student_id=p.student_id")
+@query("join_scores", "select c.student_id, c.enrollment_type, r(p.pred_prob) as pred_prob from v_cohort c left join v_pred p on c.student_id=p.student_id")
 def _(v: Views) -> DataFrame:
     return v.cohort().select("student_id", "enrollment_type").join(v.pred().select("student_id", "pred_prob"), "student_id", "left")
 
@@ -406,7 +406,7 @@ def _(v: Views) -> DataFrame:
     return v.course().select("student_id", F.lit("a").alias("part")).unionByName(v.cohort().select("student_id", F.lit("b").alias("part")))
 
 
-@query("union_splits", "select student_id, split, case when split='train' then pred_prob end as pred_prob from v_pred")
+@query("union_splits", "select student_id, split, case when split='train' then r(pred_prob) end as pred_prob from v_pred")
 def _(v: Views) -> DataFrame:
     p = v.pred().select("student_id", "split", "pred_prob")
     return p.where("split = 'train'").unionByName(p.where("split <> 'train'").drop("pred_prob"), allowMissingColumns=True)

@@ -21,7 +21,10 @@ def features(v: Views) -> DataFrame:
 _FEATURES = "(select cast(c_custkey as varchar) student_id, c_acctbal>3000 target, case when c_acctbal>0 then c_acctbal end balance, c_nationkey nation, c_nationkey*2 twice, case when c_custkey%5>0 then c_mktsegment end segment, 1 one, case when c_custkey%10=0 then 1 end rare from customer)"
 
 
-@query("random_split")
+_U = "(cast('0x'||substr(md5(student_id||':0'),1,8) as bigint)/4294967296.0)"
+
+
+@query("random_split", f"select student_id, case when {_U}<0.6 then 'train' when {_U}<0.8 then 'test' else 'validate' end as split from v_pred")
 def _(v: Views) -> DataFrame:
     return modeling.random_split(v.pred().drop("split")).select("student_id", "split")
 
@@ -61,7 +64,7 @@ def _(v: Views) -> DataFrame:
     return modeling.null_counts(modeling.impute_transform(d, modeling.impute_fit(d, ["balance", "segment"])))
 
 
-@query("impute_persist")
+@query("impute_persist", _FILLED)
 def _(v: Views) -> DataFrame:
     from quadrangle.sources.readers import read_table
     from quadrangle.sources.writers import scratch_parquet
@@ -76,7 +79,7 @@ def _(v: Views) -> DataFrame:
     return modeling.fill_with_mode(features(v).select("student_id", "segment"), features(v), ["segment"])
 
 
-@query("reference_sample")
+@query("reference_sample", f"select student_id, target, r(balance) as balance, nation, twice, segment, one, rare from {_FEATURES} order by md5(student_id||':0'), student_id limit 100")
 def _(v: Views) -> DataFrame:
     return modeling.reference_sample(features(v), n=100)
 
@@ -125,16 +128,22 @@ def _(v: Views) -> DataFrame:
     return _trained(v)[1]
 
 
-@query("predict")
+#: A stored model, as one would read it back; models fitted here are compared with it in tests/test_models.py.
+_MODEL = modeling.LinearModel({"balance": 0.0009, "nation": -0.03}, {"balance": 4500.0, "nation": 12.0}, -2.5)
+_B, _N = "coalesce(cast(balance as double),4500.0)", "cast(nation as double)"
+
+
+@query("predict", f"select student_id, r(p) as pred_prob, p>=0.5 as pred from (select student_id, 1/(1+exp(-(-2.5+0.0009*{_B}-0.03*{_N}))) p from {_FEATURES})")
 def _(v: Views) -> DataFrame:
-    d, _, models = _trained(v)
-    return modeling.predict(models["logistic_regression"], d, _INPUTS)
+    return modeling.predict(_MODEL, features(v), _INPUTS)
 
 
-@query("linear_attributions")
+_ATTRIBUTED = f"select student_id, r(0.0009*({_B}-(select avg({_B}) from {_FEATURES}))) as balance, r(-0.03*({_N}-(select avg({_N}) from {_FEATURES}))) as nation from {_FEATURES}"
+
+
+@query("linear_attributions", _ATTRIBUTED)
 def _(v: Views) -> DataFrame:
-    d, _, models = _trained(v)
-    return modeling.linear_attributions(models["logistic_regression"], d, _INPUTS)
+    return modeling.linear_attributions(_MODEL, features(v))
 
 
 @query("permutation_importance")
@@ -150,13 +159,18 @@ def _(v: Views) -> DataFrame:
     return modeling.permutation_importance(score, d.select("student_id", "target", *_INPUTS), _INPUTS, repeats=1)
 
 
-@query("map_partitions_attributions")
+@query("map_partitions_attributions", _ATTRIBUTED)
 def _(v: Views) -> DataFrame:
+    """The linear attributions again, by an explainer in Python as users bring them."""
+    d = features(v).select("student_id", F.col("balance").cast("double").alias("balance"), F.col("nation").cast("double").alias("nation"))
+    means = d.agg(*[F.avg(_MODEL.filled(c)).alias(c) for c in _INPUTS]).first()  # one row
+    weights, fills, centre = _MODEL.weights, _MODEL.fills, means.asDict()
+
     def explain(frames):
         for f in frames:
-            yield f.assign(balance=f["balance"].fillna(0.0) - 1000.0, nation=f["nation"] - 12.0)
+            yield f.assign(**{c: w * (f[c].fillna(fills[c]) - centre[c]) for c, w in weights.items()})
 
-    return modeling.apply_attributions(features(v).select("student_id", F.col("balance"), F.col("nation").cast("double").alias("nation")), explain, "student_id string, balance double, nation double")
+    return modeling.apply_attributions(d, explain, "student_id string, balance double, nation double")
 
 
 # --- attribution tables over embeddings -----------------------------------------------------
@@ -277,7 +291,7 @@ _TOTAL = "(select count(*) filter (where target) p, count(*) filter (where not t
 
 
 @query("roc_curve", f"""select s as threshold, tp, fp, q-fp as tn, p-tp as fn, round_even(tp*1.0/p,4) as tpr, round_even(fp*1.0/q,4) as fpr from (select s, count(*) filter (where target) tp, count(*) filter (where not target) fp from
-    (select distinct round_even(pred_prob,4) s from v_pred) t join v_pred on pred_prob>=s group by 1), {_TOTAL}""")
+    (select distinct round_even(pred_prob,4) s from v_pred) t left join v_pred on pred_prob>=s group by 1), {_TOTAL}""")
 def _(v: Views) -> DataFrame:
     return evaluation.roc_curve(v.pred())
 
@@ -285,7 +299,7 @@ def _(v: Views) -> DataFrame:
 _PR = f"select s, tp*1.0/n pr, tp*1.0/p rc from (select s, count(*) filter (where target) tp, count(*) n from (select distinct pred_prob s from v_pred) t join v_pred on pred_prob>=s group by 1), {_TOTAL}"
 
 
-@query("precision_recall_curve", f"select s as threshold, r(pr) as precision, r(rc) as recall from ({_PR})")
+@query("precision_recall_curve", f"select r(s) as threshold, r(pr) as precision, r(rc) as recall from ({_PR})")
 def _(v: Views) -> DataFrame:
     return evaluation.precision_recall_curve(v.pred())
 
@@ -311,7 +325,7 @@ def _(v: Views) -> DataFrame:
     return evaluation.score_histogram(v.pred())
 
 
-@query("metrics_near_threshold", f"""select a.split, s as threshold, r(tp*1.0/n) as precision, r(tp*1.0/p) as recall, auc from (select *, row_number() over (partition by split order by abs(s-0.5), s) rn from (select t.split, s, count(*) filter (where target) tp, count(*) n from
+@query("metrics_near_threshold", f"""select a.split, r(s) as threshold, r(tp*1.0/n) as precision, r(tp*1.0/p) as recall, auc from (select *, row_number() over (partition by split order by abs(s-0.5), s) rn from (select t.split, s, count(*) filter (where target) tp, count(*) n from
     (select distinct split, pred_prob s from v_pred) t join v_pred v on v.split=t.split and pred_prob>=s group by 1, 2)) a join (select split, count(*) filter (where target) p from v_pred group by 1) b on a.split=b.split join ({_AUC.format(by='split,', part='partition by split')}) c on a.split=c.split where rn=1""")
 def _(v: Views) -> DataFrame:
     return evaluation.metrics_near_threshold(v.pred())
@@ -327,7 +341,7 @@ def _(v: Views) -> DataFrame:
     return evaluation.split_summary(v.pred(), {"train": 0.6, "test": 0.2, "validate": 0.2})
 
 
-@query("extreme_students", "select * from (select 'max' as which, student_id, pred_prob from v_pred order by pred_prob desc, student_id limit 1) union all select * from (select 'min', student_id, pred_prob from v_pred order by pred_prob, student_id limit 1) union all select * from (select 'median', student_id, pred_prob from v_pred order by abs(pred_prob-(select median(pred_prob) from v_pred)), student_id limit 1)")
+@query("extreme_students", "select which, student_id, r(pred_prob) as pred_prob from (select * from (select 'max' as which, student_id, pred_prob from v_pred order by pred_prob desc, student_id limit 1) union all select * from (select 'min', student_id, pred_prob from v_pred order by pred_prob, student_id limit 1) union all select * from (select 'median', student_id, pred_prob from v_pred order by abs(pred_prob-(select median(pred_prob) from v_pred)), student_id limit 1))")
 def _(v: Views) -> DataFrame:
     return evaluation.extreme_students(v.pred())
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrangle.operators import contracts, eda, selection, targets
+from quadrangle.operators import contracts, eda, evaluation, selection, targets
 from quadrangle.operators.cleaning import null_future_values
 from quadrangle.plans.oracle import WHOLE
 from quadrangle.plans.registry import Views, query
@@ -235,7 +235,8 @@ def _(v: Views) -> DataFrame:
 # --- associations ---------------------------------------------------------------------------
 
 _V = "select r(case when least(r,c)>1 then sqrt(greatest(n*(q-1),0)/n/(least(r,c)-1)) end) as value from (select sum(n) n, sum(n*n/(ra*cb)) q, count(distinct a) r, count(distinct b) c from (select a, b, cast(count(*) as double) n, sum(count(*)) over (partition by a) ra, sum(count(*)) over (partition by b) cb from (select {a} a, {b} b from {t} where {a} is not null and {b} is not null) group by 1, 2))"
-_ETA = "select r(sqrt(sum(n*(m-g)*(m-g))/any_value(t))) as value from (select {a} a, count(*) n, avg({b}) m from {t} where {b} is not null group by 1), (select avg({b}) g, sum(({b}-z)*({b}-z)) t from {t}, (select avg({b}) z from {t}) where {b} is not null)"
+_BOTH = "(select {a} a, {b} b from {t} where {a} is not null and {b} is not null)"
+_ETA = f"select r(sqrt(sum(n*(m-g)*(m-g))/any_value(t))) as value from (select a, count(*) n, avg(b) m from {_BOTH} group by 1), (select avg(b) g, sum((b-z)*(b-z)) t from {_BOTH}, (select avg(b) z from {_BOTH}))"
 _RHO = "select r(corr(x, y)) as value from (select rank() over (order by a)+(count(*) over (partition by a)-1)/2.0 x, rank() over (order by b)+(count(*) over (partition by b)-1)/2.0 y from (select {a} a, {b} b from {t} where {a} is not null and {b} is not null))"
 
 
@@ -267,9 +268,13 @@ def _(v: Views) -> DataFrame:
     return eda.pairwise_associations(v.cohort(), ["enrollment_type", "gender", "gpa_group_year_1"])
 
 
-@query("top_bottom_correlations", f"select * from ({' union all '.join(_PAIRS)}) where col1<>col2 order by value desc limit 2")
+_RANKED = ["enrollment_type", "enrollment_intensity_first_term", "gender", "race", "program_of_study_term_1", "pell_status_first_year", "gpa_group_year_1"]
+_RANKED_PAIRS = [_named(a, b, (_ETA if b == "gpa_group_year_1" else _V).format(a=a, b=b, t="v_cohort")) for k, a in enumerate(_RANKED) for b in _RANKED[k + 1 :]]
+
+
+@query("top_bottom_correlations", f"select which, col1, col2, r(value) as value from (select *, unnest(case when hi<=10 and lo<=10 then ['high','low'] when hi<=10 then ['high'] when lo<=10 then ['low'] end) which from (select *, row_number() over (order by value desc, col1, col2) hi, row_number() over (order by value, col1, col2) lo from ({' union all '.join(_RANKED_PAIRS)}) where value is not null))")
 def _(v: Views) -> DataFrame:
-    return eda.pairwise_associations(v.cohort(), ["enrollment_type", "gender", "gpa_group_year_1"]).where("col1 <> col2").orderBy(F.desc("value")).limit(2)
+    return eda.top_bottom(eda.pairwise_associations(v.cohort(), _RANKED))
 
 
 # --- labels ---------------------------------------------------------------------------------
@@ -367,31 +372,42 @@ def _(v: Views) -> DataFrame:
     return v.table("orders").select("o_orderkey", readers.course_date(text).cast("date").alias("d"))
 
 
-@query("src_training_parquet")
+_PRED = "select student_id, target, r(pred_prob) as pred_prob, pred, priority, region, split from v_pred"
+
+
+@query("src_training_parquet", _PRED)
 def _(v: Views) -> DataFrame:
     return readers.read_table(v.spark, writers.scratch_parquet(v.pred()), format="parquet")
 
 
-@query("sink_table")
+@query("sink_table", "select n_nationkey, n_name, n_regionkey from nation")
 def _(v: Views) -> DataFrame:
     return writers.write_table(v.table("nation"), writers.scratch_name("nation"))
 
 
-@query("sink_verify")
+@query("sink_verify", _checks(contracts.COHORT, _COHORT_COLUMNS, "v_cohort"))
 def _(v: Views) -> DataFrame:
     return writers.verify_table(writers.write_table(v.cohort(), writers.scratch_name("cohort")), contracts.COHORT)
 
 
-@query("sink_single_csv")
+@query("sink_single_csv", "select cast(n_nationkey as varchar) as n_nationkey, n_name, cast(n_regionkey as varchar) as n_regionkey from nation")
 def _(v: Views) -> DataFrame:
     return readers.read_csv(v.spark, writers.write_single_csv(v.table("nation")))
 
 
-@query("sink_metric_tables")
-def _(v: Views) -> DataFrame:
-    from quadrangle.operators.evaluation import confusion_matrix
+_CELLS = "(select count(*) filter (where target and pred)*1.0 tp, count(*) filter (where not target and pred)*1.0 fp, count(*) filter (where target and not pred)*1.0 fn, count(*) filter (where not target and not pred)*1.0 tn from v_pred)"
+_POINTS = """(select s, round_even(tp*1.0/(tp0+tp1),4) tpr, round_even(fp*1.0/(fp0+fp1),4) fpr from (select s, count(*) filter (where target and pred_prob>=s) tp, count(*) filter (where target and pred_prob<s) tp1, count(*) filter (where not target and pred_prob>=s) fp, count(*) filter (where not target and pred_prob<s) fp1,
+    count(*) filter (where target and pred_prob>=s) tp0, count(*) filter (where not target and pred_prob>=s) fp0 from (select distinct round_even(pred_prob,4) s from v_pred) cross join v_pred group by 1))"""
+_SIDES = {"true_positive": "tp/(tp+fn)", "false_positive": "fp/(fp+tn)", "true_negative": "tn/(tn+fp)", "false_negative": "fn/(fn+tp)"}
+
 
-    return writers.write_table(confusion_matrix(v.pred()), writers.scratch_name("confusion"))
+@query("sink_metric_tables", " union all ".join([f"select s as threshold, '{c}' as name, {c} as value from {_POINTS}" for c in ("tpr", "fpr")] + [f"select null, '{n}', r({t}) from {_CELLS}" for n, t in _SIDES.items()]))
+def _(v: Views) -> DataFrame:
+    """Both tables of a model's metrics, written and read back as one."""
+    matrix = writers.write_table(evaluation.confusion_matrix(v.pred()), writers.scratch_name("confusion"))
+    curve = writers.write_table(evaluation.roc_curve(v.pred()), writers.scratch_name("roc"))
+    rates = matrix.unpivot([], list(matrix.columns), "name", "value")
+    return curve.unpivot("threshold", ["tpr", "fpr"], "name", "value").unionByName(rates.withColumn("threshold", F.lit(None).cast("double")))
 
 
 @query("src_feature_names")

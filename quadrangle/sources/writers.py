@@ -13,8 +13,10 @@ from quadrangle.operators.contracts import Field, violations
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A folder that all executors share: under spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """A folder that all executors share: under spark.checkpoint.dir, or, in local mode, one of our own where that is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="quadrangle-")
         spark.sparkContext.setCheckpointDir(path)
