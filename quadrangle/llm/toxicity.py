@@ -1,10 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled texts: one holds what marks
-toxic texts, the other as much ordinary text, and both end in the same common
-words. A window of a few words that compresses shorter with the first than with
-the second holds something toxic. How often the difference passes each of a row
-of thresholds is what a text is judged by; a logistic fit on labelled texts
+Two zstandard dictionaries are trained on labelled texts: one on the words of
+toxic texts whose beginnings are far more common there than in ordinary ones,
+the other on windows of ordinary text. Toxic windows are compressed with the
+toxic dictionary in front of a common one, ordinary ones with more of ordinary
+text in front of the same, so what differs is only what was trained in front. A
+window of a few words that compresses shorter with the first than with the
+second holds something toxic. How often the difference passes each of a row of
+thresholds is what a text is judged by; a logistic fit on labelled texts
 calibrates them into a score.
 """
 
@@ -47,68 +50,73 @@ def _fragments(words: set[bytes], shortest: int, longest: int) -> set[bytes]:
     return {w[:k] for w in words for k in range(shortest, min(len(w), longest) + 1)}
 
 
-def cover_fragments(documents: list[set[bytes]], *, least: int, cover: int) -> list[bytes]:
-    """The fewest fragments, greedily, that give each document `cover` of its own; each is in `least` documents at least."""
-    chosen: list[bytes] = []
-    short = [[f, cover] for f in documents if f]
-    while short:
-        count = Counter(g for f, _ in short for g in f)
-        most = max(count.values(), default=0)
-        if most < least:
-            break
-        best = max((g for g, k in count.items() if k >= 0.97 * most), key=lambda g: (len(g), g))
-        chosen.append(best)
-        for x in short:
-            if best in x[0]:
-                x[1] -= 1
-                x[0] = {g for g in x[0] if not (g.startswith(best) or best.startswith(g))}
-        short = [x for x in short if x[1] > 0 and x[0]]
-    return chosen
-
-
-def dictionaries(rows: DataFrame, *, common_bytes: int = 6000, shortest: int = 4, longest: int = 12, ratio: float = 20.0, least: int = 3, least_share: float = 0.01, cover: int = 3) -> tuple[bytes, bytes]:
+def train(samples: list[bytes], size: int, *, segment: int = 32, key: int = 6) -> bytes:
+    """A trained dictionary of at most `size` bytes; too few samples to train on are the dictionary themselves."""
+    import zstandard
+
+    try:
+        return zstandard.train_dictionary(size, samples, k=segment, d=key).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))[:size]
+
+
+def dictionaries(rows: DataFrame, *, toxic_bytes: int = 4096, common_bytes: int = 10_000, shortest: int = 4, longest: int = 12, ratio: float = 20.0, least: int = 3, least_share: float = 0.01, samples: int = 40_000, per_document: int = 64, segment: int = 32) -> tuple[bytes, bytes]:
     """Contents of the toxic and the ordinary dictionary, from rows (label, text).
 
-    Toxic fragments are beginnings of words that `ratio` times as large a share
-    of toxic as of ordinary documents have, and at least `least` and
-    `least_share` of the toxic ones. Documents are counted on the
-    executors; the fragments that pass, and the commonest words, reach the driver.
+    Toxic samples are words that begin with a fragment that `ratio` times as
+    large a share of toxic as of ordinary documents have, and at least `least`
+    and `least_share` of the toxic ones; ordinary samples are windows of
+    ordinary documents, about `samples` at most, chosen by a hash. Documents are
+    counted and cut on the executors; the fragments that pass, and at most
+    `per_document` samples of a toxic document, reach the driver.
     """
+    import xxhash
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic, ordinary, plain = Counter(), Counter(), Counter()
+            toxic, ordinary = Counter(), Counter()
             for label, text in zip(batch.column(0).to_pylist(), _texts(batch), strict=True):
-                words = _words(text)
-                (toxic if label else ordinary).update(_fragments(words, shortest, longest))
-                if not label:
-                    plain.update(w for w in words if len(w) >= shortest)
+                (toxic if label else ordinary).update(_fragments(_words(text), shortest, longest))
             grams = sorted({*toxic, *ordinary})
             for k in range(0, len(grams), 50_000):
                 g = grams[k : k + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([False] * len(g)), pa.array(g, pa.binary()), pa.array([toxic[x] for x in g], pa.int64()), pa.array([ordinary[x] for x in g], pa.int64())], names=["word", "gram", "toxic", "ordinary"])
-            yield pa.RecordBatch.from_arrays([pa.array([True] * len(plain)), pa.array(list(plain), pa.binary()), pa.array([0] * len(plain), pa.int64()), pa.array(list(plain.values()), pa.int64())], names=["word", "gram", "toxic", "ordinary"])
-
-    n = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    least = max(least, round(least_share * n.get(1, 0)))
-    counts = materialize(rows.mapInArrow(lean(count), "word boolean, gram binary, toxic long, ordinary long").groupBy("word", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "fragments")
-    share = (F.col("toxic") + 0.5) / (n.get(1, 0) + 1) >= ratio * (F.col("ordinary") + 0.5) / (n.get(0, 0) + 1)
-    pool = {bytes(r.gram) for r in counts.where(~F.col("word") & (F.col("toxic") >= least) & share).select("gram").collect()}
-    ranked = [bytes(r.gram) for r in counts.where("word").orderBy(F.desc("ordinary"), "gram").limit(common_bytes).select("gram").collect()]
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                yield pa.RecordBatch.from_arrays([pa.array(g, pa.binary()), pa.array([toxic[x] for x in g], pa.int64()), pa.array([ordinary[x] for x in g], pa.int64())], names=["gram", "toxic", "ordinary"])
+
+    n = {r.label: r for r in rows.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()}
+    toxic_n, ordinary_n = (n[k].n if k in n else 0 for k in (1, 0))
+    least = max(least, round(least_share * toxic_n))
+    counts = rows.mapInArrow(lean(count), "gram binary, toxic long, ordinary long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    share = (F.col("toxic") + 0.5) / (toxic_n + 1) >= ratio * (F.col("ordinary") + 0.5) / (ordinary_n + 1)
+    pool = {bytes(r.gram) for r in counts.where((F.col("toxic") >= least) & share).select("gram").collect()}
+    # A window has some forty bytes.
+    some = int(2**32 * min(1.0, samples / max((n[0].bytes or 0) / 40, 1))) if 0 in n else 0
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(_fragments(_words(t), shortest, longest) & pool) for t in _texts(batch)], pa.list_(pa.binary()))], names=["own"])
-
-    documents = sorted(sorted(map(bytes, r.own)) for r in rows.where("label = 1").mapInArrow(lean(own), "own array<binary>").collect())
-    marks = b" " + b" ".join(cover_fragments([set(d) for d in documents], least=least, cover=cover))
-    common, size = [], 0
-    while len(common) < len(ranked) and size < common_bytes:
-        size += len(ranked[len(common)]) + 1
-        common.append(ranked[len(common)])
-    base = b" " + b" ".join(common)
-    rest = b" " + b" ".join(ranked[len(common) : len(common) + len(marks)])
-    # Both end alike, and begin with as many bytes: the common words are equally far in both.
+            labels, chosen = [], []
+            for label, text in zip(batch.column(0).to_pylist(), _texts(batch), strict=True):
+                if label:
+                    own = [b" " + w[:64] + b" " for w in text.lower().split() if _fragments(_words(w), shortest, longest) & pool][:per_document]
+                else:
+                    own = [w for w in windows(text) if xxhash.xxh32_intdigest(w) < some]
+                chosen += own
+                labels += [label] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(chosen, pa.binary())], names=["label", "sample"])
+
+    got = [(r.label, bytes(r.sample)) for r in rows.mapInArrow(lean(choose), "label int, sample binary").collect()]
+    # The trainer takes the best segment of each stretch of samples: they are mixed, by a hash of sample and number among its equals.
+    times: Counter = Counter()
+
+    def place(sample: tuple[int, bytes]) -> tuple[int, bytes]:
+        times[sample] += 1
+        return xxhash.xxh32_intdigest(sample[1], times[sample]), sample[1]
+
+    mixed = sorted((*place(x), x[0]) for x in got)
+    marked, plain = ([w for _, w, label in mixed if label == k] for k in (1, 0))
+    marks = train(marked, toxic_bytes, segment=segment)
+    base = train(plain[: len(plain) // 2], common_bytes, segment=segment)
+    rest = train(plain[len(plain) // 2 :], toxic_bytes, segment=segment)
+    # Both end alike, and begin with as many bytes: the common part is equally far in both.
     return marks + base, rest[: len(marks)].ljust(len(marks)) + base
 
 
@@ -142,28 +150,45 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
 
 
-def fit_toxicity(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn_from: Column | None = None, sample: int = 12_000, level: int = 9, **parameters) -> ToxicityModel:
-    """Learns from at most about `sample` labelled documents. parameters go to dictionaries().
-
-    Without documents of both labels the score is a constant.
-    """
-    rows = materialize(training_sample(df, labels, id_col=id_col, text_col=text_col, label_col=label_col, learn_from=learn_from, sample=sample), "toxicity-sample")
-    toxic, ordinary = dictionaries(rows, **parameters)
-    model = ToxicityModel(toxic, ordinary, np.zeros(0), level)
+def _measured(rows: DataFrame, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and whether it is set aside, of each of rows (label, text, aside), in an order of their own."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = _distances(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t) for t in _texts(batch)], pa.list_(pa.float64()))], names=["label", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([features(t) for t in _texts(batch)], pa.list_(pa.float64()))], names=["label", "aside", "x"])
+
+    got = sorted((tuple(r.x), r.label, r.aside) for r in rows.mapInArrow(lean(measure), "label int, aside boolean, x array<double>").collect())
+    x = np.array([g[0] for g in got], float).reshape(len(got), 3 + len(SAVED) + len(COST))
+    return x, np.array([g[1] for g in got], float), np.array([g[2] for g in got], bool)
 
-    got = sorted((tuple(r.x), r.label) for r in rows.mapInArrow(lean(measure), "label int, x array<double>").collect())
-    width = 3 + len(SAVED) + len(COST)
-    x, y = np.array([g[0] for g in got], float).reshape(len(got), width), np.array([g[1] for g in got], float)
+
+def _calibrated(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     if len(set(y)) < 2:
-        weights = np.append(np.zeros(width), 20.0 if y.sum() else -20.0)
-    else:
-        weights = logistic(x, y)
-    return ToxicityModel(toxic, ordinary, weights, level)
+        return np.append(np.zeros(x.shape[1]), 20.0 if y.sum() else -20.0)
+    return logistic(x, y)
+
+
+def fit_toxicity(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn_from: Column | None = None, sample: int = 12_000, level: int = 9, shares: tuple[float, ...] = (0.1, 0.03, 0.01), **parameters) -> ToxicityModel:
+    """Learns from at most about `sample` labelled documents. parameters go to dictionaries().
+
+    shares: which least_share to choose from, by the log loss on a quarter of
+    the sample that dictionaries and weights haven't seen (rare words of many
+    copies of few toxic documents mark nothing). Without documents of both
+    labels the score is a constant.
+    """
+    aside = (F.pmod(F.xxhash64("text"), F.lit(4)) == 0).alias("aside")  # copies are on one side
+    rows = training_sample(df, labels, id_col=id_col, text_col=text_col, label_col=label_col, learn_from=learn_from, sample=sample)
+    rows = materialize(rows.select("label", "text", aside), "toxicity-sample")
+    losses = []
+    for share in shares if len(shares) > 1 else ():
+        x, y, out = _measured(rows, ToxicityModel(*dictionaries(rows.where("not aside"), least_share=share, **parameters), np.zeros(0), level))
+        z = x[out] @ (w := _calibrated(x[~out], y[~out]))[:-1] + w[-1]
+        losses.append((float(np.logaddexp(0, np.where(y[out] == 1, -z, z)).sum()), share))
+    best = min(losses)[1] if losses else shares[0]
+    toxic, ordinary = dictionaries(rows, least_share=best, **parameters)
+    x, y, _ = _measured(rows, ToxicityModel(toxic, ordinary, np.zeros(0), level))
+    return ToxicityModel(toxic, ordinary, _calibrated(x, y), level)
 
 
 def score_toxicity(df: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
