@@ -23,8 +23,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or, in local mode, a folder of our own where that is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="quadrangle-")
         spark.sparkContext.setCheckpointDir(path)

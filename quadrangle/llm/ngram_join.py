@@ -3,18 +3,29 @@
 1. Every text becomes its set of distinct n-grams (64-bit hashes). Texts with
    equal sets form a class; from here on a class counts as one set.
 2. n-grams meet in ranges of the hash. Those of one class only can't be shared
-   and are dropped; the others get their frequency, which makes the global
-   order (rare first).
-3. Classes that share an n-gram within their prefixes, fit in size and can
-   still reach the wanted overlap are candidates.
+   and are dropped. The others get their frequency, which makes the global order
+   (rare first), and a signature of the classes that hold them: n-grams of equal
+   signature always come together, so they count as one symbol with a weight. A
+   passage that thousands of texts share is one symbol, not hundreds.
+3. Classes that share a symbol within their prefixes, fit in size and can still
+   reach the wanted overlap are candidates.
 4. The global order is cut into fragments. For each candidate pair the overlap
    is counted fragment by fragment, and the partial counts are summed per pair.
 
 Only the components of the links are wanted, so pairs inside a component that
-is known already need no test. Each round tests the members of an n-gram's list
-against one member, its hub, and merges what is linked; when few pairs across
-components are left, all of those are tested. No link between different
-components is missed, and a list of k near copies costs about k tests.
+is known already need no test. Each round tests the members of a symbol's list
+against one member, its hub, and merges what is linked; a list of k near copies
+costs about k tests. Lists that stay long although nothing in them links (texts
+put together from the same few passages) are split by the next symbol that two
+members can share, again and again; pairs of short lists are tested. No link
+between different components is missed:
+
+- Two linked classes share, within the weight that each may lack, a first
+  symbol, a second one and so on; so the lists split by all symbols that come
+  next hold every pair that shares a further one.
+- A pair that shares no further symbol has exactly the list's symbols in common;
+  then either is linked with the member that has the fewest n-grams, as that one
+  shares as much and is no larger. This member is the first hub of every list.
 """
 
 from __future__ import annotations
@@ -31,6 +42,10 @@ from quadrangle.llm.components import components
 
 #: Words whose hashes a worker remembers, and classes it remembers to have sent.
 REMEMBERED = 100_000
+#: Splits of a list at most, and how many times the entries of the first lists their splits may have. Beyond, rounds of hubs go on until one links nothing, and all pairs left are tested.
+DEEPEST, GROWTH = 12, 4
+#: Lists are split when so many rounds of hubs at least have been made and the last one left more than this share of the pairs.
+ROUNDS, ENDED = 3, 0.8
 #: n-grams that meet in one task, in the mean.
 PER_RANGE = 2_000_000
 #: Texts that are sent together; places among them fit in 16 bits.
@@ -66,33 +81,36 @@ def ngram_set(text: bytes | None, n: int, hashes: dict) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(31)))
 
 
-def _class_of(grams: np.ndarray) -> int:
+def _class_of(grams: np.ndarray, salt: int) -> tuple[int, int]:
+    """128 bits of a set: the number of its class, and bits that tell whether two classes got the same number."""
     import xxhash
 
-    return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes(), 7)).astype(np.int64))
+    both = xxhash.xxh3_128_digest(grams.tobytes(), salt)
+    return int.from_bytes(both[:8], "big", signed=True), int.from_bytes(both[8:], "big", signed=True)
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
 
 
-def _measure(n: int):
+def _measure(n: int, salt: int):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            sizes, sids = [], []
-            for at in range(0, len(batch), SLICE):
-                for text in _texts(batch.slice(at, SLICE)):
-                    grams = ngram_set(text, n, hashes)
-                    sizes.append(len(grams))
-                    sids.append(_class_of(grams))
+            sizes, sids, twins = [], [], []
+            for text in _texts(batch):
+                grams = ngram_set(text, n, hashes)
+                sid, twin = _class_of(grams, salt)
+                sizes.append(len(grams))
+                sids.append(sid)
+                twins.append(twin)
             own = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64())], names=[*own, "n", "sid"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *(pa.array(x, pa.int64()) for x in (sizes, sids, twins))], names=[*own, "n", "sid", "twin"])
 
     return measure
 
 
-def _send(n: int, ranges: int):
+def _send(n: int, ranges: int, salt: int):
     """Per batch and range of the hash one row: the sorted hashes, each with its text's place among the batch's classes."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +121,7 @@ def _send(n: int, ranges: int):
                 sids, sets = [], []
                 for text in _texts(whole.slice(at, SLICE)):
                     grams = ngram_set(text, n, hashes)
-                    if len(grams) and (sid := _class_of(grams)) not in sent:
+                    if len(grams) and (sid := _class_of(grams, salt)[0]) not in sent:
                         sent.add(sid)
                         sids.append(sid)
                         sets.append(grams)
@@ -128,7 +146,7 @@ def _send(n: int, ranges: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of ranges that come one after another: (sid, h, df) of the n-grams that two classes or more have."""
+    """Of ranges that come one after another: (sid, sig, df) of the n-grams that two classes or more have; sig: a sum of the classes that do."""
 
     def done(hs: list, ss: list) -> Iterator[pa.RecordBatch]:
         """Each pair of arrays is sorted by hash: cutting all at the same hashes keeps equal ones together."""
@@ -147,10 +165,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, s = h[fresh], s[fresh]
         starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         df = np.diff(np.append(starts, len(h)))
+        sig = np.add.reduceat(s.view(np.uint64), starts).view(np.int64)  # classes are numbered by hashes, so sums of different ones differ
         many = np.repeat(df, df) > 1
-        h, s, df = h[many].view(np.int64), s[many], np.repeat(df, df)[many]
-        for k in range(0, len(h), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(s[k : k + 100_000]), pa.array(h[k : k + 100_000]), pa.array(df[k : k + 100_000], pa.int64())], names=["sid", "h", "df"])
+        s, sig, df = s[many], np.repeat(sig, df)[many], np.repeat(df, df)[many]
+        for k in range(0, len(s), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(s[k : k + 100_000]), pa.array(sig[k : k + 100_000]), pa.array(df[k : k + 100_000], pa.int64())], names=["sid", "sig", "df"])
 
     now, hs, ss = None, [], []
     for batch in batches:
@@ -167,15 +186,42 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _order(t: Column) -> Column:
-    """A number that grows along the global order: frequency first, hash next."""
-    return t["df"] + (t["h"].cast("double") / F.lit(2.0**64) + 0.5)
+    """A number that grows along the global order: frequency first, signature next."""
+    return t["df"] + (t["sig"].cast("double") / F.lit(2.0**64) + 0.5)
 
 
 def _fits(x: str, y: str, percent: int) -> Column:
-    """Whether a pair that shares an n-gram, its first, at these positions can still be similar."""
-    nx, ny, px, py = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.pos", f"{y}.pos"))
+    """Whether a pair that lacks so many n-grams can still be similar."""
+    nx, ny, lx, ly = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.lost", f"{y}.lost"))
     sizes = (percent * nx <= 100 * ny) & (percent * ny <= 100 * nx)
-    return sizes & ((100 + percent) * F.least(nx - px, ny - py) >= percent * (nx + ny))
+    return sizes & ((100 + percent) * F.least(nx - lx, ny - ly) >= percent * (nx + ny))
+
+
+def _weighed(t: str) -> Column:
+    """Of a sorted array of (df, sig), one element for each n-gram: its symbols (df, sig, at, w), `at` being the n-grams before it and w its own."""
+    e = F.col(t)
+    starts = F.filter(F.sequence(F.lit(0), F.size(e) - 1), lambda i: (i == 0) | (F.get(e, i) != F.get(e, i - 1)))
+    ends = F.concat(F.slice(starts, 2, F.size(e)), F.array(F.size(e)))
+    return F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda x: F.struct(F.get(e, x["a"])["df"].alias("df"), F.get(e, x["a"])["sig"].alias("sig"), x["a"].cast("long").alias("at"), (x["b"] - x["a"]).cast("long").alias("w")))
+
+
+def _packed(tokens: Column) -> Column:
+    """Symbols as numbers, which are compared by hashing: 47 bits of signature, and 16 bits of weight, low or (marked by the 17th bit) high."""
+
+    def number(t: Column, low: Column) -> Column:
+        return t["sig"].bitwiseAND(F.lit(-1 << 17)).bitwiseOR(low)
+
+    every = F.transform(tokens, lambda t: number(t, t["w"].bitwiseAND(F.lit(0xFFFF))))
+    heavy = F.transform(F.filter(tokens, lambda t: t["w"] > 0xFFFF), lambda t: number(t, F.shiftright(t["w"], 16) + (1 << 16)))
+    return F.concat(every, heavy)
+
+
+def _weight(packed: Column) -> Column:
+    def of(x: Column) -> Column:
+        low = x.bitwiseAND(F.lit(0x1FFFF))
+        return F.when(low <= 0xFFFF, low).otherwise(F.shiftleft(low - (1 << 16), 16))
+
+    return F.aggregate(packed, F.lit(0).cast("long"), lambda acc, x: acc + of(x))
 
 
 class _Join:
@@ -189,7 +235,7 @@ class _Join:
 
     @staticmethod
     def _between(a: float, b: float) -> Column:
-        return F.transform(F.filter("tokens", lambda t: (_order(t) >= a) & (_order(t) < b)), lambda t: t["h"])
+        return _packed(F.filter("tokens", lambda t: (_order(t) >= a) & (_order(t) < b)))
 
     def segments(self, of: DataFrame) -> DataFrame:
         """(sid, fragment, grams): the sets of these classes, cut where the global order is cut."""
@@ -205,7 +251,7 @@ class _Join:
         segments = self.segments(pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct())
         left = segments.select(F.col("sid").alias("a"), "fragment", F.col("grams").alias("ga"))
         right = segments.select(F.col("sid").alias("b"), "fragment", F.col("grams").alias("gb"))
-        parts = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("part"))
+        parts = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", _weight(F.array_intersect("ga", "gb")).alias("part"))
         whole = parts.groupBy("a", "b").agg(F.sum("part").alias("both"), F.first("na").alias("na"), F.first("nb").alias("nb"))
         return materialize(whole.where(100 * F.col("both") >= self.percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), "links")
 
@@ -226,12 +272,12 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     smallest id reachable by links, the row's own included. Null and empty texts
     have no set and no link: their component_id is their own id. Null ids never
     become a component_id unless the component has no other. Other columns are
-    ignored. `enough`: rounds of hubs end when the pairs left to test number at
-    most this many times the prefix entries, or when a round links nothing.
+    ignored. `enough`: all pairs left are tested when they number at most this
+    many times the prefix entries, or in a list this many times its members.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    members = materialize(docs.mapInArrow(lean(_measure(n)), "id long, n long, sid long"), "members")
-    owned = _roots(docs, members, F.min("id"), n, percent, fragments, enough)
+    members, salt = _members(docs, n)
+    owned = _roots(docs, members, F.min("id"), n, percent, fragments, enough, salt)
     smallest = owned.groupBy("root").agg(F.min("first").alias("component_id"))
     named = owned.join(smallest, "root").select("sid", "component_id")
     # A class may have a third of all rows: an equi-join whose large partitions Spark splits.
@@ -240,53 +286,92 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent: int, fragments: int, enough: int) -> DataFrame:
+def _members(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """docs without text, with n (size of the set) and sid (number of the class); and the salt of these numbers."""
+    salt = 0
+    while True:
+        kinds = ", ".join(f"{c} long" for c in docs.columns if c != "text")
+        members = materialize(docs.mapInArrow(lean(_measure(n, salt)), f"{kinds}, n long, sid long, twin long"), "members")
+        clash = members.groupBy("sid").agg(F.min("twin").alias("a"), F.max("twin").alias("b")).where("a <> b")
+        if clash.isEmpty():  # else two different sets have one number; about one corpus in 1e9 of 1e5 classes
+            return members.drop("twin"), salt
+        salt += 1
+
+
+def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent: int, fragments: int, enough: int, salt: int) -> DataFrame:
     """(sid, n, first, root) of each class of docs (id, text): `first` is that aggregate of its members (id, n, sid), root names its component."""
     spark, p = docs.sparkSession, partitions(docs.sparkSession)
     classes = members.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), first.alias("first"))
 
     grams = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(p, -(-grams // PER_RANGE))
-    sent = docs.mapInArrow(lean(_send(n, ranges)), "range int, sids binary, places binary, steps binary")
-    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(_shared), "sid long, h long, df long")
-    tokens = shared.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("tokens"))  # at most one document's
-    sets = materialize(tokens.join(classes.select("sid", "n"), "sid"), "sets")
-
-    # The n - size(tokens) unshared n-grams come first in the global order.
-    before = F.col("n") - F.size("tokens")
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - before
-    heads = sets.where(prefix > 0).select("sid", "n", before.alias("before"), F.posexplode(F.slice("tokens", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("at", "t"))
-    entries = materialize(heads.select(F.col("t.h").alias("h"), "sid", "n", (F.col("before") + F.col("at")).alias("pos")), "entries")
+    sent = docs.select("text").mapInArrow(lean(_send(n, ranges, salt)), "range int, sids binary, places binary, steps binary")
+    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(_shared), "sid long, sig long, df long")
+    tokens = shared.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("grams"))  # at most one document's
+    tokens = tokens.select("sid", F.size("grams").alias("shared"), _weighed("grams").alias("tokens"))
+    # The unshared n-grams come first in the global order.
+    known = tokens.join(classes.select("sid", "n"), "sid").select("sid", "n", (F.col("n") - F.col("shared")).alias("before"), "tokens")
+    sets = materialize(known, "sets")
+
+    slack = F.col("n") - F.ceil(F.col("n") * percent / 100)  # so many of its n-grams a class may lack
+    prefix = F.filter("tokens", lambda t: F.col("before") + t["at"] <= slack)
+    heads = sets.where(F.col("before") <= slack).select("sid", "n", "before", F.explode(prefix).alias("t"))
+    # lost: n-grams that come before and aren't shared; got: n-grams of the list's symbols, the last of which is at `at`.
+    entries = materialize(heads.select(F.col("t.sig").alias("h"), "sid", "n", (F.col("before") + F.col("t.at")).alias("lost"), F.col("t.w").alias("got"), F.col("t.at").alias("at")), "entries")
     total, join, labels = entries.count(), _Join(sets, percent, fragments), None
 
-    step = 0
+    def merge(candidates: DataFrame) -> bool:
+        """Tests candidates, and joins the components that they link: whether there are any."""
+        nonlocal labels
+        links = join.links(_pairs(candidates))
+        found = not links.isEmpty()
+        if found:
+            if labels is not None:  # links between the components of before
+                old = labels.withColumnRenamed("sid", "node")
+                ends = links.join(old.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(old.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+                links = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).union(labels.select(F.col("sid").alias("a"), F.col("root").alias("b")).where("a <> b"))
+            labels = materialize(components(links).withColumnRenamed("node", "sid"), "labels")
+        return found
+
+    def across(now: DataFrame, lists: DataFrame) -> DataFrame:
+        """All pairs of these lists: whoever is not of a list's main component, against all others of the list."""
+        mixed = now.join(lists.select("h", F.col("main.comp").alias("main")), "h")
+        x, y = mixed.where("comp <> main").alias("x"), mixed.alias("y")
+        return x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.comp") != F.col("y.comp")) & _fits("x", "y", percent) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.sid") < F.col("y.sid"))))
+
+    step, depth, was, merged, whole = 0, 0, 0, True, False
     while total:
         now = entries.withColumn("comp", F.col("sid")) if labels is None else entries.join(labels, "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
         sizes = now.groupBy("h", "comp").agg(F.count("*").alias("k"))
         lists = sizes.groupBy("h").agg(F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
-        left = lists.agg(F.sum((F.col("size") - F.col("main.k")) * F.col("size"))).first()[0]
+        others = F.col("size") - F.col("main.k")
+        left = lists.agg(F.sum(others * F.col("size"))).first()[0]
         if not left:
             break
-        last = step > 0 and (left <= enough * total or not merged)
-        if last:  # whoever is not of a list's main component against all others of the list
-            mixed = now.join(lists.select("h", F.col("main.comp").alias("main")), "h")
-            x, y = mixed.where("comp <> main").alias("x"), mixed.alias("y")
-            joined = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.comp") != F.col("y.comp")) & _fits("x", "y", percent) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.sid") < F.col("y.sid"))))
-        else:  # the hub: first the member with the fewest n-grams before this one, then any other
-            rank = F.col("pos") if step == 0 else F.xxhash64("sid", F.lit(step))
-            hubs = now.groupBy("h").agg(F.min(F.struct(rank.alias("rank"), "sid", "n", "pos", "comp")).alias("hub")).select("h", "hub.*")
-            joined = now.alias("x").join(hubs.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.comp") != F.col("y.comp")) & _fits("x", "y", percent))
-        links = join.links(_pairs(joined))
-        merged = links.count()
-        if merged:
-            if labels is not None:  # links between the components of before
-                old = labels.withColumnRenamed("sid", "node")
-                ends = links.join(old.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(old.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-                links = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).union(labels.select(F.col("sid").alias("a"), F.col("root").alias("b")).where("a <> b"))
-            labels = materialize(components(links).withColumnRenamed("node", "sid"), "labels")
-        if last:
+        if step and (left <= enough * total or whole and not merged):
+            merge(across(now, lists))
             break
-        step += 1
+        if not step or whole or merged and (step < ROUNDS or left < ENDED * was):
+            # The hub: first the member with the fewest n-grams, then that which lacks fewest, then any other.
+            rank = F.col("n") if step == 0 else F.col("lost") if step == 1 else F.xxhash64("sid", F.lit(step))
+            hubs = now.groupBy("h").agg(F.min(F.struct(rank.alias("rank"), "sid", "n", "lost", "comp")).alias("hub")).select("h", "hub.*")
+            fits = _fits("x", "y", percent)
+            if depth and not step:  # of a split list only those that its symbols alone make similar
+                fits = (100 + percent) * F.col("x.got") >= percent * (F.col("x.n") + F.col("y.n"))
+            merged = merge(now.alias("x").join(hubs.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.comp") != F.col("y.comp")) & fits))
+            step, was = step + 1, left
+            continue
+        lists = materialize(lists, "lists")
+        long = now.join(lists.where(others > enough).select("h"), "h", "left_semi").select("h", "sid", "n", "lost", "got", "at")
+        following = F.filter("tokens", lambda t: (t["at"] > F.col("at")) & (F.col("before") + t["at"] - F.col("got") <= slack))
+        split = long.join(sets.select("sid", "before", "tokens"), "sid").withColumn("after", following)
+        if depth == DEEPEST or (split.agg(F.sum(F.size("after"))).first()[0] or 0) > GROWTH * total:
+            whole = merged = True  # more rounds of hubs, until one links nothing
+            continue
+        merge(across(now, lists.where(others <= enough)))
+        split = split.select("h", "sid", "n", "before", "got", F.explode("after").alias("t"))
+        entries = materialize(split.select(F.xxhash64("h", "t.sig").alias("h"), "sid", "n", (F.col("before") + F.col("t.at") - F.col("got")).alias("lost"), (F.col("got") + F.col("t.w")).alias("got"), F.col("t.at").alias("at")), "entries")
+        step, depth, merged = 0, depth + 1, True
 
     return classes.withColumn("root", F.col("sid")) if labels is None else classes.join(labels, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
@@ -300,7 +385,7 @@ def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "near-rows")  # written, so that the keys stay
     docs = rows.select(F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    members = materialize(docs.mapInArrow(lean(_measure(n)), "id long, row long, n long, sid long"), "members")
-    owned = _roots(docs.select("id", "text"), members, F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "sid", "row")), n, percent, fragments, enough)
+    members, salt = _members(docs, n)
+    owned = _roots(docs.select("id", "text"), members, F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "sid", "row")), n, percent, fragments, enough, salt)
     kept = owned.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
     return rows.join(kept.union(members.where("n = 0").select("row")), "__row", "left_semi").drop("__row")

@@ -110,7 +110,11 @@ def score_quality(df: DataFrame, trees: gbt.Trees, *, id_col: str = "doc_id", te
 
 
 def keep_good(df: DataFrame, trees: gbt.Trees, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of df, with all their columns, that score at least `threshold`: one pass, no join."""
+    """The rows of df, with all their columns, that score at least `threshold`: one pass, no join.
+
+    Null and empty texts have the score of an empty text; ids play no part, so
+    null and repeated ids are rows like others.
+    """
     model = df.sparkSession.sparkContext.broadcast(trees)
     names = df.columns
 

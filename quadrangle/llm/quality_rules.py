@@ -189,6 +189,10 @@ def fit_rules(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_
 
 
 def judge(df: DataFrame, rules: list[Rule], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
+    """One row per input row: id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
+
+    Null and empty texts have no words, so they fail the base checks; null and
+    repeated ids are rows like others. Without rules, all that pass are kept.
+    """
     s = text_statistics(df, id_col=id_col, text_col=text_col)
     return s.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & verdict(rules)).alias("kept"))

@@ -19,48 +19,58 @@ from quadrangle.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces in sequences of at most 1024 tokens. Null text: one piece of the end id; repeated rows are packed each."""
     return pack_documents(table(spark, sf_dir, "documents"), length=1024)
 
 
 def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as ARC, converted to WARC and read back. Null html: an empty payload; null urls: "unknown:"; rows that repeat an id are records of their own."""
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts; the largest id stays. Null text counts as empty, null ids lose against others, of repeated rows one is kept."""
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
 def op4_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from four of five folds. Null and empty texts get the score of an empty window; without labels of both kinds the score is a constant."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit_toxicity(docs, labels, learn_from=fold(F.col("doc_id"), 5) != 0)
     return score_toxicity(docs, model, threshold=0.5).withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 5-word shingles are similar by 0.8. Null and empty texts have no set and stand alone."""
     return ngram_components(table(spark, sf_dir, "documents"), n=5, percent=80)
 
 
 def op6_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of all documents and the verdict of a learned decision list. Null text: no words, so base_failed."""
     docs = table(spark, sf_dir, "documents")
     return judge(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from three of four folds. Null and empty texts get the score of an empty text."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     trees = fit_quality(docs, labels, learn_from=fold(F.col("doc_id"), 4) != 2)
     return score_quality(docs, trees, threshold=0.7).withColumn("held_out", fold(F.col("doc_id"), 4) == 2)
 
 
 def op8_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents: base spans, and those that boosted trees add. Null text counts as empty: no spans."""
     docs = table(spark, sf_dir, "documents")
     return find_personal_data(docs, fit_judge(docs)).drop("found")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents. Null text counts as empty: 0 of both."""
     return token_counts(table(spark, sf_dir, "documents"), limit=512)
 
 
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as often as their source is drawn: once at least, those of small sources up to twice. Null sources are one source; texts without tokens come with whole passes."""
     return mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quadrangle.llm import bpe, mixing
+from quadrangle.llm import bpe, mixing, ngram_join
 from quadrangle.llm.components import components as spark_components
 from quadrangle.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from quadrangle.llm.mixing import mix_sources, mixed_rows, solve
@@ -243,3 +243,68 @@ def test_packing_of_very_long_runs(spark, library, filler):
     got = sorted(pack_documents(frame(spark, [(1, text), (2, "short")])).where("doc_id = 1").collect(), key=lambda r: r.piece)
     assert sum(r.length for r in got) == len(ids)
     assert all(r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes()) for r in got)
+
+
+def joined_passages(n: int, seed: int = 8) -> list[tuple[int, str]]:
+    """Documents that each join 4 of 24 common passages, in any order: many share three of them, few are similar."""
+    rng = random.Random(seed)
+    passages = [" ".join(f"p{k}x{j}" for j in range(30)) for k in range(24)]
+    return [(k, " ".join(rng.sample(passages, 4))) for k in range(n)]
+
+
+def test_ngram_components_of_joined_passages(spark):
+    rows = joined_passages(300) + [(1000 + k, f"{t} tail") for k, t in joined_passages(300)[:20]]
+    got = ngram_components(frame(spark, rows)).collect()
+    assert ordered((r.doc_id, r.n_shingles, r.component_id) for r in got) == ordered(components(rows))
+
+
+def test_tested_pairs_grow_with_the_input(spark, monkeypatch):
+    tested, links = Counter(), ngram_join._Join.links
+
+    def counting(self, candidates):
+        out = links(self, candidates)
+        tested[size] = self.tested.count()
+        return out
+
+    monkeypatch.setattr(ngram_join._Join, "links", counting)
+    for size in (500, 2000):  # of 2000, some 237,000 pairs are in one list
+        ngram_components(frame(spark, joined_passages(size))).count()
+    assert max(tested[size] / size for size in tested) <= 15
+
+
+def test_solve_against_a_grid():
+    """Exponent, weights and quotas by trying every exponent of a fine grid."""
+    rng = random.Random(9)
+    for _ in range(5):
+        tokens = np.array([rng.randint(1, 10 ** rng.randint(1, 6)) for _ in range(rng.randint(2, 6))], float)
+        grid = np.linspace(0, 1, 20_001)
+        raised = (tokens / tokens.sum())[None] ** grid[:, None]
+        weights = raised / raised.sum(1, keepdims=True)
+        size = (tokens / weights).max(1)  # the fewest tokens that hold every source once
+        repeats = (size[:, None] * weights / tokens).max(1)
+        first = np.argmax(repeats <= 2.0)
+        m = solve([int(t) for t in tokens], max_repeats=2.0)
+        assert m.exponent == pytest.approx(grid[first], abs=1e-4)
+        assert m.weights == pytest.approx(weights[first].tolist(), abs=1e-3)
+        assert m.quotas == pytest.approx((size[first] * weights[first]).tolist(), rel=1e-3, abs=1)
+
+
+def test_passes_are_permutations(spark):
+    """Blocks and places have no gaps, a whole pass holds every document once, and passes come in different orders."""
+    rows = [(k, "w " * (1 + k % 5), "big" if k < 300 else "small") for k in range(340)]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_docs=16, max_repeats=2.0).collect()
+    orders = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.source, r["pass"], r.block, r.place)):
+        orders[r.source, r["pass"]].append(r)
+    for (source, number), have in orders.items():
+        blocks = defaultdict(list)
+        for r in have:
+            blocks[r.block].append(r.place)
+        assert sorted(blocks) == list(range(len(blocks)))
+        assert all(places == list(range(len(places))) for places in blocks.values())
+        if number == 0:
+            assert sorted(r.doc_id for r in have) == [i for i, _, s in rows if s == source]
+    ids = {k: [r.doc_id for r in v] for k, v in orders.items()}
+    assert len({k[1] for k in ids}) > 1
+    again = [i for i in ids["small", 0] if i in set(ids["small", 1])]
+    assert ids["small", 0] != sorted(ids["small", 0]) and ids["small", 1] != again

@@ -1,22 +1,26 @@
 """Classifiers, rules, personal data, archives and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from quadrangle.llm import archives, gbt
+from quadrangle.llm.bpe import vocabulary_path
 from quadrangle.llm.common import fold
 from quadrangle.llm.personal_data import Judge, find_personal_data, fit_judge, redact
-from quadrangle.llm.quality_classifier import fit_quality, keep_good, score_quality
+from quadrangle.llm.quality_classifier import fit_quality, keep_good, score_quality, statistics
 from quadrangle.llm.quality_rules import Condition, fit_rules, judge, learn_rules, text_statistics
-from quadrangle.llm.toxicity import fit_toxicity, score_toxicity
-from tests.llm.helpers import SCHEMA, WORD, documents, frame, ordered
+from quadrangle.llm.toxicity import fit_toxicity, score_toxicity, train
+from tests.llm.helpers import LOWER, SCHEMA, WORD, components, documents, frame, ordered
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -70,6 +74,17 @@ def test_toxicity(spark):
     assert accuracy(score_toxicity(docs, model), good, "toxic") > 0.9
 
 
+def test_trained_dictionaries(spark):
+    """The trainer's own format begins both dictionaries; samples that are too few are kept as they are."""
+    docs, labels = corpus(spark, n=1500)
+    model = fit_toxicity(docs, labels, learn_from=fold(F.col("doc_id"), 5) != 0)
+    magic = (0xEC30A437).to_bytes(4, "little")
+    assert model.toxic.startswith(magic) and model.ordinary.startswith(magic)
+    assert len(model.toxic) == len(model.ordinary)
+    assert any(w in model.toxic and w not in model.ordinary for w in (b"villain", b"dreadful", b"rotten"))
+    assert train([b"few", b"few", b"words"], 100) == b"fewwords" and train([], 100) == b""
+
+
 def test_scores_of_awkward_documents(spark):
     docs, labels = corpus(spark, 60)
     for scored in (score_quality(frame(spark), fit_quality(docs, labels)), score_toxicity(frame(spark), fit_toxicity(docs, labels))):
@@ -248,3 +263,69 @@ def test_pipeline(spark):
             assert docs.columns == columns
         counts.append(docs.count())
     assert before > counts[0] > counts[1] > counts[2] <= counts[3]
+
+
+def _descended(trees, x):
+    """Score of one row, tree by tree and node by node."""
+    total = trees.base
+    for f, t, v in zip(trees.feature.tolist(), trees.threshold.tolist(), trees.value.tolist(), strict=True):
+        node = 0
+        while node < len(f):
+            node = 2 * node + (2 if x[f[node]] > t[node] else 1)
+        total += v[node - len(f)]
+    return 1 / (1 + math.exp(-total))
+
+
+def test_scores_by_descending_each_tree(spark):
+    docs, labels = corpus(spark, 300)
+    trees = fit_quality(docs, labels)
+    rows = documents()
+    got = sorted((r.doc_id if r.doc_id is not None else -1, round(r.score, 9)) for r in score_quality(frame(spark, rows), trees).collect())
+    assert got == sorted((i if i is not None else -1, round(_descended(trees, statistics((t or "").encode())), 9)) for i, t in rows)
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """Each stage against brute force on what the stage before it kept: awkward documents, null and repeated ids, an extra column."""
+    docs, labels = corpus(spark, 300)
+    extra = [(None, "null id alone with enough words to be kept as it is"), (None, None), (5000, "same words twice"), (5000, "same words twice")]
+    rows = [(i if i is None or i < 200 else i + 10_000, t) for i, t in documents()] + extra
+    every = frame(spark, rows).unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000)).withColumn("source", F.concat(F.lit("s"), F.length(F.coalesce("text", F.lit(""))) % 3))
+    every.coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.withColumn("doc_id", F.col("doc_id") + 1000).coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    held, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, held, str(tmp_path))
+        if k < 4:
+            assert out.columns == held.columns
+        out.write.parquet(f"{tmp_path}/stage{k}")
+        held = spark.read.parquet(f"{tmp_path}/stage{k}")
+        kept.append(held.collect())
+    first = [(r.doc_id, r.text) for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect()]
+    pairs = [[(r.doc_id, r.text) for r in stage] for stage in kept[:4]]
+    trees = fit_quality(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet"), learn_from=fold(F.col("doc_id"), 4) != 2)
+    assert ordered(pairs[0]) == ordered((i, t) for i, t in first if _descended(trees, statistics((t or "").encode())) >= 0.7)
+    groups = defaultdict(list)
+    for i, t in pairs[0]:
+        groups[(t or "").translate(LOWER)].append(i)
+    best = {g: max((i for i in ids if i is not None), default=None) for g, ids in groups.items()}
+    assert ordered((i, (t or "").translate(LOWER)) for i, t in pairs[1]) == ordered((i, g) for g, i in best.items())
+    parts = defaultdict(list)
+    for (i, t), (_, _, c) in zip(pairs[1], components([(k, t) for k, (_, t) in enumerate(pairs[1])]), strict=True):
+        parts[c].append((i, t))
+    assert len(pairs[2]) == len(parts)
+    assert all(sum(Counter(pairs[2])[r] for r in set(p)) == 1 for p in parts.values())
+    times, before = Counter(pairs[3]), Counter(pairs[2])
+    assert set(times) == set(before) and all(before[r] <= times[r] <= 3 * before[r] for r in before)
+    library = Tokenizer.from_file(vocabulary_path())
+    want = []
+    for i, t in pairs[3]:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
+        edges = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+        want += [(i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+    assert ordered((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in kept[4]) == ordered(want)
+    sequences = defaultdict(list)
+    for r in kept[4]:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for s in sequences.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(s)]).tolist()]
+        assert [at for at, _ in sorted(s)] == ends[:-1] and ends[-1] <= 1024
