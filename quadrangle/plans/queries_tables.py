@@ -331,15 +331,21 @@ def _(v: Views) -> DataFrame:
     return targets.target_retention(v.cum())
 
 
-def labeled(v: Views) -> DataFrame:
-    d = readers.read_table(v.spark, writers.scratch_parquet(v.cum()), format="parquet")  # read three times below
+#: What labels and masks are made of.
+_LABEL_COLUMNS = ["student_id", "term_id", "term_rank", "term_is_core", "term_is_pre_cohort", "student_term_enrollment_intensity", "cumsum_num_credits_earned", "cumnum_terms_enrolled", "year_of_enrollment_at_cohort_inst"]
+
+
+def labeled(v: Views, features: list[str]) -> DataFrame:
+    """Students' first terms with these features and the label; null where a student could not have a value yet."""
+    terms = v.cum().select(*dict.fromkeys([*_LABEL_COLUMNS, *features]))
+    d = readers.read_table(v.spark, writers.scratch_parquet(terms), format="parquet")  # read three times below
     rows = selection.first_terms(d).join(selection.select_students(v.cohort(), enrollment_type=["FIRST-TIME", "RE-ADMIT"]).select("student_id"), "student_id", "left_semi")
     return rows.join(targets.target_credits(d, selection.first_terms(d), LIMITS, min_credits=30), "student_id")
 
 
 _LABELED = f"select k.student_id, k.num_courses, t.target from ({_CKPT}) k join ({_CREDITS}) t on k.student_id=t.student_id where enrollment_type in ('FIRST-TIME','RE-ADMIT')"
-query("join_labels", _LABELED)(lambda v: labeled(v).select("student_id", "num_courses", "target"))
-query("dataset_labeled", _LABELED.replace("k.num_courses, t.target", "k.num_courses, r(case when k.year_of_enrollment_at_cohort_inst>1 then k.gpa_group_year_1 end) as gpa_group_year_1, t.target"))(lambda v: null_future_values(labeled(v)).select("student_id", "num_courses", "gpa_group_year_1", "target"))
+query("join_labels", _LABELED)(lambda v: labeled(v, ["num_courses"]).select("student_id", "num_courses", "target"))
+query("dataset_labeled", _LABELED.replace("k.num_courses, t.target", "k.num_courses, r(case when k.year_of_enrollment_at_cohort_inst>1 then k.gpa_group_year_1 end) as gpa_group_year_1, t.target"))(lambda v: null_future_values(labeled(v, ["num_courses", "gpa_group_year_1"])).select("student_id", "num_courses", "gpa_group_year_1", "target"))
 
 # --- sources and sinks ----------------------------------------------------------------------
 

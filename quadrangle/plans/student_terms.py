@@ -98,11 +98,6 @@ def join_section_features(course: DataFrame, sections: DataFrame, keys: Sequence
     return course.join(sections, list(keys), "left")
 
 
-def _list(c: str) -> Column:
-    """All values, nulls and repeats too, in a fixed order."""
-    return F.array_sort(F.transform(F.collect_list(F.struct(F.col(c).alias("v"))), lambda s: s["v"]))
-
-
 def _total(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
@@ -139,7 +134,7 @@ def aggregate_student_terms(course: DataFrame, *, keys: Sequence[str] = ("studen
         *[F.first(c, ignorenulls=True).alias(c) for c in passed if c in course.columns],
         F.count("course_id").alias("num_courses"), F.count_if("course_passed").alias("num_courses_passed"), F.count_if("course_completed").alias("num_courses_completed"),
         _total("number_of_credits_attempted").alias("num_credits_attempted"), _total("number_of_credits_earned").alias("num_credits_earned"),
-        _list("course_id").alias("course_ids"), _list("course_cip").alias("course_subjects"), _list("course_subject_area").alias("course_subject_areas"),
+        F.collect_list(F.struct("course_id", "course_cip", "course_subject_area")).alias("__taken"),
         F.avg("course_level").alias("course_level_mean"), F.stddev_samp("course_level").alias("course_level_std"), F.avg(number).alias("course_grade_numeric_mean"), F.stddev_samp(number).alias("course_grade_numeric_std"),
         F.avg("section_num_students_enrolled").alias("section_num_students_enrolled_mean"), F.stddev_samp("section_num_students_enrolled").alias("section_num_students_enrolled_std"),
         *[_total(f"section_num_students_{x}").alias(f"sections_num_students_{x}") for x in ("enrolled", "passed", "completed")],
@@ -147,6 +142,9 @@ def aggregate_student_terms(course: DataFrame, *, keys: Sequence[str] = ("studen
         *dummy_aggs(course), *grade_aggs(min_passing_grade),
     ]
     grouped = course.where(" and ".join(f"{k} is not null" for k in keys)).groupBy(*keys).agg(*aggs)
+    # All values, nulls and repeats too, in a fixed order.
+    lists = {"course_ids": "course_id", "course_subjects": "course_cip", "course_subject_areas": "course_subject_area"}
+    grouped = grouped.withColumns({many: F.array_sort(F.col(f"__taken.{one}")) for many, one in lists.items()}).drop("__taken")
     # From the lists: distinct counts among the aggregates would multiply every row before the shuffle.
     distinct = {f"{one}_nunique": F.size(F.array_distinct(F.array_compact(many))).cast("long") for one, many in (("course_id", "course_ids"), ("course_subject", "course_subjects"), ("course_subject_area", "course_subject_areas"))}
     grouped = grouped.withColumns(distinct)
