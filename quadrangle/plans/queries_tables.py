@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.operators import contracts, eda, evaluation, selection, targets
 from quadrangle.operators.cleaning import null_future_values
+from quadrangle.plans import student_terms
 from quadrangle.plans.oracle import WHOLE
 from quadrangle.plans.registry import Views, query
 from quadrangle.sources import readers, writers
@@ -416,11 +417,17 @@ def _(v: Views) -> DataFrame:
     return curve.unpivot("threshold", ["tpr", "fpr"], "name", "value").unionByName(rates.withColumn("threshold", F.lit(None).cast("double")))
 
 
-@query("src_feature_names")
+_EVERY = "(select " + ", ".join(f"{text} as {name}" for name, text in WHOLE.items()) + " from cum)"
+_KNOWN = "(select count(*) n_rows, " + ", ".join(f"count({c}) n_{c}" for c in WHOLE) + f" from {_EVERY})"
+
+
+@query("src_feature_names", "select unnest([" + ", ".join(f"{{'feature': '{c}', 'name': '{c.replace('_', ' ').capitalize()}', 'n_known': n_{c}, 'n_rows': n_rows}}" for c in WHOLE) + f"], recursive := true) from {_KNOWN}")
 def _(v: Views) -> DataFrame:
-    from quadrangle.sources.catalog import feature_catalog
+    """Readable names of all features, and how many rows have them."""
+    from quadrangle.sources.catalog import feature_catalog, feature_coverage
 
-    return feature_catalog(v.spark, v.stj().columns)
+    d = student_terms.student_term_dataset(v.cohort(), v.course(), key_areas=["13"])
+    return feature_coverage(d, feature_catalog(v.spark, d.columns))
 
 
 @query("converter_hook", "select student_id, upper(gender) as gender from v_cohort")

@@ -27,6 +27,19 @@ PATTERNS = [
 ]
 
 
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """(feature, name, short_desc, long_desc) of an institution's own catalog, as JSON lines; descriptions may be absent."""
+    return spark.read.schema("feature string, name string, short_desc string, long_desc string").json(path).withColumn("feature", F.lower("feature"))
+
+
+def feature_coverage(df: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(feature, name, n_known, n_rows): how many rows have a value of each feature in the catalog."""
+    n = df.agg(F.count("*").alias("__all"), *[F.count(F.col(f"`{c}`")).alias(f"__{k}") for k, c in enumerate(df.columns)])
+    rows = [F.struct(F.lit(c.lower()).alias("feature"), F.col(f"__{k}").alias("n_known"), F.col("__all").alias("n_rows")) for k, c in enumerate(df.columns)]
+    counts = n.select(F.explode(F.array(*rows)).alias("r")).select("r.*")  # a row for each column
+    return catalog.select("feature", "name").join(F.broadcast(counts), "feature")
+
+
 def feature_catalog(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
     """(feature, name) of exact names: words of the column, first letter in upper case."""
     return spark.createDataFrame([(c.lower(), c.replace("_", " ").capitalize()) for c in columns], "feature string, name string")
