@@ -19,7 +19,7 @@ from quadrangle.llm.common import fold
 from quadrangle.llm.personal_data import Judge, find_personal_data, fit_judge, redact
 from quadrangle.llm.quality_classifier import fit_quality, keep_good, score_quality, statistics
 from quadrangle.llm.quality_rules import Condition, fit_rules, judge, learn_rules, text_statistics
-from quadrangle.llm.toxicity import fit_toxicity, score_toxicity, train
+from quadrangle.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity, train
 from tests.llm.helpers import LOWER, SCHEMA, WORD, components, documents, frame, ordered
 
 FOLDER = "/root/testdata/sf0.01"
@@ -212,7 +212,7 @@ def test_wide_forms_are_added_and_decoys_are_not(spark):
 
 def test_arc_and_warc_round_trip(spark, tmp_path):
     long = "<p>same</p>" * 200
-    pages = [(1, "http://a/x y", long), (2, "http://b", long), (5, "http://b", long), (3, None, None), (4, "http://c", "WARC/1.1\r\n\r\nWARC-Type: no\r\n" * 60), (None, "http://d", "né🙂\r\n\r\nx"), (6, "http://e", "short"), (7, "http://e", "short"), (8, "f", "")]
+    pages = [(1, "http://a/x y", long), (2, "http://b", long), (5, "http://b", long), (3, None, None), (4, "http://c", "WARC/1.1\r\n\r\nWARC-Type: no\r\n" * 60), (None, "http://d", "né🙂\r\n\r\nx"), (6, "http://e", "short"), (7, "http://e", "short"), (8, "f", ""), (9, "http://g", "<td>é</td>\n" * 400_000), (10, "http://h", "one of two"), (10, "http://h", "two of two")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("size", F.lit(1))
     got = archives.archive_round_trip(df).collect()
     groups = defaultdict(list)
@@ -246,7 +246,10 @@ def test_no_pages(spark):
     assert archives.archive_round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-@pytest.mark.parametrize("operator", [lambda d: judge(d, []), lambda d: find_personal_data(d, NOTHING), lambda d: score_quality(d, gbt.fit(np.zeros((0, 21)), np.zeros(0)))])
+EMPTY = gbt.fit(np.zeros((0, 21)), np.zeros(0))
+
+
+@pytest.mark.parametrize("operator", [lambda d: judge(d, []), lambda d: find_personal_data(d, NOTHING), lambda d: score_quality(d, EMPTY), lambda d: keep_good(d, EMPTY), lambda d: score_toxicity(d, ToxicityModel(b"", b"", np.zeros(14)))])
 def test_empty_table(spark, operator):
     assert operator(spark.createDataFrame([], SCHEMA)).count() == 0
 
