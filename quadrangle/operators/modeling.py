@@ -211,6 +211,18 @@ def _pipeline(numeric: Sequence[str], classifier):
     return Pipeline(stages=[Imputer(inputCols=list(numeric), outputCols=filled, strategy="median"), VectorAssembler(inputCols=filled, outputCol="features"), classifier])
 
 
+def _stored(fitted):
+    """The model as a later job reads it: without the training summary, which ties it to this session's state."""
+    from pyspark.ml import PipelineModel
+    from pyspark.sql import SparkSession
+
+    from quadrangle.sources.writers import scratch_dir
+
+    path = scratch_dir(SparkSession.getActiveSession())
+    fitted.write().save(path)
+    return PipelineModel.load(path)
+
+
 def train_candidates(df: DataFrame, features: Sequence[str], *, target_col: str = "target", split_col: str = "split", weight_col: str | None = None, seed: int = 1) -> tuple[DataFrame, dict]:
     """Fit a few classifiers on split "train" and measure them on the others: (metrics table, models by name)."""
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -222,7 +234,7 @@ def train_candidates(df: DataFrame, features: Sequence[str], *, target_col: str
     models, rows = {}, []
     train = d.where(F.col(split_col) == "train")
     for name, classifier in kinds.items():
-        models[name] = _pipeline(features, classifier).fit(train)
+        models[name] = _stored(_pipeline(features, classifier).fit(train))
         for part in ("validate", "test"):
             scored = models[name].transform(d.where(F.col(split_col) == part))
             auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.functions import columns as C
 from quadrangle.operators import evaluation, modeling
+from quadrangle.sources import writers
 
 FEATURES = ["x", "y"]
 
@@ -24,6 +25,14 @@ def trained(spark, rows):
     return d, *modeling.train_candidates(d, FEATURES)
 
 
+def test_models_after_an_observed_write(spark, rows):
+    """Writes that are counted leave something in the session that models must not carry along."""
+    writers.write_table(spark.range(3).withColumnRenamed("id", "n"), writers.scratch_name("observed"))
+    d = modeling.random_split(spark.createDataFrame(rows, "student_id string, target boolean, x double, y double"))
+    metrics, models = modeling.train_candidates(d, FEATURES)
+    assert metrics.count() == 6 and modeling.predict(models["logistic_regression"], d, FEATURES).count() == 600
+
+
 def test_candidates_are_measured(trained):
     _, metrics, models = trained
     got = metrics.collect()

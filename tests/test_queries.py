@@ -43,7 +43,7 @@ def test_equals_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"sink_table", "sink_verify", "sink_metric_tables"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_returns_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 
