@@ -1 +1 @@
-"""Student-success analytics as lazily planned Spark DataFrame jobs."""
+"""Student analytics as lazily planned Spark DataFrame jobs."""
