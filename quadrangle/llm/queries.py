@@ -14,6 +14,7 @@ from quadrangle.llm.packing import pack_documents
 from quadrangle.llm.personal_data import find_personal_data, fit_judge
 from quadrangle.llm.quality_classifier import fit_quality, score_quality
 from quadrangle.llm.quality_rules import fit_rules, judge
+from quadrangle.llm.ranked_search import TERM, ranked_search
 from quadrangle.llm.token_counts import token_counts
 from quadrangle.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -74,7 +75,12 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op8_boosted_pii, op9_token_counts, op10_temperature_mixing)}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for each benchmark item. Null and empty texts are never found; equal scores go by ascending id, null ids last; repeated rows are found each."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op8_boosted_pii, op9_token_counts, op10_temperature_mixing, op11_ranked_search)}
 
 ORACLES = {
     "op2_arc_to_warc": """
@@ -91,4 +97,16 @@ ORACLES = {
                doc_id = max(doc_id) over (partition by norm) as kept, sha256(norm) as text_sha256
         from d
     """,
+    "op11_ranked_search": rf"""
+        with d as (select doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}') as w from documents),
+        i as (select item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) as term from benchmark),
+        q as (select item_id, term, count(*) as times from i group by all),
+        c as (select count(*) as big_n, cast(sum(len(w)) as bigint) as big_l from d where len(w) > 0),
+        p as (select doc_id, n, term, count(*) as tf from (select doc_id, len(w) as n, unnest(w) as term from d where len(w) > 0) group by all),
+        f as (select term, count(*) as df from p group by term),
+        s as (select p.doc_id, p.term, cast(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) as bigint) * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))) as part from p join f using (term), c),
+        t as (select item_id, doc_id, cast(sum(times * part) as bigint) as score from q join s using (term) group by all),
+        r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score from t where score > 0)
+        select item_id, cast(rank as int) as rank, doc_id, score from r where rank <= 20
+    """,
 }
