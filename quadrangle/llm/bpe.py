@@ -10,6 +10,7 @@ token, and the texts on its sides are cut separately.
 from __future__ import annotations
 
 import json
+import re
 from functools import cache
 
 import numpy as np
@@ -38,18 +39,47 @@ def pretokens(text: Column) -> list[Column]:
     return [F.when(~odd, F.regexp_extract_all(text, F.lit(JAVA_PATTERN), F.lit(0))).alias("words"), F.when(odd, text).alias("raw")]
 
 
-def cut(text: str) -> list[str]:
-    """Pre-tokens of one text in Python, special strings whole."""
+def cut(text: str, special: str | None = SPECIAL) -> list[str]:
+    """Pre-tokens of one text in Python, special strings whole (None: there are none)."""
     import public_tokenizers
     import regex
 
     find = regex.compile(public_tokenizers.PATTERN).findall
     out: list[str] = []
-    for k, part in enumerate(text.split(SPECIAL)):
-        out += [SPECIAL] * bool(k) + find(part)
+    for k, part in enumerate(text.split(special) if special else [text]):
+        out += [special] * bool(k) + find(part)
     return out
 
 
+@cache
+def encoding_of_ranks(path: str, special: tuple[str, int] | None = None):
+    """The published ranks in the tiktoken library; tests hold its ids against the tokenizers library's."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict([special] if special else []))
+
+
+#: The library's regular expression takes time that grows with the square of a run of white space; texts with runs this long are cut by another.
+LONG_SPACE = re.compile(r"\s{100}")
+
+
+def ids_of(encoding, text: str, special: str | None) -> np.ndarray:
+    """Token ids of a text, whatever runs are in it; the special string, if any, is its token."""
+    allowed = {special} if special else set()
+    if not LONG_SPACE.search(text):
+        return encoding.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
+    known: dict[str, np.ndarray] = {special: encoding.encode_to_numpy(special, allowed_special=allowed)} if special else {}
+    words = cut(text, special)
+    for w in set(words).difference(known):
+        known[w] = np.array(encoding._encode_single_piece(w), np.uint32)
+    return np.concatenate([known[w] for w in words])
+
+
 def encoded(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct pre-tokens of a batch, their indices in order, and where each text's begin and the last's end."""
     words, raw = batch.column(batch.schema.get_field_index("words")), batch.column(batch.schema.get_field_index("raw"))

@@ -14,10 +14,8 @@ sequence that is not full.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -26,11 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrangle.llm.bpe import SPECIAL, cut, vocabulary_path
+from quadrangle.llm.bpe import SPECIAL, encoding_of_ranks, ids_of, vocabulary_path
 from quadrangle.llm.common import lean, materialize, release
 
-#: The library's regular expression gives up on white space of a million characters; texts with runs this long are cut by another.
-LONG_SPACE = re.compile(r"\s{10000}")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -103,30 +99,6 @@ def pack_items(items: DataFrame, *, length: int = 1024, max_docs: int = 1024, ma
     return items.repartition(groups).mapInPandas(_packer(length, max_docs, cost, weights, score), PIECES + ", sequence_id long, offset long")
 
 
-@cache
-def _encoding(path: str, special: str, special_id: int):
-    """The published ranks in the tiktoken library; tests hold its ids against the tokenizers library's."""
-    import base64
-
-    import public_tokenizers
-    import tiktoken
-
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={special: special_id})
-
-
-def _ids(encoding, text: str, special: str) -> np.ndarray:
-    """Token ids of a text, whatever runs are in it; the special string is its token."""
-    if len(text) < 10_000 or not LONG_SPACE.search(text):
-        return encoding.encode_to_numpy(text, allowed_special="all")
-    known: dict[str, np.ndarray] = {special: encoding.encode_to_numpy(special, allowed_special="all")}
-    words = cut(text)
-    for w in set(words).difference(known):
-        known[w] = np.array(encoding._encode_single_piece(w), np.uint32)
-    return np.concatenate([known[w] for w in words])
-
-
 def tokenized_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, special: tuple[str, int] = (SPECIAL, 50256), end_id: int = 2, length: int = 1024) -> DataFrame:
     """Rows of PIECES: token ids and end_id, cut into `length`-token pieces with the shorter piece first.
 
@@ -137,11 +109,11 @@ def tokenized_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(path, *special)
+        encoding = encoding_of_ranks(path, special)
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.append(_ids(encoding, text, special[0]), end_id).astype("<u4")
+                own = np.append(ids_of(encoding, text, special[0]), end_id).astype("<u4")
                 first = len(own) % length or length
                 edges = [0, *range(first, len(own) + 1, length)]
                 for k, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrangle.llm.alignment import align_tokenizers
 from quadrangle.llm.archives import archive_round_trip
 from quadrangle.llm.common import LOWER, UPPER, fold, table
 from quadrangle.llm.exact_dedup import exact_duplicates
@@ -80,7 +81,12 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op8_boosted_pii, op9_token_counts, op10_temperature_mixing, op11_ranked_search)}
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two vocabularies in all documents. Null and empty texts, and such that a vocabulary can't give back, have zeros and no digest."""
+    return align_tokenizers(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op8_boosted_pii, op9_token_counts, op10_temperature_mixing, op11_ranked_search, op13_tokenizer_alignment)}
 
 ORACLES = {
     "op2_arc_to_warc": """
