@@ -30,7 +30,7 @@ between different components is missed:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,8 +110,36 @@ def _measure(n: int, salt: int):
     return measure
 
 
-def _send(n: int, ranges: int, salt: int):
-    """Per batch and range of the hash one row: the sorted hashes, each with its text's place among the batch's classes."""
+def set_rows(n: int, salt: int, *, grams: bool = False):
+    """(sid, text) of texts, a class about once a task; or, of texts of one class each, (sid, n, grams)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, sent = _Hashes(), set()
+        for batch in batches:
+            sids, sets, places = [], [], []
+            for k, text in enumerate(_texts(batch)):
+                own = ngram_set(text, n, hashes)
+                if len(own) and (sid := _class_of(own, salt)[0]) not in sent:
+                    sent.add(sid)
+                    sids.append(sid)
+                    places.append(k)
+                    if grams:
+                        sets.append(own.view(np.int64))
+            if len(sent) > REMEMBERED:
+                sent.clear()
+            if grams:
+                sizes = [len(x) for x in sets]
+                flat = pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), flat)
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), lists], names=["sid", "n", "grams"])
+            else:
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), batch.column(batch.schema.get_field_index("text")).take(pa.array(places, pa.int64()))], names=["sid", "text"])
+
+    return rows
+
+
+def sender(n: int, ranges: int, salt: int, keys: Callable[[np.ndarray], np.ndarray] = lambda grams: grams):
+    """Per batch and range of the hash one row: the sorted hashes, or keys made of a class's, each with its text's place among the batch's classes."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sent = _Hashes(), set()
@@ -124,7 +152,7 @@ def _send(n: int, ranges: int, salt: int):
                     if len(grams) and (sid := _class_of(grams, salt)[0]) not in sent:
                         sent.add(sid)
                         sids.append(sid)
-                        sets.append(grams)
+                        sets.append(keys(grams))
                 if len(sent) > REMEMBERED:
                     sent.clear()
                 if not sets:
@@ -145,7 +173,7 @@ def _send(n: int, ranges: int, salt: int):
     return send
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of ranges that come one after another: (sid, sig, df) of the n-grams that two classes or more have; sig: a sum of the classes that do."""
 
     def done(hs: list, ss: list) -> Iterator[pa.RecordBatch]:
@@ -263,6 +291,15 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return ends.select(F.col("lo.s").alias("a"), F.col("hi.s").alias("b"), F.col("lo.n").alias("na"), F.col("hi.n").alias("nb")).dropDuplicates(["a", "b"])
 
 
+def join_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(sid, root) after links (a, b) join what the labels of before tell apart."""
+    if labels is not None:
+        old = labels.withColumnRenamed("sid", "node")
+        ends = links.join(old.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(old.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+        links = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).union(labels.select(F.col("sid").alias("a"), F.col("root").alias("b")).where("a <> b"))
+    return materialize(components(links).withColumnRenamed("node", "sid"), "labels")
+
+
 def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, fragments: int = 4, enough: int = 4) -> DataFrame:
     """One row per input row: id_col, n_shingles, component_id.
 
@@ -276,7 +313,7 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     many times the prefix entries, or in a list this many times its members.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    members, salt = _members(docs, n)
+    members, salt = class_members(docs, n)
     owned = _roots(docs, members, F.min("id"), n, percent, fragments, enough, salt)
     smallest = owned.groupBy("root").agg(F.min("first").alias("component_id"))
     named = owned.join(smallest, "root").select("sid", "component_id")
@@ -286,7 +323,7 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _members(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
+def class_members(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
     """docs without text, with n (size of the set) and sid (number of the class); and the salt of these numbers."""
     salt = 0
     while True:
@@ -305,8 +342,8 @@ def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent:
 
     grams = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(p, -(-grams // PER_RANGE))
-    sent = docs.select("text").mapInArrow(lean(_send(n, ranges, salt)), "range int, sids binary, places binary, steps binary")
-    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(_shared), "sid long, sig long, df long")
+    sent = docs.select("text").mapInArrow(lean(sender(n, ranges, salt)), "range int, sids binary, places binary, steps binary")
+    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(shared), "sid long, sig long, df long")
     tokens = shared.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("grams"))  # at most one document's
     tokens = tokens.select("sid", F.size("grams").alias("shared"), _weighed("grams").alias("tokens"))
     # The unshared n-grams come first in the global order.
@@ -326,11 +363,7 @@ def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent:
         links = join.links(_pairs(candidates))
         found = not links.isEmpty()
         if found:
-            if labels is not None:  # links between the components of before
-                old = labels.withColumnRenamed("sid", "node")
-                ends = links.join(old.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(old.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-                links = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).union(labels.select(F.col("sid").alias("a"), F.col("root").alias("b")).where("a <> b"))
-            labels = materialize(components(links).withColumnRenamed("node", "sid"), "labels")
+            labels = join_labels(labels, links)
         return found
 
     def across(now: DataFrame, lists: DataFrame) -> DataFrame:
@@ -385,7 +418,7 @@ def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "near-rows")  # written, so that the keys stay
     docs = rows.select(F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    members, salt = _members(docs, n)
+    members, salt = class_members(docs, n)
     owned = _roots(docs.select("id", "text"), members, F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "sid", "row")), n, percent, fragments, enough, salt)
     kept = owned.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
     return rows.join(kept.union(members.where("n = 0").select("row")), "__row", "left_semi").drop("__row")

@@ -9,6 +9,7 @@ from quadrangle.llm.alignment import align_tokenizers
 from quadrangle.llm.archives import archive_round_trip
 from quadrangle.llm.common import LOWER, UPPER, fold, table
 from quadrangle.llm.exact_dedup import exact_duplicates
+from quadrangle.llm.minhash_dedup import minhash_components
 from quadrangle.llm.mixing import mix_sources
 from quadrangle.llm.ngram_join import ngram_components
 from quadrangle.llm.packing import pack_documents
@@ -81,12 +82,17 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op12_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles are similar by 0.85. Null and empty texts have no set and stand alone."""
+    return minhash_components(table(spark, sf_dir, "documents"), n=3, percent=85)
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the tokens of two vocabularies in all documents. Null and empty texts, and such that a vocabulary can't give back, have zeros and no digest."""
     return align_tokenizers(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op8_boosted_pii, op9_token_counts, op10_temperature_mixing, op11_ranked_search, op13_tokenizer_alignment)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op8_boosted_pii, op9_token_counts, op10_temperature_mixing, op11_ranked_search, op12_tensored_minhash, op13_tokenizer_alignment)}
 
 ORACLES = {
     "op2_arc_to_warc": """
