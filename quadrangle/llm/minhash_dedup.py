@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.llm.common import lean, materialize, partitions
 from quadrangle.llm.components import components
-from quadrangle.llm.ngram_join import PER_RANGE, class_members, join_labels, sender, set_rows, shared
+from quadrangle.llm.ngram_join import PER_RANGE, class_members, join_labels, sender, set_rows, shared_keys
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Shingles whose minhashes are taken at once.
@@ -129,7 +129,7 @@ def minhash_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return table_keys(grams, half=half, rows=rows, seed=seed)
 
     sent = docs.select("text").mapInArrow(lean(sender(n, ranges, salt, keys)), "range int, sids binary, places binary, steps binary")
-    met = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(shared), "sid long, sig long, df long")
+    met = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(shared_keys), "sid long, sig long, df long")
     buckets = met.select(F.col("sig").alias("h"), "sid").distinct()
     entries = materialize(buckets.join(classes.select("sid", "n"), "sid"), "buckets")
 

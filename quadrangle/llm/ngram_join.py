@@ -173,7 +173,7 @@ def sender(n: int, ranges: int, salt: int, keys: Callable[[np.ndarray], np.ndarr
     return send
 
 
-def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of ranges that come one after another: (sid, sig, df) of the n-grams that two classes or more have; sig: a sum of the classes that do."""
 
     def done(hs: list, ss: list) -> Iterator[pa.RecordBatch]:
@@ -343,7 +343,7 @@ def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent:
     grams = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(p, -(-grams // PER_RANGE))
     sent = docs.select("text").mapInArrow(lean(sender(n, ranges, salt)), "range int, sids binary, places binary, steps binary")
-    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(shared), "sid long, sig long, df long")
+    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(shared_keys), "sid long, sig long, df long")
     tokens = shared.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("grams"))  # at most one document's
     tokens = tokens.select("sid", F.size("grams").alias("shared"), _weighed("grams").alias("tokens"))
     # The unshared n-grams come first in the global order.

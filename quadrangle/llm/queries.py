@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.llm.alignment import align_tokenizers
 from quadrangle.llm.archives import archive_round_trip
-from quadrangle.llm.common import LOWER, UPPER, fold, table
+from quadrangle.llm.common import LOWER, UPPER, WORD, fold, table
 from quadrangle.llm.exact_dedup import exact_duplicates
 from quadrangle.llm.minhash_dedup import minhash_components
 from quadrangle.llm.mixing import mix_sources
@@ -94,7 +94,26 @@ def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_arc_to_warc, op3_exact_dedup, op4_compression_toxicity, op5_ngram_jaccard_join, op6_decision_list_rules, op7_quality_classifier, op8_boosted_pii, op9_token_counts, op10_temperature_mixing, op11_ranked_search, op12_tensored_minhash, op13_tokenizer_alignment)}
 
+
+
+def _components_sql(n: int, percent: int, more: str = "") -> str:
+    """Shingle sets, links by shared shingles, and the smallest id reachable."""
+    return rf"""
+        with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as w from documents),
+        s as (select doc_id, case when len(w) = 0 then [] else list_distinct([array_to_string(w[i:i + {n - 1}], ' ') for i in range(1, greatest(len(w) - {n - 1}, 1) + 1)]) end as s from w),
+        g as (select doc_id, len(s) as n, unnest(s) as gram from s),
+        p as (select x.doc_id as a, y.doc_id as b, x.n as na, y.n as nb, count(*) as common from g x join g y on x.gram = y.gram and x.doc_id < y.doc_id group by all),
+        o as materialized (select a, b from p where 100 * common >= {percent} * (na + nb - common)),
+        l as (select a, b from o union all select b, a from o),
+        r as (select doc_id, doc_id as reached from s union select r.doc_id, l.b from r join l on l.a = r.reached),
+        m as (select doc_id, min(reached) as component_id from r group by doc_id)
+        select doc_id, len(s) as n_shingles, component_id{more} from s join m using (doc_id)
+    """
+
+
 ORACLES = {
+    "op5_ngram_jaccard_join": _components_sql(5, 80),
+    "op12_tensored_minhash": _components_sql(3, 85, ", doc_id = component_id as kept"),
     "op2_arc_to_warc": """
         with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
         g as (select page_id, octet_length(payload) as payload_bytes, sha1(payload) as payload_digest,

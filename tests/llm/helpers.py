@@ -42,9 +42,9 @@ def shingles(text: str | None, n: int = 5) -> frozenset:
     return frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset()
 
 
-def components(rows) -> list[tuple[int | None, int, int | None]]:
+def components(rows, n: int = 5, percent: int = 80) -> list[tuple[int | None, int, int | None]]:
     """(id, size of the set, component) of each row, by comparing all pairs."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, n) for _, t in rows]
     label = list(range(len(rows)))
 
     def root(k):
@@ -55,7 +55,7 @@ def components(rows) -> list[tuple[int | None, int, int | None]]:
     for a in range(len(rows)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 label[root(a)] = root(b)
     ids: dict[int, list[int]] = {}
     for k, (i, _) in enumerate(rows):
