@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.functions.names import normalize_columns
+from quadrangle.operators.distincts import distinct_counts, distinct_values
 
 
 @dataclass(frozen=True)
@@ -300,36 +301,36 @@ def validate_dataset(df: DataFrame, contract: dict[str, Field]) -> DataFrame:
 
 
 def infer_contract(df: DataFrame, *, most: int = 10) -> DataFrame:
-    """(column, kind, nullable, categories) from one aggregate: 2 to `most` distinct values make a category; numbers are float64, at least 0."""
-    kinds = dict(df.dtypes)
-    aggs = []
-    for k, c in enumerate(df.columns):
-        aggs += [F.countDistinct(F.col(f"`{c}`")).alias(f"d{k}"), F.count_if(F.col(f"`{c}`").isNull()).alias(f"z{k}")]
-    n = df.agg(*aggs).first()  # one row
-    few = [c for k, c in enumerate(df.columns) if 2 <= n[f"d{k}"] <= most]
-    sets = df.agg(*[F.array_join(F.array_sort(F.collect_set(F.col(f"`{c}`").cast("string"))), ",").alias(c) for c in few]).first().asDict() if few else {}
+    """(column, kind, nullable, categories) of every column: 2 to `most` distinct values make a category; numbers are float64, at least 0.
 
-    def kind(c: str) -> str:
-        t = kinds[c]
-        return "category" if c in few else "boolean" if t == "boolean" else "datetime64[ns]" if t in ("date", "timestamp") else "float64" if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal") else "string"
+    Tasks stop sending a column's values once they know more than `most`.
+    """
+    values = distinct_values(df, limit=most + 1)
+    counts = values.groupBy("column").agg(F.count("value").alias("n"), F.bool_or(F.col("value").isNull()).alias("nullable"))
+    few = values.join(F.broadcast(counts.where(F.col("n").between(2, most)).select("column")), "column")  # names of columns
+    sets = few.groupBy("column").agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("categories"))
+
+    def kind(t: str) -> str:
+        return "boolean" if t == "boolean" else "datetime64[ns]" if t in ("date", "timestamp") else "float64" if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal") else "string"
 
-    rows = [(c, kind(c), n[f"z{k}"] > 0, sets.get(c)) for k, c in enumerate(df.columns)]
-    return df.sparkSession.createDataFrame(rows, "column string, kind string, nullable boolean, categories string")
+    every = df.sparkSession.range(1).select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kind(t)).alias("plain")) for c, t in df.dtypes])).alias("e")).select("e.*")
+    out = every.join(counts, "column", "left").join(sets, "column", "left")
+    return out.select("column", F.when(F.col("categories").isNotNull(), "category").otherwise(F.col("plain")).alias("kind"), F.coalesce("nullable", F.lit(False)).alias("nullable"), "categories")
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """(column, n, nulls, zeros, n_distinct, mean, sd, low, high) of every column, from one aggregate."""
-    kinds = dict(df.dtypes)
+    """(column, n, nulls, zeros, n_distinct, mean, sd, low, high) of every column, from one aggregate and one pass for distinct values."""
     rows = []
-    for c, t in kinds.items():
+    for c, t in df.dtypes:
         x = F.col(f"`{c}`")
         number = t in ("tinyint", "smallint", "int", "bigint", "float", "double")
         v = x.cast("double") if number else F.lit(None).cast("double")
-        rows.append((c, [F.count(x), F.count_if(x.isNull()), F.count_if(v == 0), F.countDistinct(x), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)]))
+        rows.append((c, [F.count(x), F.count_if(x.isNull()), F.count_if(v == 0), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)]))
     flat = df.agg(*[a.alias(f"a{i}_{j}") for i, (_, aggs) in enumerate(rows) for j, a in enumerate(aggs)])
-    names = ["n", "nulls", "zeros", "n_distinct", "mean", "sd", "low", "high"]
+    names = ["n", "nulls", "zeros", "mean", "sd", "low", "high"]
     out = [F.struct(F.lit(c).alias("column"), *[F.col(f"a{i}_{j}").alias(m) for j, m in enumerate(names)]) for i, (c, _) in enumerate(rows)]
-    return flat.select(F.explode(F.array(*out)).alias("r")).select("r.*")
+    plain = flat.select(F.explode(F.array(*out)).alias("r")).select("r.*")
+    return plain.join(distinct_counts(df), "column").select("column", "n", "nulls", "zeros", "n_distinct", "mean", "sd", "low", "high")
 
 
 def anomalies(stats: DataFrame, limits: DataFrame, *, fail: bool = False) -> DataFrame:

@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrangle.operators.evaluation import running
+from quadrangle.operators.distincts import distinct_counts
+from quadrangle.operators.quantiles import exact_quantiles
+from quadrangle.operators.running import running
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], *, dropna: bool = True) -> DataFrame:
@@ -38,11 +40,14 @@ def describe_columns(df: DataFrame, cols: Sequence[str], percentiles: Sequence[f
     """(column, count, mean, sd, min, p.., max, null_count, null_pct) of numeric columns; (.., n_unique) of others is in `profile`."""
     aggs, rows = [], []
     for k, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        parts = {"count": F.count(x), "mean": F.avg(x), "sd": F.stddev_samp(x), "min": F.min(x), **{f"p{int(q * 100)}": F.percentile(x, q) for q in percentiles}, "max": F.max(x), "null_count": F.count_if(x.isNull()), "null_pct": 100.0 * F.count_if(x.isNull()) / F.count("*")}
+        x = F.col(f"`{c}`").cast("double")
+        parts = {"count": F.count(x), "mean": F.avg(x), "sd": F.stddev_samp(x), "min": F.min(x), "max": F.max(x), "null_count": F.count_if(x.isNull()), "null_pct": 100.0 * F.count_if(x.isNull()) / F.count("*")}
         aggs += [a.alias(f"a{k}_{m}") for m, a in parts.items()]
         rows.append(F.struct(F.lit(c).alias("column"), *[F.col(f"a{k}_{m}").alias(m) for m in parts]))
-    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    plain = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    names = {q: f"p{int(q * 100)}" for q in percentiles}
+    found = exact_quantiles(df, cols, percentiles).groupBy("column").agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(m) for q, m in names.items()])
+    return plain.join(F.broadcast(found), "column").select("column", "count", "mean", "sd", "min", *names.values(), "max", "null_count", "null_pct")  # a row for each column
 
 
 def unique_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -54,14 +59,9 @@ def unique_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return g.agg(F.count("*").alias("n_unique"), F.sum(F.col("n") - 1).alias("n_duplicates"), F.sum("z").alias("n_null"))
 
 
-def distinct_counts(df: DataFrame) -> DataFrame:
-    """(column, n_distinct) of every column."""
-    flat = df.agg(*[F.countDistinct(F.col(f"`{c}`")).alias(f"a{k}") for k, c in enumerate(df.columns)])
-    return flat.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"a{k}").alias("n_distinct")) for k, c in enumerate(df.columns)])).alias("r")).select("r.*")
-
-
 def single_value_columns(df: DataFrame) -> DataFrame:
-    return distinct_counts(df).where("n_distinct = 1").select("column")
+    """Columns with one distinct value besides nulls."""
+    return distinct_counts(df, limit=2).where("n_distinct = 1").select("column")
 
 
 def null_fractions(df: DataFrame) -> DataFrame:

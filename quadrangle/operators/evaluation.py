@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quadrangle.operators.quantiles import quantile
+from quadrangle.operators.running import running
 
 
 def _count(cond: Column) -> Column:
@@ -32,7 +34,7 @@ def format_metrics(df: DataFrame) -> DataFrame:
 
 
 def sensitivity_top_q(df: DataFrame, q: float) -> DataFrame:
-    limit = df.agg(F.percentile("pred_prob", q).alias("__q"))  # one row
+    limit = quantile(df, "pred_prob", q, "__q")  # one row
     hit = F.count_if(F.col("target") & (F.col("pred_prob") >= F.col("__q")))
     return df.join(F.broadcast(limit)).agg(F.try_divide(hit.cast("double"), F.count_if("target").cast("double")).alias("sensitivity"))
 
@@ -45,68 +47,47 @@ def confusion_matrix(df: DataFrame) -> DataFrame:
     return c.select(rate("tp", "fn").alias("true_positive"), rate("fp", "tn").alias("false_positive"), rate("tn", "fp").alias("true_negative"), rate("fn", "tp").alias("false_negative"))
 
 
-def ranged(df: DataFrame, c: str, ranges: int | None = None) -> Column:
-    """The range of values that a row's c falls in, from 0; equal values are in one range, and ranges hold about as many rows.
-
-    Only the cuts between ranges reach the driver.
-    """
-    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = df.agg(F.percentile_approx(F.col(c).cast("double"), [k / n for k in range(1, n)], 1000)).first()[0] if n > 1 else None
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.lit(sorted(set(cuts))), lambda cut: cut < F.col(c)))
-
-
-def running(df: DataFrame, c: str, sums: dict[str, str], *, by: Sequence[str] = (), descending: bool = False, ties: Sequence[str] = ()) -> DataFrame:
-    """df with totals {name: column} of all rows up to and with this one, in order of c, then of ties.
-
-    Rows are summed within ranges of c; a window over the few ranges adds what
-    comes before.
-    """
-    d = df.withColumn("__range", ranged(df, c))
-    order = [F.desc(c) if descending else F.col(c), *ties]
-    inside = Window.partitionBy(*by, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(*by).orderBy(F.desc("__range") if descending else "__range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = d.groupBy(*by, "__range").agg(*[F.sum(x).alias(f"__{k}") for k, x in sums.items()])  # a row for each range and group
-    totals = totals.select(*by, "__range", *[F.coalesce(F.sum(f"__{k}").over(earlier), F.lit(0)).alias(f"__{k}") for k in sums])
-    d = d.withColumns({k: F.sum(x).over(inside) for k, x in sums.items()})
-    same = [d[b].eqNullSafe(totals[b]) for b in (*by, "__range")]
-    out = d.join(F.broadcast(totals), same)
-    return out.select(*[d[x] for x in df.columns], *[(d[k] + totals[f"__{k}"]).alias(k) for k in sums])
-
-
 def _by_score(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by, F.col("pred_prob").alias("s")).agg(F.count_if("target").alias("p"), F.count_if(~F.col("target")).alias("q"))
 
 
+def _totals(counts: DataFrame) -> DataFrame:
+    """One row, from the same counts by score."""
+    return counts.agg(F.sum("p").alias("total_p"), F.sum("q").alias("total_n"))
+
+
 def roc_curve(df: DataFrame, decimals: int = 4) -> DataFrame:
     """threshold, tp, fp, tn, fn, tpr, fpr at the distinct scores, rounded; a rounded-up threshold can exclude its own score."""
-    counts = _by_score(df).withColumn("mark", F.lit(0))
-    points = counts.select(F.bround("s", decimals).alias("s")).distinct().select("s", F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q"), F.lit(1).alias("mark"))
-    run = running(counts.unionByName(points), "s", {"tp": "p", "fp": "q"}, descending=True, ties=["mark"]).where("mark = 1")
-    total = df.agg(F.count_if("target").alias("total_p"), F.count_if(~F.col("target")).alias("total_n"))  # one row
-    j = run.join(F.broadcast(total))
+    counts = _by_score(df)
+    zero = F.lit(0).cast("long")
+    point = F.struct(F.bround("s", decimals).alias("s"), zero.alias("p"), zero.alias("q"), F.lit(1).alias("mark"))
+    both = counts.select(F.explode(F.array(F.struct("s", "p", "q", F.lit(0).alias("mark")), point)).alias("e")).select("e.*")
+    run = running(both, "s", {"tp": "p", "fp": "q"}, descending=True, ties=["mark"]).where("mark = 1").select("s", "tp", "fp").distinct()
+    j = run.join(F.broadcast(_totals(counts)))
     r = lambda a, b: F.bround(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), decimals)
     return j.select(F.col("s").alias("threshold"), "tp", "fp", (F.col("total_n") - F.col("fp")).alias("tn"), (F.col("total_p") - F.col("tp")).alias("fn"), r("tp", "total_p").alias("tpr"), r("fp", "total_n").alias("fpr"))
 
 
 def precision_recall_curve(df: DataFrame) -> DataFrame:
-    total = df.agg(F.count_if("target").alias("total"))
-    j = running(_by_score(df), "s", {"tp": "p", "fp": "q"}, descending=True).join(F.broadcast(total))
-    return j.select(F.col("s").alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide(F.col("tp").cast("double"), F.col("total").cast("double")).alias("recall"))
+    counts = _by_score(df)
+    j = running(counts, "s", {"tp": "p", "fp": "q"}, descending=True).join(F.broadcast(_totals(counts)))
+    return j.select(F.col("s").alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide(F.col("tp").cast("double"), F.col("total_p").cast("double")).alias("recall"))
 
 
 def average_precision(df: DataFrame) -> DataFrame:
-    total = df.agg(F.count_if("target").alias("total"))
-    j = running(_by_score(df), "s", {"tp": "p", "fp": "q"}, descending=True).join(F.broadcast(total))
-    step = F.try_divide(F.col("p").cast("double"), F.col("total").cast("double"))  # the recall that this score adds
+    counts = _by_score(df)
+    j = running(counts, "s", {"tp": "p", "fp": "q"}, descending=True).join(F.broadcast(_totals(counts)))
+    step = F.try_divide(F.col("p").cast("double"), F.col("total_p").cast("double"))  # the recall that this score adds
     return j.agg(F.sum(step * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"))
 
 
 def roc_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """From average ranks."""
-    n = _by_score(df, by).withColumn("n", F.col("p") + F.col("q"))
-    ranked = running(n, "s", {"upto": "n"}, by=by).withColumn("rank", F.col("upto") - (F.col("n") - 1) / 2)
+    return _auc(_by_score(df, by), by)
+
+
+def _auc(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    ranked = running(counts.withColumn("n", F.col("p") + F.col("q")), "s", {"upto": "n"}, by=by).withColumn("rank", F.col("upto") - (F.col("n") - 1) / 2)
     t = ranked.groupBy(*by).agg(F.sum(F.col("p") * F.col("rank")).alias("r"), F.sum("p").cast("double").alias("P"), F.sum("q").cast("double").alias("N"))
     return t.select(*by, F.try_divide(F.col("r") - F.col("P") * (F.col("P") + 1) / 2, F.col("P") * F.col("N")).alias("auc"))
 
@@ -123,13 +104,13 @@ def score_histogram(df: DataFrame, bins: int = 20) -> DataFrame:
 
 def metrics_near_threshold(df: DataFrame, threshold: float = 0.5, by: str = "split") -> DataFrame:
     """Per split the score nearest the threshold, with precision and recall there, and the AUC."""
-    s = F.col("pred_prob")
-    near = df.groupBy(by).agg(F.min(F.struct(F.abs(s - threshold), s)).alias("m")).select(F.col(by).alias("__by"), F.col("m.pred_prob").alias("threshold"))  # a row for each split
-    rows = df.join(F.broadcast(near), df[by].eqNullSafe(F.col("__by")))
-    flagged = F.col("pred_prob") >= F.col("threshold")
-    c = rows.groupBy(by, "threshold").agg(F.count_if(flagged).alias("n"), F.count_if(flagged & F.col("target")).alias("tp"), F.count_if("target").alias("P"))
+    counts = _by_score(df, [by])
+    near = counts.groupBy(by).agg(F.min(F.struct(F.abs(F.col("s") - threshold).alias("off"), "s")).alias("m")).select(F.col(by).alias("__by"), F.col("m.s").alias("threshold"))  # a row for each split
+    rows = counts.join(F.broadcast(near), counts[by].eqNullSafe(F.col("__by")))
+    flagged = F.col("s") >= F.col("threshold")
+    c = rows.groupBy(by, "threshold").agg(F.sum(F.when(flagged, F.col("p") + F.col("q"))).alias("n"), F.sum(F.when(flagged, F.col("p"))).alias("tp"), F.sum("p").alias("P"))
     out = c.select(by, "threshold", (F.col("tp") / F.col("n")).alias("precision"), F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("recall"))
-    return out.join(roc_auc(df, [by]), by)
+    return out.join(_auc(counts, [by]), by)
 
 
 def support_score_bins(df: DataFrame, *, include_all: bool = False) -> DataFrame:
@@ -155,7 +136,7 @@ def split_summary(df: DataFrame, fractions: dict[str, float]) -> DataFrame:
 
 def extreme_students(df: DataFrame) -> DataFrame:
     """Ids with the largest, the smallest, and the score nearest the median."""
-    mid = df.agg(F.median("pred_prob").alias("__m"))
+    mid = quantile(df, "pred_prob", 0.5, "__m")  # one row
     pick = lambda d, name, *order: d.orderBy(*order, "student_id").limit(1).select(F.lit(name).alias("which"), "student_id", "pred_prob")
     near = pick(df.join(F.broadcast(mid)), "median", F.abs(F.col("pred_prob") - F.col("__m")))
     return pick(df, "max", F.desc("pred_prob")).unionByName(pick(df, "min", "pred_prob")).unionByName(near)

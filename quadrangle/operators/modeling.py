@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.functions.columns import adjusted_skewness
+from quadrangle.operators.quantiles import exact_quantiles
 
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 FRACTIONS = {"train": 0.6, "test": 0.2, "validate": 0.2}
@@ -53,7 +54,7 @@ def sample_weights(df: DataFrame, *, target_col: str = "target", weights: dict |
 
 
 def impute_fit(df: DataFrame, columns: Sequence[str] | None = None, *, skewed: float = 0.5) -> DataFrame:
-    """(column, strategy, value, kind, had_nulls): one aggregate over the training rows.
+    """(column, strategy, value, kind, had_nulls): one aggregate over the training rows, and a selection of medians.
 
     No values: a constant (false, 0, "missing"); booleans and strings: the mode;
     numbers: the median where the skewness is at least `skewed`, else the mean.
@@ -65,18 +66,20 @@ def impute_fit(df: DataFrame, columns: Sequence[str] | None = None, *, skewed: f
         aggs += [F.count(x).alias(f"n{k}"), F.count_if(x.isNull()).alias(f"z{k}")]
         if kinds[c] in NUMBERS:
             d = x.cast("double")
-            aggs += [adjusted_skewness(d).alias(f"s{k}"), F.avg(d).alias(f"a{k}"), F.median(d).alias(f"m{k}")]
+            aggs += [adjusted_skewness(d).alias(f"s{k}"), F.avg(d).alias(f"a{k}")]
         else:
             aggs.append(F.mode(x, True).cast("string").alias(f"o{k}"))
     got, rows = df.agg(*aggs).first(), []  # one row
+    slanted = [c for k, c in enumerate(columns) if kinds[c] in NUMBERS and got[f"s{k}"] is not None and abs(got[f"s{k}"]) >= skewed]
+    medians = {r["column"]: r["value"] for r in exact_quantiles(df, slanted, [0.5]).collect()} if slanted else {}  # a row for each column
     for k, c in enumerate(columns):
         number = kinds[c] in NUMBERS
         if not got[f"n{k}"]:
             strategy, value = "constant", "0" if number else "false" if kinds[c] == "boolean" else "missing"
         elif not number:
             strategy, value = "mode", got[f"o{k}"]
-        elif got[f"s{k}"] is not None and abs(got[f"s{k}"]) >= skewed:
-            strategy, value = "median", repr(got[f"m{k}"])
+        elif c in medians:
+            strategy, value = "median", repr(medians[c])
         else:
             strategy, value = "mean", repr(got[f"a{k}"])
         rows.append((c, strategy, value, kinds[c], got[f"z{k}"] > 0))
@@ -136,12 +139,12 @@ def low_variance_features(df: DataFrame, threshold: float = 0.0) -> list[str]:
         if kinds[c] in NUMBERS:
             aggs += [F.when(F.min(x) == F.max(x), 0.0).otherwise(F.var_pop(x)).alias(f"v{k}"), F.count_if(F.abs(x.cast("double")) == float("inf")).alias(f"i{k}")]
         else:
-            aggs.append(F.countDistinct(x).alias(f"d{k}"))
+            aggs.append(F.coalesce(F.min(x) == F.max(x), F.lit(True)).alias(f"d{k}"))
     got = df.agg(*aggs).first()
     for k, c in enumerate(df.columns):
         if kinds[c] in NUMBERS and got[f"i{k}"]:
             raise ValueError(f"{c} has infinite values")
-    return [c for k, c in enumerate(df.columns) if (kinds[c] in NUMBERS and (got[f"v{k}"] or 0.0) <= threshold) or (kinds[c] not in NUMBERS and got[f"d{k}"] <= 1)]
+    return [c for k, c in enumerate(df.columns) if (kinds[c] in NUMBERS and (got[f"v{k}"] or 0.0) <= threshold) or (kinds[c] not in NUMBERS and got[f"d{k}"])]
 
 
 def collinear_features(df: DataFrame, threshold: float = 10.0, force: Sequence[str] = ()) -> list[str]:

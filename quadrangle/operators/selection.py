@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadrangle.functions.columns import value_equals
+from quadrangle.operators.quantiles import quantile
 
 
 def _criteria(criteria: dict[str, object]) -> dict[str, Column]:
@@ -46,7 +47,7 @@ def latest_term_population(student_terms: DataFrame, eligible: DataFrame, *, ran
 
 
 def above_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
-    limit = df.agg(F.percentile(col, q).alias("__q"))  # one row
+    limit = quantile(df, col, q, "__q")  # one row
     return df.join(F.broadcast(limit), F.col(col) >= F.col("__q")).drop("__q")
 
 

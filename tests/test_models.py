@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.functions import columns as C
 from quadrangle.operators import evaluation, modeling
+from quadrangle.operators.running import running
 from quadrangle.sources import writers
 
 FEATURES = ["x", "y"]
@@ -76,8 +77,8 @@ def test_running_sums_of_distinct_scores(spark, parts):
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:
         df = spark.createDataFrame([(float(v), 1) for v in s], "s double, n int").groupBy("s").agg(F.sum("n").alias("n"))
-        up = {r.s: r.total for r in evaluation.running(df, "s", {"total": "n"}).collect()}
-        down = {r.s: r.total for r in evaluation.running(df, "s", {"total": "n"}, descending=True).collect()}
+        up = {r.s: r.total for r in running(df, "s", {"total": "n"}).collect()}
+        down = {r.s: r.total for r in running(df, "s", {"total": "n"}, descending=True).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert up == {v: int((s <= v).sum()) for v in set(s.tolist())}
