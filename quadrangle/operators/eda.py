@@ -120,7 +120,8 @@ def _average_rank(counts: DataFrame, col: str, out: str) -> DataFrame:
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row, `value`: correlation of average ranks on complete pairs."""
-    pairs = df.dropna(subset=[a, b]).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count("*").cast("double").alias("n"))
+    known = df.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
+    pairs = known.groupBy("a", "b").agg(F.count("*").cast("double").alias("n"))
     ra, rb = _average_rank(pairs, "a", "ra"), _average_rank(pairs, "b", "rb")
     j = pairs.join(ra, pairs["a"] == ra["__a"]).join(rb, pairs["b"] == rb["__b"])
     n, x, y = F.sum("n"), F.col("ra"), F.col("rb")

@@ -51,45 +51,39 @@ def _by_score(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by, F.col("pred_prob").alias("s")).agg(F.count_if("target").alias("p"), F.count_if(~F.col("target")).alias("q"))
 
 
-def _totals(counts: DataFrame) -> DataFrame:
-    """One row, from the same counts by score."""
-    return counts.agg(F.sum("p").alias("total_p"), F.sum("q").alias("total_n"))
+def _curve(counts: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """Counts by score with tp and fp of all scores from theirs on, and the positives and negatives of all."""
+    return running(counts, "s", {"tp": "p", "fp": "q"}, descending=True, ties=ties, whole={"total_p": "tp", "total_n": "fp"})
 
 
 def roc_curve(df: DataFrame, decimals: int = 4) -> DataFrame:
     """threshold, tp, fp, tn, fn, tpr, fpr at the distinct scores, rounded; a rounded-up threshold can exclude its own score."""
-    counts = _by_score(df)
     zero = F.lit(0).cast("long")
     point = F.struct(F.bround("s", decimals).alias("s"), zero.alias("p"), zero.alias("q"), F.lit(1).alias("mark"))
-    both = counts.select(F.explode(F.array(F.struct("s", "p", "q", F.lit(0).alias("mark")), point)).alias("e")).select("e.*")
-    run = running(both, "s", {"tp": "p", "fp": "q"}, descending=True, ties=["mark"]).where("mark = 1").select("s", "tp", "fp").distinct()
-    j = run.join(F.broadcast(_totals(counts)))
+    both = _by_score(df).select(F.explode(F.array(F.struct("s", "p", "q", F.lit(0).alias("mark")), point)).alias("e")).select("e.*")
+    j = _curve(both, ["mark"]).where("mark = 1").select("s", "tp", "fp", "total_p", "total_n").distinct()
     r = lambda a, b: F.bround(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), decimals)
     return j.select(F.col("s").alias("threshold"), "tp", "fp", (F.col("total_n") - F.col("fp")).alias("tn"), (F.col("total_p") - F.col("tp")).alias("fn"), r("tp", "total_p").alias("tpr"), r("fp", "total_n").alias("fpr"))
 
 
 def precision_recall_curve(df: DataFrame) -> DataFrame:
-    counts = _by_score(df)
-    j = running(counts, "s", {"tp": "p", "fp": "q"}, descending=True).join(F.broadcast(_totals(counts)))
+    j = _curve(_by_score(df))
     return j.select(F.col("s").alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide(F.col("tp").cast("double"), F.col("total_p").cast("double")).alias("recall"))
 
 
 def average_precision(df: DataFrame) -> DataFrame:
-    counts = _by_score(df)
-    j = running(counts, "s", {"tp": "p", "fp": "q"}, descending=True).join(F.broadcast(_totals(counts)))
     step = F.try_divide(F.col("p").cast("double"), F.col("total_p").cast("double"))  # the recall that this score adds
-    return j.agg(F.sum(step * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"))
+    return _curve(_by_score(df)).agg(F.sum(step * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"))
 
 
-def roc_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """From average ranks."""
-    return _auc(_by_score(df, by), by)
+def _area() -> Column:
+    """Pairs that a group's scores order right, a tie counting half, of rows with p, q and tp of all scores from theirs on."""
+    n = F.sum("p").cast("double") * F.sum("q").cast("double")
+    return F.try_divide(F.sum(F.col("q") * (F.col("tp") - F.col("p") / 2)), n)
 
 
-def _auc(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    ranked = running(counts.withColumn("n", F.col("p") + F.col("q")), "s", {"upto": "n"}, by=by).withColumn("rank", F.col("upto") - (F.col("n") - 1) / 2)
-    t = ranked.groupBy(*by).agg(F.sum(F.col("p") * F.col("rank")).alias("r"), F.sum("p").cast("double").alias("P"), F.sum("q").cast("double").alias("N"))
-    return t.select(*by, F.try_divide(F.col("r") - F.col("P") * (F.col("P") + 1) / 2, F.col("P") * F.col("N")).alias("auc"))
+def roc_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return running(_by_score(df, by), "s", {"tp": "p"}, by=by, descending=True).groupBy(*by).agg(_area().alias("auc"))
 
 
 def calibration_curve(df: DataFrame, by: Sequence[str] = (), bins: int = 10) -> DataFrame:
@@ -104,13 +98,10 @@ def score_histogram(df: DataFrame, bins: int = 20) -> DataFrame:
 
 def metrics_near_threshold(df: DataFrame, threshold: float = 0.5, by: str = "split") -> DataFrame:
     """Per split the score nearest the threshold, with precision and recall there, and the AUC."""
-    counts = _by_score(df, [by])
-    near = counts.groupBy(by).agg(F.min(F.struct(F.abs(F.col("s") - threshold).alias("off"), "s")).alias("m")).select(F.col(by).alias("__by"), F.col("m.s").alias("threshold"))  # a row for each split
-    rows = counts.join(F.broadcast(near), counts[by].eqNullSafe(F.col("__by")))
-    flagged = F.col("s") >= F.col("threshold")
-    c = rows.groupBy(by, "threshold").agg(F.sum(F.when(flagged, F.col("p") + F.col("q"))).alias("n"), F.sum(F.when(flagged, F.col("p"))).alias("tp"), F.sum("p").alias("P"))
-    out = c.select(by, "threshold", (F.col("tp") / F.col("n")).alias("precision"), F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("recall"))
-    return out.join(_auc(counts, [by]), by)
+    run = running(_by_score(df, [by]), "s", {"tp": "p", "fp": "q"}, by=[by], descending=True)
+    near = F.min_by(F.struct("s", "tp", "fp"), F.struct(F.abs(F.col("s") - threshold), "s"))
+    c = run.groupBy(by).agg(near.alias("at"), F.sum("p").alias("P"), _area().alias("auc"))
+    return c.select(by, F.col("at.s").alias("threshold"), (F.col("at.tp") / (F.col("at.tp") + F.col("at.fp"))).alias("precision"), F.try_divide(F.col("at.tp").cast("double"), F.col("P").cast("double")).alias("recall"), "auc")
 
 
 def support_score_bins(df: DataFrame, *, include_all: bool = False) -> DataFrame:

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.functions.columns import adjusted_skewness
+from quadrangle.operators.evaluation import roc_auc
 from quadrangle.operators.quantiles import exact_quantiles
+from quadrangle.sources.writers import scratch_parquet
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have this package
 
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 FRACTIONS = {"train": 0.6, "test": 0.2, "validate": 0.2}
@@ -228,22 +236,21 @@ def _stored(fitted):
 
 def train_candidates(df: DataFrame, features: Sequence[str], *, target_col: str = "target", split_col: str = "split", weight_col: str | None = None, seed: int = 1) -> tuple[DataFrame, dict]:
     """Fit a few classifiers on split "train" and measure them on the others: (metrics table, models by name)."""
-    from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 
     d = df.withColumns({"label": F.col(target_col).cast("double"), **{c: F.col(c).cast("double") for c in features}})
     extra = {"weightCol": weight_col} if weight_col else {}
-    kinds = {"logistic_regression": LogisticRegression(maxIter=20, **extra), "random_forest": RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed, **extra), "gradient_boosting": GBTClassifier(maxIter=10, maxDepth=3, seed=seed, **extra)}
-    models, rows = {}, []
+    kinds = {"random_forest": RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed, **extra), "gradient_boosting": GBTClassifier(maxIter=10, maxDepth=3, seed=seed, **extra)}
     train = d.where(F.col(split_col) == "train")
-    for name, classifier in kinds.items():
-        models[name] = _stored(_pipeline(features, classifier).fit(train))
-        for part in ("validate", "test"):
-            scored = models[name].transform(d.where(F.col(split_col) == part))
-            auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
-            hits = scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-            rows.append((name, part, float(auc), float(hits or 0.0)))
-    return df.sparkSession.createDataFrame(rows, "model string, split string, roc_auc double, accuracy double"), models
+    models: dict = {"logistic_regression": fit_logistic(train, features, target_col=target_col, weight_col=weight_col)}
+    models |= {name: _stored(_pipeline(features, classifier).fit(train)) for name, classifier in kinds.items()}
+    parts = []
+    for name, model in models.items():
+        p = score(model, d.where(F.col(split_col).isin("validate", "test")), features).select(F.lit(name).alias("model"), F.col(split_col).alias("split"), (F.col("label") == 1).alias("target"), (F.col("pred_prob") >= 0.5).alias("pred"), "pred_prob")
+        parts.append(p)
+    scored = reduce(DataFrame.unionByName, parts)
+    accuracy = scored.groupBy("model", "split").agg(F.avg((F.col("pred") == F.col("target")).cast("double")).alias("accuracy"))
+    return roc_auc(scored, ["model", "split"]).join(accuracy, ["model", "split"]).select("model", "split", F.col("auc").alias("roc_auc"), "accuracy"), models
 
 
 @dataclass(frozen=True)
@@ -254,12 +261,6 @@ class LinearModel:
     fills: dict[str, float]
     intercept: float
 
-    @classmethod
-    def of(cls, fitted, features: Sequence[str]) -> LinearModel:
-        """From a fitted logistic pipeline of train_candidates()."""
-        fills, last = fitted.stages[0].surrogateDF.first(), fitted.stages[-1]
-        return cls(dict(zip(features, map(float, last.coefficients), strict=True)), {c: float(fills[c]) for c in features}, float(last.intercept))
-
     def filled(self, c: str) -> Column:
         return F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c]))
 
@@ -270,19 +271,80 @@ class LinearModel:
         return 1 / (1 + F.exp(-z))
 
 
-def predict(model, df: DataFrame, features: Sequence[str], *, id_col: str = "student_id", threshold: float = 0.5) -> DataFrame:
-    """(id, pred_prob, pred) by a fitted pipeline or a LinearModel."""
+def _sums(batches: Iterator[pa.RecordBatch], beta: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Of rows (y, w, z) of a task: log likelihood, gradient and Hessian at beta, as (at, value)."""
+    d = len(beta)
+    total = np.zeros(1 + d + d * d)
+    for batch in batches:
+        if not len(batch):
+            continue
+        y, w = (batch.column(k).to_numpy() for k in (0, 1))
+        z = np.column_stack([np.ones(len(y)), batch.column(2).flatten().to_numpy().reshape(len(y), d - 1)])
+        eta = z @ beta
+        p = 1 / (1 + np.exp(-eta))
+        total[0] += w @ (y * eta - np.logaddexp(0, eta))
+        total[1 : 1 + d] += z.T @ (w * (y - p))
+        total[1 + d :] += (z.T @ (z * (w * p * (1 - p))[:, None])).ravel()
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["at", "value"])
+
+
+def fit_logistic(df: DataFrame, features: Sequence[str], *, target_col: str = "target", weight_col: str | None = None, ridge: float = 1.0, rounds: int = 50, tolerance: float = 1e-12) -> LinearModel:
+    """A logistic model by Newton's method on sums over rows: the same coefficients in any partitioning, up to rounding.
+
+    Nulls count as the mean of the feature, features are scaled to standard
+    deviation 1, and half `ridge` times the squares of their coefficients is
+    added to the loss; so the optimum is unique also where a feature separates
+    the classes. Rows without a target are left out. Scaled rows are written
+    once; each round sums them in tasks, and only the sums reach the driver.
+    """
+    d = df.where(F.col(target_col).isNotNull()).select(F.col(target_col).cast("boolean").cast("double").alias("y"), (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"), *[F.col(f"`{c}`").cast("double").alias(f"x{k}") for k, c in enumerate(features)])
+    stats = d.agg(F.count("*").alias("n"), *[a.alias(f"{m}{k}") for k in range(len(features)) for m, a in (("m", F.avg(f"x{k}")), ("s", F.count(f"x{k}") * F.var_pop(f"x{k}")))]).first()  # one row
+    means = [float(stats[f"m{k}"] or 0.0) for k in range(len(features))]
+    scales = [float(np.sqrt((stats[f"s{k}"] or 0.0) / max(stats["n"], 1))) or 1.0 for k in range(len(features))]
+    z = F.array(*[(F.coalesce(F.col(f"x{k}"), F.lit(means[k])) - F.lit(means[k])) / F.lit(scales[k]) for k in range(len(features))])
+    rows = df.sparkSession.read.parquet(scratch_parquet(d.select("y", "w", z.alias("z"))))
+    penalty = np.array([0.0] + [ridge] * len(features))
+
+    def at(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        sums = rows.mapInArrow(lambda batches: _sums(batches, beta), "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()  # 1 + d + d * d rows
+        total = np.zeros(1 + len(beta) + len(beta) ** 2)
+        for r in sums:
+            total[r["at"]] = r["value"]
+        n = len(beta)
+        return total[0] - 0.5 * penalty @ beta**2, total[1 : 1 + n] - penalty * beta, total[1 + n :].reshape(n, n) + np.diag(penalty)
+
+    beta = np.zeros(len(features) + 1)
+    value, slope, bend = at(beta)
+    for _ in range(rounds):
+        step = np.linalg.lstsq(bend, slope, rcond=None)[0]
+        while True:
+            new = at(beta + step)
+            if new[0] >= value - 1e-9 * abs(value) or np.abs(step).max() < tolerance:
+                break
+            step = step / 2  # beyond the top: shorter
+        beta, (value, slope, bend) = beta + step, new
+        if np.abs(step).max() < tolerance * (1 + np.abs(beta).max()):
+            break
+    weights = [float(b / s) for b, s in zip(beta[1:], scales, strict=True)]
+    return LinearModel(dict(zip(features, weights, strict=True)), dict(zip(features, means, strict=True)), float(beta[0] - sum(w * m for w, m in zip(weights, means, strict=True))))
+
+
+def score(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """df with pred_prob, by a LinearModel or a fitted pipeline."""
     from pyspark.ml.functions import vector_to_array
 
     absent = [c for c in features if c not in df.columns]
     if absent:
         raise ValueError(f"features missing: {absent}")
     if isinstance(model, LinearModel):
-        p = model.probability()
-        return df.select(id_col, p.alias("pred_prob"), (p >= threshold).alias("pred"))
+        return df.withColumn("pred_prob", model.probability())
     scored = model.transform(df.withColumns({c: F.col(c).cast("double") for c in features}))
-    p = vector_to_array("probability")[1]
-    return scored.select(id_col, p.alias("pred_prob"), (p >= threshold).alias("pred"))
+    return scored.select(*df.columns, vector_to_array("probability")[1].alias("pred_prob"))
+
+
+def predict(model, df: DataFrame, features: Sequence[str], *, id_col: str = "student_id", threshold: float = 0.5) -> DataFrame:
+    """(id, pred_prob, pred) by a fitted pipeline or a LinearModel."""
+    return score(model, df, features).select(id_col, "pred_prob", (F.col("pred_prob") >= threshold).alias("pred"))
 
 
 def linear_attributions(model: LinearModel, df: DataFrame, *, id_col: str = "student_id") -> DataFrame:
@@ -296,26 +358,61 @@ def apply_attributions(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInPandas(fn, schema)
 
 
-def permutation_importance(score: Callable[[DataFrame], float], df: DataFrame, features: Sequence[str], *, id_col: str = "student_id", repeats: int = 2, seed: int = 0) -> DataFrame:
-    """Mean drop of score(df) when a feature's values are moved among rows, one scoring job per feature and repeat.
-
-    Rows sort by two different hashes within even hash buckets; equal places swap values, so no window holds all rows.
+def permuted(block: pa.Table, number: int, features: Sequence[str], repeats: int, seed: int) -> Iterator[tuple[int, pa.Table]]:
+    """(variant, rows): -1 the rows as they are, then for each feature and repeat the rows with that feature's values moved among them."""
+    yield -1, block
+    for k, f in enumerate(features):
+        for r in range(repeats):
+            order = np.random.default_rng([seed, number, k, r]).permutation(len(block))
+            at = block.schema.get_field_index(f)
+            yield k * repeats + r, block.set_column(at, block.schema.field(at), block.column(at).take(pa.array(order)))
+
+
+def _variants(features: Sequence[str], repeats: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(block: list[pa.RecordBatch], number: int) -> Iterator[pa.RecordBatch]:
+            for variant, rows in permuted(pa.Table.from_batches(block).drop_columns(["__block"]), number, features, repeats, seed):
+                yield from rows.append_column("__variant", pa.array(np.full(len(rows), variant, np.int32))).to_batches()
+
+        held, now = [], None
+        for batch in batches:
+            numbers = batch.column(batch.schema.get_field_index("__block")).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(batch)]
+            for s, e in zip(edges[:-1], edges[1:], strict=True):
+                if s < e:
+                    if numbers[s] != now and held:
+                        yield from made(held, int(now))
+                        held = []
+                    now = numbers[s]
+                    held.append(batch.slice(s, e - s))
+        if held:
+            yield from made(held, int(now))
+
+    return run
+
+
+def permutation_importance(model, df: DataFrame, features: Sequence[str], *, target_col: str = "target", repeats: int = 5, seed: int = 0, block_rows: int = 10_000) -> DataFrame:
+    """(feature, importance, sd): mean drop of the area under the ROC curve when a feature's values are moved among rows.
+
+    One job for all features and repeats. Rows are dealt by a hash of their
+    values into blocks of about block_rows, and values move within blocks, so no
+    task holds all rows; the moves are the same in any partitioning.
     """
+    d = df.select(F.col(target_col).cast("boolean").alias("target"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    blocks = d.agg(F.greatest(F.lit(1), F.floor(F.count("*") / block_rows)).alias("__blocks"))  # one row
+    mark = F.xxhash64("target", *features, F.lit(seed))
+    # Equal rows get a number of their own, so that many of them don't share a block.
     from pyspark.sql import Window
 
-    base, rows = score(df), []
-    buckets = max(1, df.count() // 10_000)
-    for f in features:
-        drops = []
-        for r in range(repeats):
-            d = df.withColumn("__b", F.pmod(F.xxhash64(id_col, F.lit(seed + r)), F.lit(buckets)))
-            at = Window.partitionBy("__b").orderBy(F.xxhash64(id_col, F.lit(seed + 1000 + r)), id_col)
-            to = Window.partitionBy("__b").orderBy(F.xxhash64(id_col, F.lit(seed + 2000 + r)), id_col)
-            moved = d.select("__b", F.row_number().over(to).alias("__n"), F.col(f).alias("__v"))
-            shuffled = d.withColumn("__n", F.row_number().over(at)).drop(f).join(moved, ["__b", "__n"]).withColumnRenamed("__v", f).drop("__b", "__n")
-            drops.append(base - score(shuffled))
-        rows.append((f, float(np.mean(drops)), float(np.std(drops))))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double, sd double")
+    copy = F.row_number().over(Window.partitionBy("target", *features).orderBy("target"))
+    dealt = d.withColumn("__copy", copy).join(F.broadcast(blocks)).withColumn("__block", F.pmod(F.xxhash64(mark, "__copy"), "__blocks").cast("long"))
+    sorted_ = dealt.repartition("__block").sortWithinPartitions("__block", mark, "target", *features).select("target", *features, "__block")
+    kinds = ", ".join(f"`{c}` double" for c in features)
+    long = sorted_.mapInArrow(_variants(list(features), repeats, seed), f"target boolean, {kinds}, __variant int")
+    auc = roc_auc(score(model, long, features).select("__variant", "target", "pred_prob"), ["__variant"])
+    every = auc.groupBy().agg(F.max(F.when(F.col("__variant") == -1, F.col("auc"))).alias("base"), F.map_from_entries(F.collect_list(F.struct("__variant", "auc"))).alias("by"))  # a row for each variant
+    drops = every.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), (F.col("base") - F.col("by")[F.lit(k * repeats + r)]).alias("drop")) for k, f in enumerate(features) for r in range(repeats)])).alias("d")).select("d.*")
+    return drops.groupBy("feature").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("sd"))
 
 
 # --- attribution tables ---------------------------------------------------------------------

@@ -56,9 +56,11 @@ def _within(names: list[str], values: list[str]):
     return run
 
 
-def running(df: DataFrame, c: str, sums: dict[str, str], *, by: Sequence[str] = (), descending: bool = False, ties: Sequence[str] = ()) -> DataFrame:
+def running(df: DataFrame, c: str, sums: dict[str, str], *, by: Sequence[str] = (), descending: bool = False, ties: Sequence[str] = (), whole: dict[str, str] | None = None) -> DataFrame:
     """df with totals {name: column} of all rows of a group up to and with this one, in order of c, then of ties. Null values count as 0.
 
+    whole: {name: name of a total}, the same totals over the whole table (without groups only).
+
     df is evaluated once, and nothing runs before the result does. One exchange
     deals rows by ranges of (group, c); each partition adds up its own rows, and
     a window over two rows of each partition finds what is before its first
@@ -80,9 +82,12 @@ def running(df: DataFrame, c: str, sums: dict[str, str], *, by: Sequence[str] =
 
     earlier = Window.partitionBy(*by).orderBy("__pid", "__mark").rowsBetween(Window.unboundedPreceding, -1)  # over two rows a partition
     marks = out.where(F.col("__mark") != ROW)
-    before = marks.select("__mark", F.col("__pid").alias("__of"), F.col("__lo").alias("__from"), *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"{t}_before") for t in totals]).where(F.col("__mark") == HEAD).drop("__mark")
+    if whole and by:
+        raise ValueError("totals of the whole table are for tables without groups")
+    ends = {name: totals[list(sums).index(x)] for name, x in (whole or {}).items()}
+    before = marks.select("__mark", *[F.sum(t).over(Window.partitionBy()).alias(f"__all{k}") for k, t in enumerate(ends.values())], F.col("__pid").alias("__of"), F.col("__lo").alias("__from"), *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"{t}_before") for t in totals]).where(F.col("__mark") == HEAD).drop("__mark")
     joined = out.where(F.col("__mark") == ROW).join(F.broadcast(before), F.col("__pid") == F.col("__of"))
     same = F.col("__lo") == F.col("__from")
     wrong = F.raise_error(F.lit("ranges of the two readings differ"))
-    whole = [F.when(~same, wrong.cast(k)).when(F.col("__first"), F.col(t) + F.col(f"{t}_before")).otherwise(F.col(t)).cast(k).alias(name) for name, t, k in zip(sums, totals, number, strict=True)]
-    return joined.select(*[F.col(f"`{x}`") for x in df.columns], *whole)
+    sums_ = [F.when(~same, wrong.cast(k)).when(F.col("__first"), F.col(t) + F.col(f"{t}_before")).otherwise(F.col(t)).cast(k).alias(name) for name, t, k in zip(sums, totals, number, strict=True)]
+    return joined.select(*[F.col(f"`{x}`") for x in df.columns], *sums_, *[F.col(f"__all{k}").alias(name) for k, name in enumerate(ends)])

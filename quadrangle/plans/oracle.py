@@ -128,4 +128,5 @@ def sql(body: str, decimals: int = 6) -> str:
             depth += {"(": 1, ")": -1}.get(body[k], 0)
             k += 1
         body = f"{body[: m.start()]}round(cast(({body[m.end() : k - 1]}) as double), {decimals}){body[k:]}"
-    return f"with {', '.join(f'{n} as ({STEPS[n]})' for n in need)} {body}" if need else body
+    steps = ", ".join(f"{n} as ({STEPS[n]})" for n in need)
+    return f"with {steps} {body}" if need else body

@@ -118,53 +118,60 @@ def _(v: Views) -> DataFrame:
 _INPUTS = ["balance", "nation"]
 
 
-def _trained(v: Views):
+@query("train_candidates")
+def _(v: Views) -> DataFrame:
+    return modeling.train_candidates(modeling.random_split(features(v)), _INPUTS)[0]
+
+
+def _fitted(v: Views) -> modeling.LinearModel:
+    """Fitted on the training rows."""
     d = modeling.random_split(features(v))
-    return d, *modeling.train_candidates(d, _INPUTS)
+    return modeling.fit_logistic(d.where("split = 'train'"), _INPUTS)
 
 
-@query("train_candidates")
-def _(v: Views) -> DataFrame:
-    return _trained(v)[1]
+_H = {"h00": "p*(1-p)", "h01": "p*(1-p)*u", "h02": "p*(1-p)*v", "h11": "p*(1-p)*u*u", "h12": "p*(1-p)*u*v", "h22": "p*(1-p)*v*v", "g0": "y-p", "g1": "(y-p)*u", "g2": "(y-p)*v"}
+#: The same model in SQL: Newton's method, each step solved by Cramer's rule; `fit` is its one row of coefficients.
+_FIT = f"""
+    tr as (select cast(target as int) y, cast(balance as double) b, cast(nation as double) c from {_FEATURES} where {_U}<0.6),
+    ms as (select avg(b) mb, avg(c) mc, sqrt(count(b)*var_pop(b)/count(*)) sb, sqrt(count(c)*var_pop(c)/count(*)) sc from tr),
+    z as materialized (select y, (coalesce(b,mb)-mb)/sb u, (coalesce(c,mc)-mc)/sc v from tr, ms),
+    it(k, b0, b1, b2) as (select 0, cast(0 as double), cast(0 as double), cast(0 as double) union all
+        select k+1, b0+(g0*(a11*a22-h12*h12)-h01*(e1*a22-h12*e2)+h02*(e1*h12-a11*e2))/det,
+            b1+(h00*(e1*a22-e2*h12)-g0*(h01*a22-h12*h02)+h02*(h01*e2-e1*h02))/det, b2+(h00*(a11*e2-e1*h12)-h01*(h01*e2-e1*h02)+g0*(h01*h12-a11*h02))/det
+        from (select *, h00*(a11*a22-h12*h12)-h01*(h01*a22-h12*h02)+h02*(h01*h12-a11*h02) det from
+            (select *, h11+1 a11, h22+1 a22, g1-b1 e1, g2-b2 e2 from (select k, b0, b1, b2, {", ".join(f"sum({t}) {n}" for n, t in _H.items())} from (select it.*, y, u, v, 1/(1+exp(-(b0+b1*u+b2*v))) p from it, z where k<40) group by k, b0, b1, b2)))),
+    fit as (select b1/sb w1, b2/sc w2, b0-b1/sb*mb-b2/sc*mc w0, mb, mc from it, ms where k=40)"""
 
 
-#: A stored model, as one would read it back; models fitted here are compared with it in tests/test_models.py.
-_MODEL = modeling.LinearModel({"balance": 0.0009, "nation": -0.03}, {"balance": 4500.0, "nation": 12.0}, -2.5)
-_B, _N = "coalesce(cast(balance as double),4500.0)", "cast(nation as double)"
+def _by_fit(body: str) -> str:
+    return f"with recursive {_FIT} {body}"
 
 
-@query("predict", f"select student_id, r(p) as pred_prob, p>=0.5 as pred from (select student_id, 1/(1+exp(-(-2.5+0.0009*{_B}-0.03*{_N}))) p from {_FEATURES})")
+@query("predict", _by_fit(f"select student_id, r(p) as pred_prob, p>=0.5 as pred from (select student_id, 1/(1+exp(-(w0+w1*coalesce(balance,mb)+w2*coalesce(nation,mc)))) p from {_FEATURES}, fit)"))
 def _(v: Views) -> DataFrame:
-    return modeling.predict(_MODEL, features(v), _INPUTS)
+    return modeling.predict(_fitted(v), features(v), _INPUTS)
 
 
-_ATTRIBUTED = f"select student_id, r(0.0009*({_B}-(select avg({_B}) from {_FEATURES}))) as balance, r(-0.03*({_N}-(select avg({_N}) from {_FEATURES}))) as nation from {_FEATURES}"
+_ATTRIBUTED = _by_fit(f"select student_id, r(w1*(coalesce(balance,mb)-(select avg(coalesce(balance,mb)) from {_FEATURES}, fit))) as balance, r(w2*(nation-(select avg(nation) from {_FEATURES}))) as nation from {_FEATURES}, fit")
 
 
 @query("linear_attributions", _ATTRIBUTED)
 def _(v: Views) -> DataFrame:
-    return modeling.linear_attributions(_MODEL, features(v))
+    return modeling.linear_attributions(_fitted(v), features(v))
 
 
 @query("permutation_importance")
 def _(v: Views) -> DataFrame:
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-
-    d, _, models = _trained(v)
-    model, auc = models["logistic_regression"], BinaryClassificationEvaluator(metricName="areaUnderROC")
-
-    def score(x: DataFrame) -> float:
-        return auc.evaluate(model.transform(x.withColumns({"label": F.col("target").cast("double"), **{c: F.col(c).cast("double") for c in _INPUTS}})))
-
-    return modeling.permutation_importance(score, d.select("student_id", "target", *_INPUTS), _INPUTS, repeats=1)
+    return modeling.permutation_importance(_fitted(v), features(v), _INPUTS)
 
 
 @query("map_partitions_attributions", _ATTRIBUTED)
 def _(v: Views) -> DataFrame:
     """The linear attributions again, by an explainer in Python as users bring them."""
+    model = _fitted(v)
     d = features(v).select("student_id", F.col("balance").cast("double").alias("balance"), F.col("nation").cast("double").alias("nation"))
-    means = d.agg(*[F.avg(_MODEL.filled(c)).alias(c) for c in _INPUTS]).first()  # one row
-    weights, fills, centre = _MODEL.weights, _MODEL.fills, means.asDict()
+    means = d.agg(*[F.avg(model.filled(c)).alias(c) for c in _INPUTS]).first()  # one row
+    weights, fills, centre = model.weights, model.fills, means.asDict()
 
     def explain(frames):
         for f in frames:

@@ -69,7 +69,8 @@ class Views:
         return student_terms.student_term_features(student_terms.join_student_terms(self.st(), self.students()))
 
     def cum(self) -> DataFrame:
-        return student_terms.cumulative_features(self.stj())
+        terms = student_terms.aggregate_student_terms(student_terms.mark_first_taken(self.cs()), key_areas=["13"])
+        return student_terms.cumulative_features(student_terms.student_term_features(student_terms.join_student_terms(terms, self.students())))
 
 
 def query(name: str, oracle: str | None = None):

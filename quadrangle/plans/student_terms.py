@@ -125,6 +125,31 @@ def grade_aggs(min_passing_grade: float = C.MIN_PASSING_GRADE) -> list[Column]:
     ]
 
 
+#: Lists of a student-term, and the column of courses that each collects.
+TAKEN = {"course_ids": "course_id", "course_subjects": "course_cip", "course_subject_areas": "course_subject_area"}
+
+
+def mark_first_taken(course: DataFrame, *, ids: Sequence[str] = ("institution_id", "student_id")) -> DataFrame:
+    """course with __new_{list}: whether a row is the first of its student with this value, by term; null is a value too.
+
+    All windows sort within one partitioning by student, which the aggregate by
+    student and term needs no second exchange for. Rows without a term are no first ones.
+    """
+    place = [F.col("academic_year"), C.term_ordinal(F.col("academic_term"))]
+    known = F.col("term_id").isNotNull()
+    rows = course.repartition(*ids)
+    return rows.withColumns({f"__new_{many}": known & (F.row_number().over(Window.partitionBy(*ids, known, one).orderBy(*place)) == 1) for many, one in TAKEN.items()})
+
+
+def count_first_taken(df: DataFrame, ids: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """df with __new_{list}: how many values of its lists a row is the first to have among its student's rows (for rows whose courses are not at hand)."""
+    keyed = df.withColumns({"__row": F.monotonically_increasing_id(), "__place": F.struct(*order)})
+    values = F.flatten(F.array(*[F.transform(many, lambda x, m=many: F.struct(F.lit(m).alias("list"), x.cast("string").alias("value"))) for many in TAKEN]))
+    each = keyed.select(*ids, "__place", "__row", F.explode(values).alias("v")).groupBy(*ids, "v").agg(F.min(F.struct("__place", "__row")).alias("first"))
+    counts = each.groupBy(F.col("first.__row").alias("__row")).agg(*[F.count_if(F.col("v.list") == many).alias(f"__new_{many}") for many in TAKEN])
+    return keyed.join(counts, "__row", "left").withColumns({f"__new_{many}": F.coalesce(f"__new_{many}", F.lit(0)) for many in TAKEN}).drop("__row", "__place")
+
+
 def aggregate_student_terms(course: DataFrame, *, keys: Sequence[str] = ("student_id", "term_id"), min_passing_grade: float = C.MIN_PASSING_GRADE, key_areas: Sequence[str] = (), key_courses: Sequence[str] = ()) -> DataFrame:
     """One grouped aggregate for all features; rows with a null key are dropped."""
     passed = ["institution_id", "academic_year", "academic_term", "term_start_dt", "term_rank", "term_rank_core", "term_rank_noncore", "term_is_core", "term_is_noncore", "term_in_peak_covid", "term_program_of_study"]
@@ -140,11 +165,11 @@ def aggregate_student_terms(course: DataFrame, *, keys: Sequence[str] = ("studen
         *[_total(f"section_num_students_{x}").alias(f"sections_num_students_{x}") for x in ("enrolled", "passed", "completed")],
         *value_aggs(course, [("core_course", "Y"), ("course_type", ["CC", "CD"]), ("course_level", [0, 1]), ("enrolled_at_other_institution_s", "Y"), *key_values]),
         *dummy_aggs(course), *grade_aggs(min_passing_grade),
+        *[F.count_if(f"__new_{many}").alias(f"__new_{many}") for many in TAKEN if f"__new_{many}" in course.columns],
     ]
     grouped = course.where(" and ".join(f"{k} is not null" for k in keys)).groupBy(*keys).agg(*aggs)
     # All values, nulls and repeats too, in a fixed order.
-    lists = {"course_ids": "course_id", "course_subjects": "course_cip", "course_subject_areas": "course_subject_area"}
-    grouped = grouped.withColumns({many: F.array_sort(F.col(f"__taken.{one}")) for many, one in lists.items()}).drop("__taken")
+    grouped = grouped.withColumns({many: F.array_sort(F.col(f"__taken.{one}")) for many, one in TAKEN.items()}).drop("__taken")
     # From the lists: distinct counts among the aggregates would multiply every row before the shuffle.
     distinct = {f"{one}_nunique": F.size(F.array_distinct(F.array_compact(many))).cast("long") for one, many in (("course_id", "course_ids"), ("course_subject", "course_subjects"), ("course_subject_area", "course_subject_areas"))}
     grouped = grouped.withColumns(distinct)
@@ -210,21 +235,27 @@ def running_aggs(df: DataFrame, aggs: dict[str, Sequence[str]], over) -> dict[st
 
 
 def cumulative_features(df: DataFrame, *, ids: Sequence[str] = ("student_id",), order: Sequence | None = None, credits: float = C.CREDIT_CHECK, max_term: int = 4) -> DataFrame:
-    """Expanding aggregates, shares, unique and repeated courses, term differences: all over one partitioning by student."""
+    """Expanding aggregates, shares, unique and repeated courses, term differences: all over one partitioning by student.
+
+    Rows of aggregate_student_terms(mark_first_taken(...)) know their first
+    occurrences; for others they are counted from the lists.
+    """
     order = order or [F.col("academic_year"), C.term_ordinal(F.col("academic_term"))]
+    if f"__new_{next(iter(TAKEN))}" not in df.columns:
+        df = count_first_taken(df, ids, order)
     part, ordered, running = _windows(ids, order)
     counts = [c for c in df.columns if c.startswith("num_courses_")]
     took = [c for c in df.columns if c.startswith("took_")]
     new = {RENAMED.get(k, k): v for k, v in running_aggs(df, RUNNING, running).items()}
     new |= {f"cumfrac_{c}": C.fraction(F.sum(c).over(running), F.sum("num_courses").over(running)) for c in counts}
     new |= {f"cummax_{c}": F.max(c).over(running) for c in took}
-    for c in ("course_ids", "course_subjects", "course_subject_areas"):
-        unique = F.size(F.array_distinct(F.flatten(F.collect_list(F.array_distinct(c)).over(running))))  # a student's own courses
-        new |= {f"cumnum_unique_{c}": unique, f"cumnum_repeated_{c}": (F.sum(F.size(c)).over(running) - unique).cast("int")}
+    for c in TAKEN:  # running sums of first occurrences
+        unique = F.sum(f"__new_{c}").over(running)
+        new |= {f"cumnum_unique_{c}": unique.cast("int"), f"cumnum_repeated_{c}": (F.sum(F.size(c)).over(running) - unique).cast("int")}
     new |= {f"min_student_{c}": F.min(c).over(part) for c in ("term_rank", "term_rank_core", "term_rank_noncore")}
     diffs = [c for c in ("num_courses", "num_credits_earned", "course_grade_numeric_mean", "course_level_mean") if c in df.columns]
     new |= {f"{c}_diff_prev_term": F.col(c) - F.lag(c).over(ordered) for c in diffs}
-    df = df.withColumns(new)
+    df = df.withColumns(new).drop(*[f"__new_{c}" for c in TAKEN])
     after = {f"cumfrac_{kind}terms_enrolled": C.fraction(F.when(F.col(rank).isNotNull(), F.col(f"cumnum_{kind}terms_enrolled")), F.col(rank) - F.col(f"min_student_{rank}") + 1) for kind, rank in (("", "term_rank"), ("core_", "term_rank_core"), ("noncore_", "term_rank_noncore"))}
     after |= {f"{c}_in_{credits:g}_creds": F.max(F.col(f"cummax_{c}") & (F.col("cumsum_num_credits_earned") <= credits)).over(part) for c in took}
     after |= {f"{c}_diff_term_{n - 1}_to_term_{n}": F.max(F.when(F.col("cumnum_terms_enrolled") == n, F.col(f"{c}_diff_prev_term"))).over(part) for c in diffs for n in range(2, max_term + 1)}
@@ -235,7 +266,7 @@ def student_term_dataset(cohort: DataFrame, course: DataFrame, *, min_passing_gr
     students = student_features(standardize_cohort(cohort), first_term)
     rows = course_features(standardize_course(course), min_passing_grade=min_passing_grade, level_pattern=level_pattern)
     rows = join_term_dimension(rows, term_dimension(rows, first_term=first_term, core=core, covid=covid))
-    rows = join_section_features(rows, section_features(rows))
+    rows = mark_first_taken(join_section_features(rows, section_features(rows)))
     terms = aggregate_student_terms(rows, min_passing_grade=min_passing_grade, key_areas=key_areas, key_courses=key_courses)
     joined = student_term_features(join_student_terms(terms, students), full_time=full_time)
     return snake_case_columns(cumulative_features(joined))

@@ -41,32 +41,77 @@ def test_candidates_are_measured(trained):
     assert all(r.roc_auc > 0.7 and r.accuracy > 0.6 for r in got)
 
 
-def test_linear_model_equals_the_pipeline(trained):
-    d, _, models = trained
-    fitted = models["logistic_regression"]
-    ours = modeling.predict(modeling.LinearModel.of(fitted, FEATURES), d, FEATURES).collect()
-    want = {r.student_id: r for r in modeling.predict(fitted, d, FEATURES).collect()}
-    assert len(ours) == len(want) == 600
-    assert all(abs(r.pred_prob - want[r.student_id].pred_prob) < 1e-9 and r.pred == want[r.student_id].pred for r in ours)
+def newton(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept of the same penalised loss, by numpy alone."""
+    mean = np.nanmean(x, axis=0)
+    x = np.where(np.isnan(x), mean, x)
+    scale = x.std(axis=0)
+    z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+    beta, penalty = np.zeros(z.shape[1]), np.array([0.0] + [ridge] * x.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-z @ beta))
+        beta = beta + np.linalg.solve((z.T * (p * (1 - p))) @ z + np.diag(penalty), z.T @ (y - p) - penalty * beta)
+    return beta[1:] / scale, float(beta[0] - (beta[1:] / scale) @ mean)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_logistic_fit_equals_numpy(spark, rows, parts):
+    df = spark.createDataFrame(rows, "student_id string, target boolean, x double, y double").repartition(parts)
+    got = modeling.fit_logistic(df, FEATURES)
+    weights, intercept = newton(np.array([[np.nan if a is None else a, b] for _, _, a, b in rows]), np.array([float(t) for _, t, _, _ in rows]))
+    assert np.allclose([got.weights[c] for c in FEATURES], weights, rtol=0, atol=1e-8) and abs(got.intercept - intercept) < 1e-8
+
+
+def test_logistic_fit_of_separated_and_constant_features(spark):
+    """A feature that separates the classes has a finite weight, a constant or empty one none; rows without a target don't count."""
+    df = spark.createDataFrame([(float(k), k >= 30, 7.0, None) for k in range(60)] + [(1000.0, None, 7.0, None)], "x double, target boolean, same double, none double")
+    got = modeling.fit_logistic(df, ["x", "same", "none"])
+    weights, intercept = newton(np.arange(60.0)[:, None], (np.arange(60) >= 30).astype(float))
+    assert got.weights["x"] == pytest.approx(weights[0], abs=1e-8) and got.weights["same"] == got.weights["none"] == 0
+    assert got.intercept == pytest.approx(intercept, abs=1e-7)
 
 
 def test_attributions_add_up(trained):
     d, _, models = trained
-    m = modeling.LinearModel.of(models["logistic_regression"], FEATURES)
+    m = models["logistic_regression"]
     p = {r.student_id: r.pred_prob for r in modeling.predict(m, d, FEATURES).collect()}
     got = modeling.linear_attributions(m, d).collect()
     base = {round(float(np.log(p[r.student_id] / (1 - p[r.student_id]))) - r.x - r.y, 6) for r in got}
     assert len(base) == 1  # the model's logit at the means
 
 
-def test_permutation_importance(spark, trained):
-    d = trained[0]
-
-    def score(x):
-        return x.agg(F.avg(((F.coalesce("x", F.lit(0.0)) > 0) == F.col("target")).cast("double"))).first()[0]
-
-    got = {r.feature: r.importance for r in modeling.permutation_importance(score, d.select("student_id", "target", *FEATURES), FEATURES, repeats=3).collect()}
-    assert got["y"] == 0 and got["x"] > 0.2
+def area(score: np.ndarray, target: np.ndarray) -> float:
+    pos, neg = score[target], score[~target]
+    return float((pos[:, None] > neg[None]).mean() + 0.5 * (pos[:, None] == neg[None]).mean())
+
+
+def test_permutation_importance_equals_numpy(spark):
+    """The same moves of values, scored by numpy; five repeats of each feature."""
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=700), rng.normal(size=700)
+    t = rng.random(700) < 1 / (1 + np.exp(-2 * x))
+    df = spark.createDataFrame([(bool(c), float(a), float(b)) for a, b, c in zip(x, y, t, strict=True)], "target boolean, x double, y double")
+    model = modeling.LinearModel({"x": 1.5, "y": -0.2}, {"x": 0.0, "y": 0.0}, 0.1)
+    got = {r.feature: r for r in modeling.permutation_importance(model, df, FEATURES).collect()}
+    order = df.orderBy(F.xxhash64("target", *FEATURES, F.lit(0)), "target", *FEATURES).toArrow()
+    base = area(1.5 * x - 0.2 * y, t)
+    drops = {f: [] for f in FEATURES}
+    for variant, block in modeling.permuted(order, 0, FEATURES, 5, 0):
+        s = 1.5 * block["x"].to_numpy() - 0.2 * block["y"].to_numpy()
+        if variant >= 0:
+            drops[FEATURES[variant // 5]].append(base - area(s, block["target"].to_numpy()))
+    for f in FEATURES:
+        assert len(drops[f]) == 5 and got[f].importance == pytest.approx(np.mean(drops[f]), abs=1e-12) and got[f].sd == pytest.approx(np.std(drops[f]), abs=1e-12)
+    assert got["x"].importance > 0.2 > 0.01 > abs(got["y"].importance)
+
+
+def test_permutation_in_blocks(spark):
+    """Blocks of about 50 rows, a third of the rows equal: values stay in their blocks, and all rows are scored."""
+    rows_ = [(k % 2 == 0, float(k % 7), 1.0) for k in range(400)] + [(True, 3.0, 2.0)] * 200
+    df = spark.createDataFrame(rows_, "target boolean, x double, y double")
+    model = modeling.LinearModel({"x": 1.0, "y": 0.0}, {"x": 0.0, "y": 0.0}, 0.0)
+    got = {r.feature: r for r in modeling.permutation_importance(model, df, FEATURES, repeats=2, block_rows=50).collect()}
+    assert got["y"].importance == 0 and set(got) == {"x", "y"}
 
 
 @pytest.mark.parametrize("parts", ["1", "7"])
