@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.operators import bias, evaluation, modeling
 from quadrangle.plans.registry import Views, query
-from quadrangle.sources.catalog import feature_catalog, map_feature_names
+from quadrangle.sources import catalog
 
 # --- modelling tables -----------------------------------------------------------------------
 
@@ -198,10 +198,12 @@ def _(v: Views) -> DataFrame:
     return modeling.rank_features(attributions(v), _X)
 
 
-@query("rank_features_described", f"select feature, round_even(avg(abs(a)),4) as average, upper(substr(feature,1,1))||substr(feature,2) as readable from {_LONG} group by 1")
+@query("rank_features_described", f"select feature, round_even(avg(abs(a)),4) as average, 'component '||substr(feature,2) as readable, 'One component of an embedding' as short_desc, cast(null as varchar) as long_desc from {_LONG} group by 1")
 def _(v: Views) -> DataFrame:
+    """With an institution's own catalog: one key with a group, without a long description."""
+    path = catalog.write_catalog(v.spark, [(0, r"^x(\d+)$", "component {}", "One component of an embedding", None)])
     ranked = modeling.rank_features(attributions(v), _X).drop("shown")
-    return map_feature_names(ranked, feature_catalog(v.spark, _X))
+    return catalog.map_feature_names(ranked, catalog.read_catalog(v.spark, path))
 
 
 _TOP = f"(select *, row_number() over (partition by student_id order by abs(a) desc, k) n from {_LONG})"
@@ -228,11 +230,18 @@ def _(v: Views) -> DataFrame:
     return modeling.grouped_values(d, {"segment": ["s1", "s2"]})
 
 
-@query("map_feature_names", "select feature, case feature when 'num_courses' then 'Num courses' when 'took_course_id_engl_101' then 'Took course engl_101' when 'cumsum_num_credits' then 'Total so far: num_credits' else feature end as readable, n from (select case l_linenumber when 1 then 'num_courses' when 2 then 'took_course_id_engl_101' when 3 then 'cumsum_num_credits' else 'other' end as feature, count(*) as n from lineitem group by 1)")
+_NAMED = """select f as feature, n, case f when 'num_courses' then 'num courses' when 'took_course_id_engl_101' then 'took course engl_101 this term' else f end as readable,
+    case f when 'num_courses' then 'From the data of the institution: num courses' when 'took_course_id_engl_101' then 'Whether a course of it was taken in the term: course id that the name gives' end as short_desc,
+    case f when 'num_courses' then 'From the data of the institution: num courses. As reported, or counted from what was reported.' when 'took_course_id_engl_101' then '1 if the student took at least one in this term, else 0.' end as long_desc
+    from (select case l_linenumber when 1 then 'num_courses' when 2 then 'took_course_id_engl_101' when 3 then 'cumsum_num_credits' else 'other' end as f, count(*) as n from lineitem group by 1)"""
+
+
+@query("map_feature_names", _NAMED)
 def _(v: Views) -> DataFrame:
     line = F.col("l_linenumber")
     d = v.table("lineitem").groupBy(F.when(line == 1, "num_courses").when(line == 2, "took_course_id_engl_101").when(line == 3, "cumsum_num_credits").otherwise("other").alias("feature")).agg(F.count("*").alias("n"))
-    return map_feature_names(d, feature_catalog(v.spark, ["num_courses"])).select("feature", "readable", "n")
+    path = catalog.write_catalog(v.spark, catalog.catalog_rows(["num_courses", "cumsum_num_credits_earned"]))
+    return catalog.map_feature_names(d, catalog.read_catalog(v.spark, path))
 
 
 # --- runs: one row per supplier group -------------------------------------------------------

@@ -10,7 +10,7 @@ from quadrangle.operators.cleaning import null_future_values
 from quadrangle.plans import student_terms
 from quadrangle.plans.oracle import WHOLE
 from quadrangle.plans.registry import Views, query
-from quadrangle.sources import readers, writers
+from quadrangle.sources import catalog, readers, writers
 
 # --- contracts ------------------------------------------------------------------------------
 
@@ -421,13 +421,28 @@ _EVERY = "(select " + ", ".join(f"{text} as {name}" for name, text in WHOLE.item
 _KNOWN = "(select count(*) n_rows, " + ", ".join(f"count({c}) n_{c}" for c in WHOLE) + f" from {_EVERY})"
 
 
-@query("src_feature_names", "select unnest([" + ", ".join(f"{{'feature': '{c}', 'name': '{c.replace('_', ' ').capitalize()}', 'n_known': n_{c}, 'n_rows': n_rows}}" for c in WHOLE) + f"], recursive := true) from {_KNOWN}")
-def _(v: Views) -> DataFrame:
-    """Readable names of all features, and how many rows have them."""
-    from quadrangle.sources.catalog import feature_catalog, feature_coverage
+#: What the catalog's patterns say of the columns of one subject area.
+_AREA_NAMES = {
+    "num_courses_course_subject_area_13": ("number of courses this term: subject area 13", "Its number of courses in the term", "How many courses of it the student took in this term; sections of one course count each."),
+    "frac_courses_course_subject_area_13": ("fraction of courses this term: subject area 13", "Its share of the courses of the term", "Courses of it in this term, divided by all of the student's courses in the term; 1 means all of them."),
+    "cumfrac_num_courses_course_subject_area_13": ("fraction of courses so far: subject area 13", "Its share of the courses up to the term", "Courses of it up to and with this term, divided by all of the student's courses up to then."),
+    "took_course_subject_area_13": ("took subject area 13 this term", "Whether a course of it was taken in the term", "1 if the student took at least one in this term, else 0."),
+    "cummax_took_course_subject_area_13": ("took subject area 13 so far", "Whether a course of it was taken up to the term", "1 from the first term on in which the student took one, 0 before."),
+    "took_course_subject_area_13_in_12_creds": ("took subject area 13 within the first 12 credits", "Whether a course of it was taken within the student's first 12 credits", "1 if the student took one before more than 12 credits were earned, else 0; the same in all terms of a student."),
+}
+
+
+def _said(c: str) -> str:
+    name, short, long = (_AREA_NAMES[c][0], f"{_AREA_NAMES[c][1]}: course subject area that the name gives", _AREA_NAMES[c][2]) if c in _AREA_NAMES else catalog.describe(c)
+    return ", ".join(f"'{k}': '" + v.replace("'", "''") + "'" for k, v in (("feature", c), ("readable", name), ("short_desc", short), ("long_desc", long)))
 
+
+@query("src_feature_names", "select unnest([" + ", ".join(f"{{{_said(c)}, 'n_known': n_{c}, 'n_rows': n_rows}}" for c in WHOLE) + f"], recursive := true) from {_KNOWN}")
+def _(v: Views) -> DataFrame:
+    """Readable names and descriptions of all features, from a catalog in a file, and how many rows have them."""
     d = student_terms.student_term_dataset(v.cohort(), v.course(), key_areas=["13"])
-    return feature_coverage(d, feature_catalog(v.spark, d.columns))
+    path = catalog.write_catalog(v.spark, catalog.catalog_rows(d.columns))
+    return catalog.feature_coverage(d, catalog.read_catalog(v.spark, path))
 
 
 @query("converter_hook", "select student_id, upper(gender) as gender from v_cohort")
