@@ -122,41 +122,109 @@ def merge_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return symbols, keys[order], np.arange(len(keys))[order], made[order]
 
 
-def count_by_merging(path: str, words: list[str]) -> np.ndarray:
-    """Symbols left of each word after all merges.
+#: Longer words are merged in windows of WINDOW bytes, a step of STEP apart; both double for words whose windows don't agree.
+WINDOW, STEP = 96, 64
+
 
-    The words are one ragged array. In each round every word looks up its
-    adjacent pairs, takes its lowest rank, and merges all the non-overlapping
-    places of that pair, from the left, at once with all other words. Words
-    without a mergeable pair leave the array.
+def merged(path: str, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of non-empty byte strings, after all merges: the string of each symbol, in order, and how many bytes it has.
+
+    The strings are one ragged array. In each round every string takes the
+    lowest rank of its adjacent pairs and merges all the non-overlapping places
+    of that pair, from the left, at once with all other strings. Strings without
+    a mergeable pair leave the array. Ranks are looked up again only beside what
+    was merged.
     """
     symbols, keys, ranks, made = merge_table(path)
-    blobs = [w.encode() for w in words]
-    out = np.array([1 if w == SPECIAL else 0 for w in words], np.int64)
-    live = np.flatnonzero(out == 0)
-    data = b"".join(blobs[k] for k in live)
-    sym = symbols[np.frombuffer(data, np.uint8)]
-    owner = np.repeat(live, [len(blobs[k]) for k in live])
     none = len(keys)
-    while len(sym):
-        same = owner[1:] == owner[:-1]
-        key = sym[:-1] << 32 | sym[1:]
+
+    def look_up(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = left << 32 | right
         at = np.minimum(np.searchsorted(keys, key), none - 1)
-        hit = same & (keys[at] == key)
-        rank = np.append(np.where(hit, ranks[at], none), none)
-        starts = np.flatnonzero(np.append(True, ~same))
+        return np.where(keys[at] == key, ranks[at], none), made[at]
+
+    sym = symbols[np.frombuffer(b"".join(blobs), np.uint8)]
+    owner, size = np.repeat(np.arange(len(blobs)), [len(b) for b in blobs]), np.ones(len(sym), np.int64)
+    rank, into = np.full(len(sym), none), np.zeros(len(sym), np.int64)
+    if len(sym) > 1:
+        rank[:-1], into[:-1] = look_up(sym[:-1], sym[1:])
+        rank[:-1][owner[1:] != owner[:-1]] = none
+    out: list[tuple[np.ndarray, np.ndarray]] = [(owner[:0], size[:0])]
+    while len(sym):
+        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         sizes = np.diff(np.append(starts, len(sym)))
         least = np.minimum.reduceat(rank, starts)
         done = least == none
-        out[owner[starts[done]]] = sizes[done]
-        chosen = (rank == np.repeat(least, sizes)) & (rank < none)
+        if done.any():
+            gone = np.repeat(done, sizes)
+            out.append((owner[gone], size[gone]))
+            sym, owner, size, rank, into = (x[~gone] for x in (sym, owner, size, rank, into))
+            sizes, least = sizes[~done], least[~done]
+            if not len(sym):
+                break
+        where = np.flatnonzero((rank == np.repeat(least, sizes)) & (rank < none))
         # Of a streak of overlapping places (a a a) the first, third, ... merge.
-        where = np.flatnonzero(chosen)
-        fresh = np.append(True, np.diff(where) > 1) if len(where) else np.zeros(0, bool)
+        fresh = np.append(True, np.diff(where) > 1)
         first = np.maximum.accumulate(np.where(fresh, np.arange(len(where)), 0))
         where = where[(np.arange(len(where)) - first) % 2 == 0]
-        sym[where] = made[at[where]]
-        stay = np.repeat(~done, sizes)
+        sym[where] = into[where]
+        size[where] += size[where + 1]
+        stay = np.ones(len(sym), bool)
         stay[where + 1] = False
-        sym, owner = sym[stay], owner[stay]
+        new = (np.cumsum(stay) - 1)[where]
+        sym, owner, size, rank, into = (x[stay] for x in (sym, owner, size, rank, into))
+        beside = np.unique(np.concatenate([new, np.maximum(new - 1, 0)]))
+        last = beside == len(sym) - 1
+        following = np.where(last, beside, beside + 1)
+        rank[beside], into[beside] = look_up(sym[beside], sym[following])
+        rank[beside[last | (owner[beside] != owner[following])]] = none
+    owners, lengths = (np.concatenate([o[k] for o in out]) for k in (0, 1))
+    order = np.argsort(owners, kind="stable")
+    return owners[order], lengths[order]
+
+
+def count_long(path: str, word: bytes, window: int = WINDOW, step: int = STEP) -> int:
+    """Symbols of one long string, merged in windows that overlap.
+
+    Merging a string's part gives the symbols of the whole wherever the merges
+    of two neighbours agree on one symbol in their overlap: adjacent symbols that
+    come from one merge can stand side by side in any, and a string of symbols
+    that all can is the result of merging it. So the left window counts up to
+    that symbol and the right one from it on. Where two windows share no symbol,
+    windows of twice the size are tried, at last the whole string.
+    """
+    while True:
+        begins = [0] if len(word) <= window else list(range(0, len(word) - (window - step), step))
+        owner, size = merged(path, [word[b : b + window] for b in begins])
+        if len(begins) == 1:
+            return len(size)
+        ends = np.cumsum(size)
+        firsts = np.searchsorted(owner, np.arange(len(begins)))
+        base = np.array(begins) - np.append(0, ends[firsts[1:] - 1])  # from the joined windows to the word
+        end = ends + base[owner]
+        start = end - size
+        # Whole symbols in the overlap with the window before, and with the one after.
+        head, tail = np.flatnonzero(end <= owner * step + window - step), np.flatnonzero((start >= (owner + 1) * step) & (owner < len(begins) - 1))
+        key = lambda at, pair: (pair * (len(word) + 1) + start[at]) * (window + 1) + size[at]
+        head = head[owner[head] > 0]
+        both, h, t = np.intersect1d(key(head, owner[head] - 1), key(tail, owner[tail]), return_indices=True)
+        pair = both // ((len(word) + 1) * (window + 1))
+        pairs, once = np.unique(pair, return_index=True)
+        if len(pairs) == len(begins) - 1:
+            # Each window but the first counts from the shared symbol on, each but the last up to it.
+            return int(len(size) - (head[h[once]] - firsts[1:]).sum() - (np.append(firsts[1:], len(size))[:-1] - tail[t[once]]).sum())
+        window, step = 2 * window, 2 * step
+
+
+def count_by_merging(path: str, words: list[str]) -> np.ndarray:
+    """Symbols left of each word after all merges; an empty word has none, a special string is one."""
+    blobs = [w.encode() for w in words]
+    out = np.array([1 if w == SPECIAL else 0 for w in words], np.int64)
+    short = [k for k, b in enumerate(blobs) if b and words[k] != SPECIAL and len(b) <= WINDOW]
+    if short:
+        owner, _ = merged(path, [blobs[k] for k in short])
+        out[short] = np.bincount(owner, minlength=len(short))
+    for k, b in enumerate(blobs):
+        if len(b) > WINDOW and words[k] != SPECIAL:
+            out[k] = count_long(path, b)
     return out

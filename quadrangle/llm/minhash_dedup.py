@@ -7,27 +7,30 @@
    minhashes each cost 2 * half * rows minhashes instead of 2 * rows * half * half.
    Two sets of similarity s meet unless one of the collections fails them: with
    probability (1 - (1 - s ** rows) ** half) ** 2 they are in a common bucket.
-3. Buckets of the same classes are one bucket. Their classes are candidates.
-4. Candidates are confirmed on full sets. Each round tests the members of a
-   bucket against one member, its hub, and joins what is linked; a bucket of k
-   near copies costs about k tests, as pairs in one component need none. When a
-   round links nothing, all pairs of a bucket that are in different components
-   and can be similar by size are tested.
-
-At 0.85 a pair is missed with a probability of 3e-6 (half = 14, rows = 3), at
-0.9 with one of 2e-8; a component that other links hold together is not split
-by one of them.
+3. Keys meet in ranges. Each bucket of several classes gives the pairs of its
+   smallest class, the hub, with the others: k - 1 of them, which the buckets
+   of other tables repeat. Classes that meet no other have no link.
+4. Pairs are confirmed on full sets, and what is linked is joined. Pairs of a
+   bucket without its hub, in different components by then, are left to the
+   exact join of ngram_join over the classes that met another: it finds every
+   link among them, and tests no pair inside a component that is known.
+
+At 0.85 a pair fails to meet with a probability of 3e-6 (half = 14, rows = 3),
+at 0.9 with one of 2e-8; it is missed only if one of the two meets no other
+class either.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.llm.common import lean, materialize, partitions
-from quadrangle.llm.components import components
-from quadrangle.llm.ngram_join import PER_RANGE, class_members, join_labels, sender, set_rows, shared_keys
+from quadrangle.llm.ngram_join import PER_RANGE, by_range, class_members, class_roots, named_rows, sender
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Shingles whose minhashes are taken at once.
@@ -58,61 +61,23 @@ def table_keys(grams: np.ndarray, *, half: int, rows: int, seed: int) -> np.ndar
     return np.sort((pairs ^ (pairs >> np.uint64(32))).ravel())
 
 
-def _similar_sizes(x: str, y: str, percent: int) -> Column:
-    return (percent * F.col(f"{x}.n") <= 100 * F.col(f"{y}.n")) & (percent * F.col(f"{y}.n") <= 100 * F.col(f"{x}.n"))
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar."""
-    left = sets.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ga", "gb")))
-    return both.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+def _stars(h: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(a, b) of each bucket's smallest class and its others, once."""
+    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    sizes = np.diff(np.append(starts, len(h)))
+    hubs, others = np.repeat(s[starts], sizes), s
+    real = hubs != others
+    pairs = np.unique(np.stack([hubs[real], others[real]], axis=1), axis=0)
+    for k in range(0, len(pairs), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[k : k + 100_000, c]) for c in (0, 1)], names=["a", "b"])
 
 
-def joined_buckets(entries: DataFrame, sets: DataFrame, percent: int, enough: int = 4) -> DataFrame | None:
-    """(sid, root) of all classes that links hold together; None without links. entries: (h, sid, n), h being the bucket.
-
-    `enough`: all pairs left are tested as soon as they number at most so many times the entries.
-    """
-    labels, tested, merged, step = None, None, True, 0
-    total = entries.count()
-    while total:
-        now = entries.withColumn("comp", F.col("sid")) if labels is None else entries.join(labels, "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
-        sizes = now.groupBy("h", "comp").agg(F.count("*").alias("k"))
-        open_ = sizes.groupBy("h").agg(F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
-        left = open_.agg(F.sum((F.col("size") - F.col("main.k")) * F.col("size"))).first()[0]
-        if not left:
-            break
-        last = step > 0 and (not merged or left <= enough * total)
-        if last:  # whoever is not of a bucket's main component, against all others of the bucket
-            mixed = now.join(open_.select("h", F.col("main.comp").alias("main")), "h")
-            x, y = mixed.where("comp <> main").alias("x"), mixed.alias("y")
-            once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.sid") < F.col("y.sid"))
-        else:
-            rank = F.struct("n", "sid") if step == 0 else F.struct(F.xxhash64("sid", F.lit(step)), "sid")
-            y = now.join(open_.select("h"), "h", "left_semi").groupBy("h").agg(F.min(F.struct(rank.alias("rank"), "sid", "n", "comp")).alias("hub")).select("h", "hub.*").alias("y")
-            x, once = now.alias("x"), F.lit(True)
-        met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.comp") != F.col("y.comp")) & _similar_sizes("x", "y", percent) & once)
-        pairs = met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
-        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = materialize(confirmed(pairs, sets, percent), "minhash-links")
-        merged = not links.isEmpty()
-        if merged:
-            labels = join_labels(labels, links)
-        if last:
-            break
-        step += 1
-    return labels
-
-
-def minhash_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 85, half: int = 14, rows: int = 3, seed: int = 7) -> DataFrame:
+def minhash_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 85, half: int = 14, rows: int = 3, seed: int = 7, fragments: int = 4, enough: int = 4) -> DataFrame:
     """One row per input row: id_col, n_shingles, component_id, kept.
 
     A text's set: its distinct n-word shingles after lower-casing A-Z; with
-    fewer words the whole sequence as one. Rows link when they meet in a bucket
-    and the Jaccard similarity of their full sets is at least percent / 100;
+    fewer words the whole sequence as one. Rows link when each meets another in
+    a bucket and the Jaccard similarity of their full sets is at least percent / 100;
     component_id is the smallest id reachable by links, the row's own included.
     Null and empty texts have no set and no link. Null ids never become a
     component_id unless the component has no other; kept tells whether the row's
@@ -122,27 +87,14 @@ def minhash_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     members, salt = class_members(docs, n)
-    classes = members.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.min("id").alias("first"))
-    ranges = max(partitions(spark), -(-classes.count() * half * half // PER_RANGE))
+    classes = members.where("n > 0").select("sid").distinct().count()
+    ranges = max(partitions(spark), -(-classes * half * half // PER_RANGE))
 
     def keys(grams: np.ndarray) -> np.ndarray:
         return table_keys(grams, half=half, rows=rows, seed=seed)
 
     sent = docs.select("text").mapInArrow(lean(sender(n, ranges, salt, keys)), "range int, sids binary, places binary, steps binary")
-    met = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(shared_keys), "sid long, sig long, df long")
-    buckets = met.select(F.col("sig").alias("h"), "sid").distinct()
-    entries = materialize(buckets.join(classes.select("sid", "n"), "sid"), "buckets")
-
-    # Full sets of the classes that share a bucket; a class is read from one of its texts.
-    texts = docs.select("text").mapInArrow(lean(set_rows(n, salt)), "sid long, text string")
-    texts = texts.join(entries.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("text").alias("text"))
-    sets = materialize(texts.mapInArrow(lean(set_rows(n, salt, grams=True)), "sid long, n long, grams array<long>"), "sets")
-
-    labels = joined_buckets(entries, sets, percent)
-    named = classes.withColumn("root", F.col("sid")) if labels is None else classes.join(labels, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = named.join(smallest, "root").select("sid", "component_id")
-    # A class may have a third of all rows: an equi-join whose large partitions Spark splits.
-    out = members.where("n > 0").join(ids, "sid").select("id", "n", "component_id")
-    out = out.union(members.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    stars = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(by_range(_stars)), "a long, b long")
+    pairs = materialize(stars.distinct(), "stars")
+    out = named_rows(members, class_roots(docs, members, F.min("id"), n, percent, fragments, enough, salt, pairs), id_col)
+    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))

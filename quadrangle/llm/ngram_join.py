@@ -110,34 +110,6 @@ def _measure(n: int, salt: int):
     return measure
 
 
-def set_rows(n: int, salt: int, *, grams: bool = False):
-    """(sid, text) of texts, a class about once a task; or, of texts of one class each, (sid, n, grams)."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sent = _Hashes(), set()
-        for batch in batches:
-            sids, sets, places = [], [], []
-            for k, text in enumerate(_texts(batch)):
-                own = ngram_set(text, n, hashes)
-                if len(own) and (sid := _class_of(own, salt)[0]) not in sent:
-                    sent.add(sid)
-                    sids.append(sid)
-                    places.append(k)
-                    if grams:
-                        sets.append(own.view(np.int64))
-            if len(sent) > REMEMBERED:
-                sent.clear()
-            if grams:
-                sizes = [len(x) for x in sets]
-                flat = pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), lists], names=["sid", "n", "grams"])
-            else:
-                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), batch.column(batch.schema.get_field_index("text")).take(pa.array(places, pa.int64()))], names=["sid", "text"])
-
-    return rows
-
-
 def sender(n: int, ranges: int, salt: int, keys: Callable[[np.ndarray], np.ndarray] = lambda grams: grams):
     """Per batch and range of the hash one row: the sorted hashes, or keys made of a class's, each with its text's place among the batch's classes."""
 
@@ -173,8 +145,15 @@ def sender(n: int, ranges: int, salt: int, keys: Callable[[np.ndarray], np.ndarr
     return send
 
 
-def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of ranges that come one after another: (sid, sig, df) of the n-grams that two classes or more have; sig: a sum of the classes that do."""
+def by_range(emit: Callable[[np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]):
+    """For ranges that come one after another: `emit` gets sorted pairs (key, class), without repeats, a part of a range at a time; equal keys are in one part."""
+
+    def part(hs: list, ss: list) -> Iterator[pa.RecordBatch]:
+        h, s = np.concatenate(hs), np.concatenate(ss)
+        order = np.lexsort((s, h))
+        h, s = h[order], s[order]
+        fresh = np.append(True, (h[1:] != h[:-1]) | (s[1:] != s[:-1]))
+        yield from emit(h[fresh], s[fresh])
 
     def done(hs: list, ss: list) -> Iterator[pa.RecordBatch]:
         """Each pair of arrays is sorted by hash: cutting all at the same hashes keeps equal ones together."""
@@ -185,32 +164,32 @@ def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if any(c[k] < c[k + 1] for c in cuts):
                 yield from part([h[c[k] : c[k + 1]] for h, c in zip(hs, cuts, strict=True)], [s[c[k] : c[k + 1]] for s, c in zip(ss, cuts, strict=True)])
 
-    def part(hs: list, ss: list) -> Iterator[pa.RecordBatch]:
-        h, s = np.concatenate(hs), np.concatenate(ss)
-        order = np.lexsort((s, h))
-        h, s = h[order], s[order]
-        fresh = np.append(True, (h[1:] != h[:-1]) | (s[1:] != s[:-1]))
-        h, s = h[fresh], s[fresh]
-        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        df = np.diff(np.append(starts, len(h)))
-        sig = np.add.reduceat(s.view(np.uint64), starts).view(np.int64)  # classes are numbered by hashes, so sums of different ones differ
-        many = np.repeat(df, df) > 1
-        s, sig, df = s[many], np.repeat(sig, df)[many], np.repeat(df, df)[many]
-        for k in range(0, len(s), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(s[k : k + 100_000]), pa.array(sig[k : k + 100_000]), pa.array(df[k : k + 100_000], pa.int64())], names=["sid", "sig", "df"])
-
-    now, hs, ss = None, [], []
-    for batch in batches:
-        for r, sids, places, steps in zip(*(batch.column(c).to_pylist() for c in ("range", "sids", "places", "steps")), strict=True):
-            if r != now and hs:
-                yield from done(hs, ss)
-                hs, ss = [], []
-            now = r
-            hs.append(np.cumsum(np.ascontiguousarray(np.frombuffer(steps, np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64))
-            where = np.ascontiguousarray(np.frombuffer(places, np.uint8).reshape(2, -1).T).view("<u2").ravel()
-            ss.append(np.frombuffer(sids, np.int64)[where])
-    if hs:
-        yield from done(hs, ss)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, hs, ss = None, [], []
+        for batch in batches:
+            for r, sids, places, steps in zip(*(batch.column(c).to_pylist() for c in ("range", "sids", "places", "steps")), strict=True):
+                if r != now and hs:
+                    yield from done(hs, ss)
+                    hs, ss = [], []
+                now = r
+                hs.append(np.cumsum(np.ascontiguousarray(np.frombuffer(steps, np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64))
+                where = np.ascontiguousarray(np.frombuffer(places, np.uint8).reshape(2, -1).T).view("<u2").ravel()
+                ss.append(np.frombuffer(sids, np.int64)[where])
+        if hs:
+            yield from done(hs, ss)
+
+    return run
+
+
+def _signed(h: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(sid, sig, df) of the n-grams that two classes or more have; sig: a sum of the classes that do."""
+    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    df = np.diff(np.append(starts, len(h)))
+    sig = np.add.reduceat(s.view(np.uint64), starts).view(np.int64)  # classes are numbered by hashes, so sums of different ones differ
+    many = np.repeat(df, df) > 1
+    s, sig, df = s[many], np.repeat(sig, df)[many], np.repeat(df, df)[many]
+    for k in range(0, len(s), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(s[k : k + 100_000]), pa.array(sig[k : k + 100_000]), pa.array(df[k : k + 100_000], pa.int64())], names=["sid", "sig", "df"])
 
 
 def _order(t: Column) -> Column:
@@ -291,6 +270,16 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return ends.select(F.col("lo.s").alias("a"), F.col("hi.s").alias("b"), F.col("lo.n").alias("na"), F.col("hi.n").alias("nb")).dropDuplicates(["a", "b"])
 
 
+def named_rows(members: DataFrame, owned: DataFrame, id_col: str) -> DataFrame:
+    """(id_col, n_shingles, component_id) of every member: the smallest id of its class's component, its own without a set."""
+    smallest = owned.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = owned.join(smallest, "root").select("sid", "component_id")
+    # A class may have a third of all rows: an equi-join whose large partitions Spark splits.
+    out = members.where("n > 0").join(named, "sid").select("id", "n", "component_id")
+    out = out.union(members.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
 def join_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """(sid, root) after links (a, b) join what the labels of before tell apart."""
     if labels is not None:
@@ -314,13 +303,7 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     members, salt = class_members(docs, n)
-    owned = _roots(docs, members, F.min("id"), n, percent, fragments, enough, salt)
-    smallest = owned.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = owned.join(smallest, "root").select("sid", "component_id")
-    # A class may have a third of all rows: an equi-join whose large partitions Spark splits.
-    out = members.where("n > 0").join(named, "sid").select("id", "n", "component_id")
-    out = out.union(members.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    return named_rows(members, class_roots(docs, members, F.min("id"), n, percent, fragments, enough, salt), id_col)
 
 
 def class_members(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
@@ -335,15 +318,24 @@ def class_members(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
         salt += 1
 
 
-def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent: int, fragments: int, enough: int, salt: int) -> DataFrame:
-    """(sid, n, first, root) of each class of docs (id, text): `first` is that aggregate of its members (id, n, sid), root names its component."""
+def class_roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent: int, fragments: int, enough: int, salt: int, pairs: DataFrame | None = None) -> DataFrame:
+    """(sid, n, first, root) of each class of docs (id, text): `first` is that aggregate of its members (id, n, sid), root names its component.
+
+    pairs (a, b), if given: only classes in them can have a link; they are tested first, and then what they leave apart.
+    """
     spark, p = docs.sparkSession, partitions(docs.sparkSession)
-    classes = members.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), first.alias("first"))
+    every = classes = members.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), first.alias("first"))
+    if pairs is not None:
+        # A class is read from the texts of one of its ids (null where it has no other).
+        wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+        of = members.where("n > 0").join(wanted, "sid", "left_semi").groupBy("sid").agg(F.max("n").alias("n"), F.min("id").alias("of"))
+        classes = materialize(of, "candidates")
+        docs = docs.join(classes.select("of").distinct(), F.col("id").eqNullSafe(F.col("of")), "left_semi")
 
     grams = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(p, -(-grams // PER_RANGE))
     sent = docs.select("text").mapInArrow(lean(sender(n, ranges, salt)), "range int, sids binary, places binary, steps binary")
-    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(shared_keys), "sid long, sig long, df long")
+    shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(by_range(_signed)), "sid long, sig long, df long")
     tokens = shared.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("grams"))  # at most one document's
     tokens = tokens.select("sid", F.size("grams").alias("shared"), _weighed("grams").alias("tokens"))
     # The unshared n-grams come first in the global order.
@@ -355,7 +347,7 @@ def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent:
     heads = sets.where(F.col("before") <= slack).select("sid", "n", "before", F.explode(prefix).alias("t"))
     # lost: n-grams that come before and aren't shared; got: n-grams of the list's symbols, the last of which is at `at`.
     entries = materialize(heads.select(F.col("t.sig").alias("h"), "sid", "n", (F.col("before") + F.col("t.at")).alias("lost"), F.col("t.w").alias("got"), F.col("t.at").alias("at")), "entries")
-    total, join, labels = entries.count(), _Join(sets, percent, fragments), None
+    join, labels = _Join(sets, percent, fragments), None
 
     def merge(candidates: DataFrame) -> bool:
         """Tests candidates, and joins the components that they link: whether there are any."""
@@ -372,6 +364,11 @@ def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent:
         x, y = mixed.where("comp <> main").alias("x"), mixed.alias("y")
         return x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.comp") != F.col("y.comp")) & _fits("x", "y", percent) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.sid") < F.col("y.sid"))))
 
+    if pairs is not None:
+        known = sets.select("sid", "n", F.col("before").alias("lost"))
+        ends = pairs.join(known.alias("x"), F.col("a") == F.col("x.sid")).join(known.alias("y"), F.col("b") == F.col("y.sid"))
+        merge(ends.where(_fits("x", "y", percent)))
+    total = entries.count()
     step, depth, was, merged, whole = 0, 0, 0, True, False
     while total:
         now = entries.withColumn("comp", F.col("sid")) if labels is None else entries.join(labels, "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
@@ -406,7 +403,7 @@ def _roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent:
         entries = materialize(split.select(F.xxhash64("h", "t.sig").alias("h"), "sid", "n", (F.col("before") + F.col("t.at") - F.col("got")).alias("lost"), (F.col("got") + F.col("t.w")).alias("got"), F.col("t.at").alias("at")), "entries")
         step, depth, merged = 0, depth + 1, True
 
-    return classes.withColumn("root", F.col("sid")) if labels is None else classes.join(labels, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    return every.withColumn("root", F.col("sid")) if labels is None else every.join(labels, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
 
 def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, fragments: int = 4, enough: int = 4) -> DataFrame:
@@ -419,6 +416,6 @@ def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str
     rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "near-rows")  # written, so that the keys stay
     docs = rows.select(F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     members, salt = class_members(docs, n)
-    owned = _roots(docs.select("id", "text"), members, F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "sid", "row")), n, percent, fragments, enough, salt)
+    owned = class_roots(docs.select("id", "text"), members, F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "sid", "row")), n, percent, fragments, enough, salt)
     kept = owned.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
     return rows.join(kept.union(members.where("n = 0").select("row")), "__row", "left_semi").drop("__row")

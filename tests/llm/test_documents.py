@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -308,3 +309,35 @@ def test_passes_are_permutations(spark):
     assert len({k[1] for k in ids}) > 1
     again = [i for i in ids["small", 0] if i in set(ids["small", 1])]
     assert ids["small", 0] != sorted(ids["small", 0]) and ids["small", 1] != again
+
+
+def test_long_words_are_merged_in_windows(library):
+    """Random letters, repeats, common endings and other scripts, from just above a window on; windows so small that they seldom agree."""
+    rng = random.Random(9)
+    path, words = bpe.vocabulary_path(), ["x" * 50_000, "ab" * 20_000, "é" * 700, "中文" * 400, "0123456789" * 900]
+    for _ in range(150):
+        letters = rng.choice(["ab", "aeiou", "etaoinshrdlu", "lmnopqrstuvw", "aaab"])
+        words.append("".join(rng.choice(letters) if rng.random() < 0.6 else rng.choice(["the", "ing", "tion", "er", "un"]) for _ in range(rng.randint(60, 500))))
+    want = [len(e.ids) for e in library.encode_batch(words, add_special_tokens=False)]
+    assert bpe.count_by_merging(path, words).tolist() == want
+    assert [bpe.count_long(path, w.encode(), 8, 6) for w in words[2:60]] == want[2:60]
+
+
+def test_a_million_letters_take_seconds(library):
+    rng = random.Random(10)
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    began = time.time()
+    n = bpe.count_by_merging(bpe.vocabulary_path(), [word])[0]
+    assert time.time() - began < 15  # about 1.3 s on an idle core
+    assert n == len(library.encode(word, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("run", [98, 99, 100, 150, 9_999])
+def test_ids_of_runs_of_space(library, run):
+    """Runs on both sides of the length from which texts are cut by their own pattern; with and without special strings."""
+    text = ("a" + " " * run + "b\n" + "\t" * run) * max(3, 300_000 // run // 4) + "<|endoftext|> end"
+    encoding = bpe.encoding_of_ranks(bpe.vocabulary_path("byte_bpe_50k.tiktoken"), (bpe.SPECIAL, 50256))
+    began = time.time()
+    got = bpe.ids_of(encoding, text, bpe.SPECIAL).tolist()
+    assert time.time() - began < 5
+    assert got == library.encode(text, add_special_tokens=False).ids

@@ -4,9 +4,8 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from quadrangle.llm.minhash_dedup import joined_buckets, minhash_components, minhashes, table_keys
+from quadrangle.llm.minhash_dedup import _stars, minhash_components, minhashes, table_keys
 from quadrangle.llm.ngram_join import _Hashes, ngram_set
 from tests.llm.helpers import SCHEMA, components, documents, frame, ordered
 
@@ -79,10 +78,17 @@ def test_pairs_meet_in_a_table():
     assert near == 200 and far < 60
 
 
-def test_hubs_need_few_tests(spark):
-    """A bucket of 300 sets that are all linked with the smallest is joined by one round of tests."""
-    sets = [(k, 100 + k % 5, [*range(100), *range(1000 * (k + 1), 1000 * (k + 1) + k % 5)]) for k in range(300)]
-    frame_ = spark.createDataFrame(sets, "sid long, n long, grams array<long>")
-    entries = frame_.select(F.lit(1).cast("long").alias("h"), "sid", "n").union(frame_.select(F.lit(2).cast("long").alias("h"), "sid", "n"))
-    labels = joined_buckets(entries, frame_, 85).collect()
-    assert {r.root for r in labels} == {0} and len(labels) == 300
+def test_stars_of_buckets():
+    """Each bucket's smallest class with its others, a pair once; buckets of one class give none."""
+    h, s = np.array([1, 1, 1, 2, 3, 3, 4, 4], np.uint64), np.array([5, 7, 9, 5, 5, 9, -3, 7])
+    (batch,) = list(_stars(h, s))
+    assert sorted(zip(*(c.to_pylist() for c in batch.columns), strict=True)) == [(-3, 7), (5, 7), (5, 9)]
+    assert list(_stars(h[3:4], s[3:4])) == []
+
+
+def test_links_without_a_hub(spark):
+    """A chain of texts, each similar to the next ones only, and copies of it under other words: pairs that no hub is in."""
+    rows = [(k, " ".join(f"c{j}" for j in range(6 * k, 6 * k + 120))) for k in range(40)]
+    rows += [(500 + k, t.replace("c", "d")) for k, t in rows[::3]] + [(None, rows[3][1]), (2, "other text under an id that repeats")]
+    got = minhash_components(frame(spark, rows)).collect()
+    assert ordered(map(tuple, got)) == brute_force(rows)
