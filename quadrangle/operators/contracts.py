@@ -37,21 +37,17 @@ _YEARS, _MONEY, _GPA, _CREDITS = {"in_range": (0, 8)}, {"ge": 0}, {"in_range": (
 _TERMS, _YN, _PLACED = {"isin": ("FALL", "WINTER", "SPRING", "SUMMER")}, {"isin": ("Y", "N")}, {"isin": ("C", "N")}
 
 
-def _some(values: str) -> dict:
-    return {"isin": tuple(values.split())}
-
-
 #: The raw cohort contract, column by column in the order of the file.
 COHORT: dict[str, Field] = {
     "student_id": Field("string", nullable=False),
     "institution_id": Field("string", nullable=False),
     "cohort": Field("string", nullable=False),
     "cohort_term": Field("string", nullable=False, checks=_TERMS),
-    "enrollment_type": Field("string", nullable=False, checks=_some("FIRST-TIME RE-ADMIT TRANSFER-IN")),
-    "enrollment_intensity_first_term": Field("string", checks=_some("FULL-TIME PART-TIME")),
+    "enrollment_type": Field("string", nullable=False, checks={"isin": ("FIRST-TIME", "RE-ADMIT", "TRANSFER-IN")}),
+    "enrollment_intensity_first_term": Field("string", checks={"isin": ("FULL-TIME", "PART-TIME")}),
     "math_placement": Field("string", checks=_PLACED),
     "english_placement": Field("string", checks=_PLACED),
-    "dual_and_summer_enrollment": Field("string", checks=_some("DE SE DS")),
+    "dual_and_summer_enrollment": Field("string", checks={"isin": ("DE", "SE", "DS")}),
     "student_age": Field("string"),
     "race": Field("string"),
     "ethnicity": Field("string"),
@@ -71,18 +67,18 @@ COHORT: dict[str, Field] = {
     "number_of_credits_earned_year_3": Field("float", checks=_MONEY),
     "number_of_credits_attempted_year_4": Field("float", checks=_MONEY),
     "number_of_credits_earned_year_4": Field("float", checks=_MONEY),
-    "gateway_math_status": Field("string", checks=_some("R N")),
-    "gateway_english_status": Field("string", checks=_some("R N")),
+    "gateway_math_status": Field("string", checks={"isin": ("R", "N")}),
+    "gateway_english_status": Field("string", checks={"isin": ("R", "N")}),
     "attempted_gateway_math_year_1": Field("string", checks=_YN),
     "attempted_gateway_english_year_1": Field("string", checks=_YN),
-    "completed_gateway_math_year_1": Field("string", checks=_some("C D NA")),
-    "completed_gateway_english_year_1": Field("string", checks=_some("C D NA")),
+    "completed_gateway_math_year_1": Field("string", checks={"isin": ("C", "D", "NA")}),
+    "completed_gateway_english_year_1": Field("string", checks={"isin": ("C", "D", "NA")}),
     "gateway_math_grade_y_1": Field("string"),
     "gateway_english_grade_y_1": Field("string"),
-    "attempted_dev_math_y_1": Field("string", checks=_some("Y N NA")),
-    "attempted_dev_english_y_1": Field("string", checks=_some("Y N NA")),
-    "completed_dev_math_y_1": Field("string", checks=_some("Y N NA")),
-    "completed_dev_english_y_1": Field("string", checks=_some("Y N NA")),
+    "attempted_dev_math_y_1": Field("string", checks={"isin": ("Y", "N", "NA")}),
+    "attempted_dev_english_y_1": Field("string", checks={"isin": ("Y", "N", "NA")}),
+    "completed_dev_math_y_1": Field("string", checks={"isin": ("Y", "N", "NA")}),
+    "completed_dev_english_y_1": Field("string", checks={"isin": ("Y", "N", "NA")}),
     "retention": Field("boolean", nullable=False),
     "persistence": Field("boolean", nullable=False),
     "years_to_bachelors_at_cohort_inst": Field("short", checks=_YEARS),
@@ -94,10 +90,10 @@ COHORT: dict[str, Field] = {
     "time_to_credential": Field("float"),
     "reading_placement": Field("string", required=False, checks=_PLACED),
     "special_program": Field("string", required=False),
-    "naspa_first_generation": Field("string", required=False, checks=_some("-1 0 1 2 3 4 5 6")),
-    "incarcerated_status": Field("string", required=False, checks=_some("Y P N")),
-    "military_status": Field("string", required=False, checks=_some("0 1 2")),
-    "employment_status": Field("string", required=False, checks=_some("-1 0 1 2 3 4")),
+    "naspa_first_generation": Field("string", required=False, checks={"isin": ("-1", "0", "1", "2", "3", "4", "5", "6")}),
+    "incarcerated_status": Field("string", required=False, checks={"isin": ("Y", "P", "N")}),
+    "military_status": Field("string", required=False, checks={"isin": ("0", "1", "2")}),
+    "employment_status": Field("string", required=False, checks={"isin": ("-1", "0", "1", "2", "3", "4")}),
     "disability_status": Field("string", required=False, checks=_YN),
     "foreign_language_completion": Field("string", required=False),
     "first_year_to_bachelors_at_cohort_inst": Field("short", checks=_YEARS),
@@ -146,22 +142,22 @@ COURSE: dict[str, Field] = {
     "section_id": Field("string"),
     "course_name": Field("string"),
     "course_cip": Field("string"),
-    "course_type": Field("string", checks=_some("CU CG CC CD EL AB GE NC O")),
-    "math_or_english_gateway": Field("string", checks=_some("E M NA")),
+    "course_type": Field("string", checks={"isin": ("CU", "CG", "CC", "CD", "EL", "AB", "GE", "NC", "O")}),
+    "math_or_english_gateway": Field("string", checks={"isin": ("E", "M", "NA")}),
     "co_requisite_course": Field("string", checks=_YN),
     "course_begin_date": Field("timestamp"),
     "course_end_date": Field("timestamp"),
     "grade": Field("string"),
     "number_of_credits_attempted": Field("float", checks=_CREDITS),
     "number_of_credits_earned": Field("float", checks=_CREDITS),
-    "delivery_method": Field("string", checks=_some("F O H")),
+    "delivery_method": Field("string", checks={"isin": ("F", "O", "H")}),
     "core_course": Field("string", checks=_YN),
     "core_course_type": Field("string"),
     "core_competency_completed": Field("string", checks=_YN),
     "enrolled_at_other_institution_s": Field("string", checks=_YN),
     "credential_engine_identifier": Field("string", required=False),
-    "course_instructor_employment_status": Field("string", required=False, checks=_some("PT FT")),
-    "course_instructor_rank": Field("string", required=False, checks=_some("1 2 3 4 5 6 7")),
+    "course_instructor_employment_status": Field("string", required=False, checks={"isin": ("PT", "FT")}),
+    "course_instructor_rank": Field("string", required=False, checks={"isin": ("1", "2", "3", "4", "5", "6", "7")}),
     "enrollment_record_at_other_institution_s_state_s": Field("string"),
     "enrollment_record_at_other_institution_s_carnegie_s": Field("string"),
     "enrollment_record_at_other_institution_s_locale_s": Field("string"),
@@ -169,10 +165,15 @@ COURSE: dict[str, Field] = {
 }
 COURSE_KEY = ("student_id", "academic_year", "academic_term", "course_prefix", "course_number", "section_id")
 #: Courses of a term that are counted, and those of optional columns.
-COUNTED = """passed completed enrolled_at_other_institution_s_y course_type_cc_cd course_type_cu course_type_cg course_type_cc course_type_cd course_type_el course_type_ab course_type_ge course_type_nc course_type_o
-    delivery_method_f delivery_method_o delivery_method_h math_or_english_gateway_m math_or_english_gateway_e math_or_english_gateway_na co_requisite_course_y co_requisite_course_n
-    course_instructor_employment_status_pt course_instructor_employment_status_ft course_instructor_rank_1 course_instructor_rank_2 course_instructor_rank_3 course_instructor_rank_4 course_instructor_rank_5
-    course_instructor_rank_6 course_instructor_rank_7 course_level_1 course_grade_a grade_is_failing_or_withdrawal grade_above_section_avg""".split()
+COUNTED = [
+    "passed", "completed", "enrolled_at_other_institution_s_y", "course_type_cc_cd", "course_type_cu", "course_type_cg", "course_type_cc",
+    "course_type_cd", "course_type_el", "course_type_ab", "course_type_ge", "course_type_nc", "course_type_o", "delivery_method_f",
+    "delivery_method_o", "delivery_method_h", "math_or_english_gateway_m", "math_or_english_gateway_e", "math_or_english_gateway_na",
+    "co_requisite_course_y", "co_requisite_course_n", "course_instructor_employment_status_pt", "course_instructor_employment_status_ft",
+    "course_instructor_rank_1", "course_instructor_rank_2", "course_instructor_rank_3", "course_instructor_rank_4", "course_instructor_rank_5",
+    "course_instructor_rank_6", "course_instructor_rank_7", "course_level_1", "course_grade_a", "grade_is_failing_or_withdrawal",
+    "grade_above_section_avg",
+]
 COUNTED_OPTIONAL = ["core_course_y", "core_course_n"]
 #: The contract of student-terms. Columns of the cohort table keep its rules, but for the nulls named here.
 STUDENT_TERM: dict[str, Field] = {
@@ -205,12 +206,12 @@ STUDENT_TERM: dict[str, Field] = {
     **{f"num_courses_{c}": Field("short", nullable=False, required=False) for c in COUNTED_OPTIONAL},
     "cohort": Field("string", nullable=False),
     "cohort_term": Field("string", nullable=False, checks=_TERMS),
-    "enrollment_type": Field("string", checks=_some("FIRST-TIME RE-ADMIT TRANSFER-IN")),
-    "enrollment_intensity_first_term": Field("string", checks=_some("FULL-TIME PART-TIME")),
+    "enrollment_type": Field("string", checks={"isin": ("FIRST-TIME", "RE-ADMIT", "TRANSFER-IN")}),
+    "enrollment_intensity_first_term": Field("string", checks={"isin": ("FULL-TIME", "PART-TIME")}),
     "math_placement": Field("string", checks=_PLACED),
     "english_placement": Field("string", checks=_PLACED),
     "reading_placement": Field("string", checks=_PLACED),
-    "dual_and_summer_enrollment": Field("string", checks=_some("DE SE DS")),
+    "dual_and_summer_enrollment": Field("string", checks={"isin": ("DE", "SE", "DS")}),
     "student_age": Field("string", nullable=False),
     "race": Field("string", nullable=False),
     "ethnicity": Field("string", nullable=False),
@@ -233,7 +234,13 @@ STUDENT_TERM: dict[str, Field] = {
     "year_of_enrollment_at_cohort_inst": Field("short", nullable=False),
     "term_is_while_student_enrolled_at_other_inst": Field("boolean", nullable=False),
     "frac_credits_earned": Field("float"),
-    "student_term_enrollment_intensity": Field("string", nullable=False, checks=_some("FULL-TIME PART-TIME")),
+    "num_courses_diff_prev_term": Field("short"),
+    "num_credits_earned_diff_prev_term": Field("float"),
+    "course_grade_numeric_mean_diff_prev_term": Field("float"),
+    "num_courses_diff_term_1_to_term_2": Field("short"),
+    "num_credits_earned_diff_term_1_to_term_2": Field("float"),
+    "course_grade_numeric_mean_diff_term_1_to_term_2": Field("float"),
+    "student_term_enrollment_intensity": Field("string", nullable=False, checks={"isin": ("FULL-TIME", "PART-TIME")}),
     **{f"frac_courses_{c}": Field("float", nullable=False, checks={"in_range": (0, 1)}) for c in COUNTED},
     **{f"frac_courses_{c}": Field("float", nullable=False, required=False, checks={"in_range": (0, 1)}) for c in COUNTED_OPTIONAL},
 }

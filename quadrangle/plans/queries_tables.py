@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.operators import contracts, eda, evaluation, selection, targets
 from quadrangle.operators.cleaning import null_future_values
-from quadrangle.plans import student_terms
+from quadrangle.plans import contract_sql, student_terms
 from quadrangle.plans.oracle import WHOLE
 from quadrangle.plans.registry import Views, query
 from quadrangle.sources import catalog, readers, writers
@@ -19,53 +19,41 @@ def _check(check: str, column: str, failed: str, view: str, severity: str = "err
     return f"select '{check}' as \"check\", '{column}' as \"column\", '{severity}' as severity, count(*) filter (where {failed}) as n_failed from {view}"
 
 
-def _checks(contract: dict[str, contracts.Field], columns: str, view: str) -> str:
-    """What a contract's checks say about a view with these columns, in SQL; all columns are of the declared kinds."""
-    have, out = columns.split(), []
-
-    def literal(values) -> str:
-        return "(" + ",".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + ")"
-
-    for name, f in contract.items():
-        if name not in have:
-            if f.required:
-                out.append(_check("missing", name, "true", view))
-            continue
-        out.append(_check("kind", name, "false", view))
-        if not f.nullable:
-            out.append(_check("not_null", name, f"{name} is null", view))
-        for check, args in f.checks.items():
-            failed = {"isin": lambda a, c=name: f"{c} not in {literal(a)}", "ge": lambda a, c=name: f"{c}<{a}", "in_range": lambda a, c=name: f"{c} not between {a[0]} and {a[1]}"}[check](args)
-            out.append(_check(check, name, failed, view, f.severity))
-    return " union all ".join(out)
+_UNIQUE = "select 'unique', '{key}', 'error', cast(coalesce(sum(n),0) as bigint) from (select count(*) n from {view} group by {key} having count(*)>1)"
+_KEY = "student_id,academic_year,academic_term,course_prefix,course_number,section_id"
 
 
-_UNIQUE = "select 'unique', '{key}', 'error', cast(coalesce(sum(n),0) as bigint) from (select count(*) n from {view} group by {key} having count(*)>1)"
-_COHORT_COLUMNS = "student_id institution_id cohort cohort_term enrollment_type enrollment_intensity_first_term gender race program_of_study_term_1 program_of_study_year_1 gpa_group_term_1 gpa_group_year_1 pell_status_first_year retention first_year_to_bachelors_at_cohort_inst"
-_COURSE_COLUMNS = "student_id institution_id academic_year academic_term course_prefix course_number section_id course_cip grade number_of_credits_attempted number_of_credits_earned delivery_method core_course"
+def _soiled(v: Views, rules: str, source: DataFrame) -> DataFrame:
+    """Rows of a table with values that break every rule here and there."""
+    return v.spark.sql(contract_sql.soiled(rules, "{rows}"), rows=source)
 
 
-@query("contract_raw_cohort", _checks(contracts.COHORT, _COHORT_COLUMNS, "v_cohort") + " union all " + _UNIQUE.format(key="student_id", view="v_cohort"))
-def _(v: Views) -> DataFrame:
-    return contracts.violations(v.cohort(), contracts.COHORT, unique=["student_id"])
+def _soiled_sql(rules: str, source: str, more: str = "") -> str:
+    return f"with rows as materialized ({contract_sql.soiled(rules, source)}) {contract_sql.counted(rules, 'rows')}{more}"
 
 
-_KEY = "student_id,academic_year,academic_term,course_prefix,course_number,section_id"
+_TWICE = " union all " + _UNIQUE
+_CREDITS = " union all " + _check("credits", "number_of_credits_earned", "try_cast(number_of_credits_attempted as float)<try_cast(number_of_credits_earned as float)", "rows")
 
 
-@query("contract_raw_course", " union all ".join([_checks(contracts.COURSE, _COURSE_COLUMNS, "v_course"), _check("credits", "number_of_credits_earned", "number_of_credits_attempted<number_of_credits_earned", "v_course"), _UNIQUE.format(key=_KEY, view="v_course")]))
+@query("contract_raw_cohort", _soiled_sql(contract_sql.COHORT, "(select c_custkey k from customer)", _TWICE.format(key="student_id", view="rows")))
 def _(v: Views) -> DataFrame:
-    return contracts.violations(v.course(), contracts.COURSE, unique=contracts.COURSE_KEY, extra=[("credits", "number_of_credits_earned", "error", contracts.more_earned_than_attempted())])
+    rows = _soiled(v, contract_sql.COHORT, v.table("customer").select(F.col("c_custkey").alias("k")))
+    return contracts.violations(rows, contracts.COHORT, unique=["student_id"])
 
 
-_TERM_NAMES = {"student_program_of_study_area_term_1": "area_term_1", "student_program_of_study_area_year_1": "area_year_1", "diff_gpa_term_1_to_year_1": "diff_gpa", "student_program_of_study_area_changed_term_1_to_year_1": "area_term_1<>area_year_1"}
-_TERM_COLUMNS = " ".join(c for c in contracts.STUDENT_TERM if c in WHOLE)
-_TERM_VIEW = "(select " + ", ".join(f"{_TERM_NAMES.get(c, c)} as {c}" for c in _TERM_COLUMNS.split()) + " from stj)"
+@query("contract_raw_course", _soiled_sql(contract_sql.COURSE, "(select l_orderkey*8+l_linenumber k from lineitem)", _CREDITS + _TWICE.format(key=_KEY, view="rows")))
+def _(v: Views) -> DataFrame:
+    rows = _soiled(v, contract_sql.COURSE, v.table("lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k")))
+    earned = contracts.more_earned_than_attempted("earned", "attempted")
+    casts = {"earned": F.col("number_of_credits_earned").try_cast("float"), "attempted": F.col("number_of_credits_attempted").try_cast("float")}
+    return contracts.violations(rows.withColumns(casts), contracts.COURSE, unique=contracts.COURSE_KEY, extra=[("credits", "number_of_credits_earned", "error", earned)])
 
 
-@query("contract_student_term", _checks(contracts.STUDENT_TERM, _TERM_COLUMNS, _TERM_VIEW))
+@query("contract_student_term", _soiled_sql(contract_sql.STUDENT_TERM, "(select o_orderkey k from orders)"))
 def _(v: Views) -> DataFrame:
-    return contracts.violations(v.stj(), contracts.STUDENT_TERM)
+    rows = _soiled(v, contract_sql.STUDENT_TERM, v.table("orders").select(F.col("o_orderkey").alias("k")))
+    return contracts.violations(rows, contracts.STUDENT_TERM)
 
 
 @query("contract_labeled", " union all ".join([_check("kind", "student_id", "false", "v_pred"), _check("not_null", "student_id", "student_id is null", "v_pred"), _check("kind", "target", "false", "v_pred"), _check("not_null", "target", "target is null", "v_pred"), _check("kind", "split", "false", "v_pred"), _check("isin", "split", "split not in ('train','test','validate')", "v_pred")]))
@@ -392,9 +380,10 @@ def _(v: Views) -> DataFrame:
     return writers.write_table(v.table("nation"), writers.scratch_name("nation"))
 
 
-@query("sink_verify", _checks(contracts.COHORT, _COHORT_COLUMNS, "v_cohort"))
+@query("sink_verify", _soiled_sql(contract_sql.COHORT, "(select c_custkey k from customer)"))
 def _(v: Views) -> DataFrame:
-    return writers.verify_table(writers.write_table(v.cohort(), writers.scratch_name("cohort")), contracts.COHORT)
+    rows = _soiled(v, contract_sql.COHORT, v.table("customer").select(F.col("c_custkey").alias("k")))
+    return writers.verify_table(writers.write_table(rows, writers.scratch_name("cohort")), contracts.COHORT)
 
 
 @query("sink_single_csv", "select cast(n_nationkey as varchar) as n_nationkey, n_name, cast(n_regionkey as varchar) as n_regionkey from nation")
