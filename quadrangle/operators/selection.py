@@ -100,3 +100,10 @@ def update_from(df: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     cols = [c for c in new.columns if c not in keys and c in df.columns]
     j = df.join(new.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in cols]), list(keys), "left")
     return j.withColumns({c: F.coalesce(F.col(f"__new_{c}"), F.col(c)) for c in cols}).select(*df.columns)
+
+
+def pivot_terms(df: DataFrame, values: Sequence[str], numbers: Sequence[int], *, ids: Sequence[str] = ("student_id",), number_col: str = "cumnum_terms_enrolled") -> DataFrame:
+    """One row for each of ids: {value}_term_{n} of the row with that number, null where there is none. Of repeated numbers the smallest values are taken."""
+    first = [F.min(F.struct(*values)).alias("v")]
+    wide = df.groupBy(*ids).pivot(number_col, list(numbers)).agg(*first)
+    return wide.select(*ids, *[F.col(f"`{n}`")[v].alias(f"{v}_term_{n}") for v in values for n in numbers])

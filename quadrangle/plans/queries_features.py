@@ -276,8 +276,13 @@ def _(v: Views) -> DataFrame:
 
 
 _SECTION = "select term_id, course_id, section_id, section_num_students_enrolled, section_num_students_passed, section_num_students_completed, r(section_course_grade_numeric_mean) as section_course_grade_numeric_mean from sec"
-for _name in ("agg_section", "agg_section_parts"):
-    query(_name, _SECTION)(lambda v: S.section_features(v.ct()))
+query("agg_section", _SECTION)(lambda v: S.section_features(v.ct()))
+
+
+@query("agg_section_parts", "select course_id, academic_year, count(student_id) as num_students_enrolled, count(*) filter (where course_passed) as num_students_passed, count(*) filter (where course_completed) as num_students_completed, r(avg(cast(course_grade_numeric as double))) as course_grade_numeric_mean from ct group by 1, 2")
+def _(v: Views) -> DataFrame:
+    """The parts by themselves, for all sections of a course in a year."""
+    return v.ct().groupBy("course_id", "academic_year").agg(*[x.alias(name) for name, x in S.section_parts().items()])
 
 
 @query("agg_mode", "select student_id, delivery_method as value from (select student_id, delivery_method, row_number() over (partition by student_id order by count(*) desc, delivery_method) rn from v_course group by 1,2) where rn=1")
@@ -345,8 +350,14 @@ def _(v: Views) -> DataFrame:
 
 
 _DIFFS = "select student_id, term_id, num_courses_diff_prev_term as prev, " + ", ".join(f"max(case when cumnum_terms_enrolled={n} then num_courses_diff_prev_term end) over (partition by student_id) as d{n}" for n in (2, 3, 4)) + " from cum"
-for _name in ("term_diffs", "pivot_terms"):
-    query(_name, _DIFFS)(lambda v: v.cum().select("student_id", "term_id", F.col("num_courses_diff_prev_term").alias("prev"), *[F.col(f"num_courses_diff_term_{n - 1}_to_term_{n}").alias(f"d{n}") for n in (2, 3, 4)]))
+query("term_diffs", _DIFFS)(lambda v: v.cum().select("student_id", "term_id", F.col("num_courses_diff_prev_term").alias("prev"), *[F.col(f"num_courses_diff_term_{n - 1}_to_term_{n}").alias(f"d{n}") for n in (2, 3, 4)]))
+
+
+@query("pivot_terms", "select student_id, " + ", ".join(f"{f'r({e})' if c == 'num_credits_earned' else e} as {c}_term_{n}" for c in ("num_courses", "num_credits_earned") for n in (1, 2, 3, 4) for e in [f"max(case when cumnum_terms_enrolled={n} then {c} end)"]) + " from cum group by 1")
+def _(v: Views) -> DataFrame:
+    """Courses and credits of a student's first four terms, side by side."""
+    return selection.pivot_terms(v.cum(), ["num_courses", "num_credits_earned"], [1, 2, 3, 4])
+
 
 _CUM = "select student_id, term_id, cumnum_terms_enrolled, cumnum_core_terms_enrolled, cumsum_term_is_pre_cohort, cumsum_num_courses, r(cumfrac_num_courses_passed) as cumfrac_num_courses_passed, min_student_term_rank, num_courses_diff_prev_term from cum"
 query("cumulative_features", _CUM)(lambda v: v.cum().select("student_id", "term_id", "cumnum_terms_enrolled", "cumnum_core_terms_enrolled", "cumsum_term_is_pre_cohort", "cumsum_num_courses", "cumfrac_num_courses_passed", "min_student_term_rank", "num_courses_diff_prev_term"))

@@ -84,14 +84,17 @@ def join_term_dimension(course: DataFrame, terms: DataFrame) -> DataFrame:
     return course.join(F.broadcast(terms), ["academic_year", "academic_term"])
 
 
+def section_parts() -> dict[str, Column]:
+    """The aggregates of a section, to be taken by any keys: students enrolled, passed, completed, and their mean grade."""
+    return {
+        "num_students_enrolled": F.count("student_id"), "num_students_passed": F.count_if("course_passed"), "num_students_completed": F.count_if("course_completed"),
+        "course_grade_numeric_mean": F.avg(F.col("course_grade_numeric").cast("double")),
+    }
+
+
 def section_features(course: DataFrame, keys: Sequence[str] = ("term_id", "course_id", "section_id")) -> DataFrame:
     rows = course.where(" and ".join(f"{k} is not null" for k in keys))
-    return rows.groupBy(*keys).agg(
-        F.count("student_id").alias("section_num_students_enrolled"),
-        F.count_if("course_passed").alias("section_num_students_passed"),
-        F.count_if("course_completed").alias("section_num_students_completed"),
-        F.avg(F.col("course_grade_numeric").cast("double")).alias("section_course_grade_numeric_mean"),
-    )
+    return rows.groupBy(*keys).agg(*[x.alias(f"section_{name}") for name, x in section_parts().items()])
 
 
 def join_section_features(course: DataFrame, sections: DataFrame, keys: Sequence[str] = ("term_id", "course_id", "section_id")) -> DataFrame:
