@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 from pathlib import Path
 
@@ -56,6 +57,20 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+@contextmanager
+def short_plans(spark: SparkSession) -> Iterator[None]:
+    """While jobs run in rounds: the driver keeps the text of each job's plan, which is cut to some lines."""
+    ours = {"spark.sql.maxPlanStringLength": "2000", "spark.sql.ui.explainMode": "simple"}
+    before = {k: spark.conf.get(k) for k in ours}
+    for k, v in ours.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder; the session sends Arrow batches of some megabytes instead of 64."""
     ship(spark)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrangle.llm.common import lean, materialize, partitions
+from quadrangle.llm.common import lean, materialize, partitions, short_plans
 from quadrangle.llm.components import components
 
 #: Words whose hashes a worker remembers, and classes it remembers to have sent.
@@ -319,6 +319,12 @@ def class_members(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
 
 
 def class_roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent: int, fragments: int, enough: int, salt: int, pairs: DataFrame | None = None) -> DataFrame:
+    """See _class_roots(); its rounds leave short descriptions of their plans with the driver."""
+    with short_plans(docs.sparkSession):
+        return _class_roots(docs, members, first, n, percent, fragments, enough, salt, pairs)
+
+
+def _class_roots(docs: DataFrame, members: DataFrame, first: Column, n: int, percent: int, fragments: int, enough: int, salt: int, pairs: DataFrame | None) -> DataFrame:
     """(sid, n, first, root) of each class of docs (id, text): `first` is that aggregate of its members (id, n, sid), root names its component.
 
     pairs (a, b), if given: only classes in them can have a link; they are tested first, and then what they leave apart.
@@ -330,7 +336,8 @@ def class_roots(docs: DataFrame, members: DataFrame, first: Column, n: int, perc
         wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
         of = members.where("n > 0").join(wanted, "sid", "left_semi").groupBy("sid").agg(F.max("n").alias("n"), F.min("id").alias("of"))
         classes = materialize(of, "candidates")
-        docs = docs.join(classes.select("of").distinct(), F.col("id").eqNullSafe(F.col("of")), "left_semi")
+        # Texts are shuffled whatever the number of candidates: the same plan at every size.
+        docs = docs.join(classes.select("of").distinct().hint("merge"), F.col("id").eqNullSafe(F.col("of")), "left_semi")
 
     grams = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(p, -(-grams // PER_RANGE))
@@ -372,13 +379,17 @@ def class_roots(docs: DataFrame, members: DataFrame, first: Column, n: int, perc
     step, depth, was, merged, whole = 0, 0, 0, True, False
     while total:
         now = entries.withColumn("comp", F.col("sid")) if labels is None else entries.join(labels, "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
+        if pairs is not None:  # most entries are in one component by now: written once a round, and fewer with each
+            now = materialize(now, "now")
         sizes = now.groupBy("h", "comp").agg(F.count("*").alias("k"))
         lists = sizes.groupBy("h").agg(F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
         others = F.col("size") - F.col("main.k")
         left = lists.agg(F.sum(others * F.col("size"))).first()[0]
         if not left:
             break
-        if step and (left <= enough * total or whole and not merged):
+        if pairs is not None:
+            entries = now.drop("comp").join(lists.select("h"), "h", "left_semi")  # lists of one component stay so
+        if (step or pairs is not None) and (left <= enough * total or whole and not merged):
             merge(across(now, lists))
             break
         if not step or whole or merged and (step < ROUNDS or left < ENDED * was):
