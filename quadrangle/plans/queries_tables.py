@@ -268,6 +268,7 @@ def _(v: Views) -> DataFrame:
 
 # --- labels ---------------------------------------------------------------------------------
 
+_INTENSITY = "student_term_enrollment_intensity"
 LIMITS = {"FULL-TIME": (2.0, "year"), "*": (3.0, "year")}
 _CKPT = "select * from (select *, row_number() over (partition by student_id order by term_rank) rn from cum) where rn=1"
 _ALLOWED = "case when {c}='FULL-TIME' then 8 else 12 end"
@@ -277,13 +278,13 @@ _BY_YEAR = "select student_id from cum group by 1 having min(cast(substr(cohort_
 
 @query("labelable_by_term", _BY_TERM)
 def _(v: Views) -> DataFrame:
-    d = v.cum()
+    d = v.written_cum("student_id", "term_rank", _INTENSITY)
     return targets.labelable_by_term(d, selection.first_terms(d), LIMITS)
 
 
 @query("labelable_by_year", _BY_YEAR)
 def _(v: Views) -> DataFrame:
-    return targets.labelable_by_year(v.cum())
+    return targets.labelable_by_year(v.written_cum("student_id", "term_id", "cohort_id"))
 
 
 _YEARS = "first_year_to_bachelors_at_cohort_inst"
@@ -293,7 +294,7 @@ _YEARS = "first_year_to_bachelors_at_cohort_inst"
     left join (select student_id, i from (select student_id, student_term_enrollment_intensity i, row_number() over (partition by student_id order by count(*) desc, student_term_enrollment_intensity) rn from cum where {_YEARS} is null or year_of_enrollment_at_cohort_inst<={_YEARS} group by 1, 2) where rn=1) m on y.student_id=m.student_id
     where y.student_id in ({_BY_TERM})""")
 def _(v: Views) -> DataFrame:
-    d = v.cum()
+    d = v.written_cum("student_id", "term_rank", _INTENSITY, "year_of_enrollment_at_cohort_inst", _YEARS)
     return targets.target_graduation(d, selection.first_terms(d), LIMITS, years_col=_YEARS)
 
 
@@ -302,7 +303,7 @@ _JOINED = f"select k.student_id, k.student_term_enrollment_intensity intensity_c
 
 @query("join_checkpoint_target", _JOINED)
 def _(v: Views) -> DataFrame:
-    d = v.cum()
+    d = v.written_cum("student_id", "term_rank", _INTENSITY, "cumsum_num_credits_earned")
     return targets.join_checkpoint_target(selection.first_terms(d), selection.first_terms_at_credits(d, 30))
 
 
@@ -311,13 +312,13 @@ _CREDITS = f"select student_id, rank_tgt is null or rank_tgt-rank_ckpt>{_ALLOWED
 
 @query("target_credits", _CREDITS)
 def _(v: Views) -> DataFrame:
-    d = v.cum()
+    d = v.written_cum("student_id", "term_rank", _INTENSITY, "cumsum_num_credits_earned")
     return targets.target_credits(d, selection.first_terms(d), LIMITS, min_credits=30)
 
 
 @query("target_retention", f"select student_id, not any_value(retention) as target from cum where retention is not null and student_id in ({_BY_YEAR}) group by 1")
 def _(v: Views) -> DataFrame:
-    return targets.target_retention(v.cum())
+    return targets.target_retention(v.written_cum("student_id", "term_id", "cohort_id", "retention"))
 
 
 #: What labels and masks are made of.

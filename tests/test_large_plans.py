@@ -49,3 +49,8 @@ def test_rounded_as_round_does(spark):
     df = rounded(df.select("x", "want", F.col("x").alias("got"))).select(F.col("want").cast("string").alias("w"), F.col("got").cast("string").alias("g"), "want")
     # `want` is rounded twice, which changes nothing.
     assert df.where("not (w <=> g)").count() == 0
+
+
+@pytest.mark.parametrize("name", ["target_graduation", "labelable_by_term", "labelable_by_year", "target_credits", "target_retention", "join_checkpoint_target"])
+def test_what_was_written_once_is_read(spark, name):
+    assert "lineitem.parquet" not in plan(QUERIES[name](spark, FOLDER))
