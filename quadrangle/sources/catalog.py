@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quadrangle.sources.writers import scratch_dir
+from quadrangle.sources.writers import scratch_dir, scratch_parquet
 
 SCHEMA = "at int, feature string, name string, short_desc string, long_desc string"
 
@@ -114,4 +114,5 @@ def feature_coverage(df: DataFrame, catalog: DataFrame) -> DataFrame:
     n = df.agg(F.count("*").alias("__all"), *[F.count(F.col(f"`{c}`")).alias(f"__{k}") for k, c in enumerate(df.columns)])
     rows = [F.struct(F.lit(c.lower()).alias("feature"), F.col(f"__{k}").alias("n_known"), F.col("__all").alias("n_rows")) for k, c in enumerate(df.columns)]
     counts = n.select(F.explode(F.array(*rows)).alias("r")).select("r.*")  # a row for each column
+    counts = df.sparkSession.read.parquet(scratch_parquet(counts))  # names are looked up in several steps, each of which would count again
     return map_feature_names(counts, catalog).select("feature", "readable", "short_desc", "long_desc", "n_known", "n_rows")

@@ -51,6 +51,6 @@ def test_rounded_as_round_does(spark):
     assert df.where("not (w <=> g)").count() == 0
 
 
-@pytest.mark.parametrize("name", ["target_graduation", "labelable_by_term", "labelable_by_year", "target_credits", "target_retention", "join_checkpoint_target"])
+@pytest.mark.parametrize("name", ["src_feature_names", "target_graduation", "labelable_by_term", "labelable_by_year", "target_credits", "target_retention", "join_checkpoint_target"])
 def test_what_was_written_once_is_read(spark, name):
     assert "lineitem.parquet" not in plan(QUERIES[name](spark, FOLDER))
