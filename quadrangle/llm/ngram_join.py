@@ -351,11 +351,16 @@ def _class_roots(docs: DataFrame, members: DataFrame, first: Column, n: int, per
 
     slack = F.col("n") - F.ceil(F.col("n") * percent / 100)  # so many of its n-grams a class may lack
     prefix = F.filter("tokens", lambda t: F.col("before") + t["at"] <= slack)
-    heads = sets.where(F.col("before") <= slack).select("sid", "n", "before", F.explode(prefix).alias("t"))
-    # lost: n-grams that come before and aren't shared; got: n-grams of the list's symbols, the last of which is at `at`.
-    entries = materialize(heads.select(F.col("t.sig").alias("h"), "sid", "n", (F.col("before") + F.col("t.at")).alias("lost"), F.col("t.w").alias("got"), F.col("t.at").alias("at")), "entries")
     join, labels = _Join(sets, percent, fragments), None
 
+    def listed() -> DataFrame:
+        """The entries of the first lists, with the components known: classes meet these before each becomes several entries."""
+        heads = sets.where(F.col("before") <= slack)
+        heads = heads.withColumn("root", F.lit(None).cast("long")) if labels is None else heads.join(labels, "sid", "left")
+        heads = heads.select("sid", "n", "before", F.coalesce("root", "sid").alias("comp"), F.explode(prefix).alias("t"))
+        # lost: n-grams that come before and aren't shared; got: n-grams of the list's symbols, the last of which is at `at`.
+        return materialize(heads.select(F.col("t.sig").alias("h"), "sid", "n", (F.col("before") + F.col("t.at")).alias("lost"), F.col("t.w").alias("got"), F.col("t.at").alias("at"), "comp"), "entries")
+
     def merge(candidates: DataFrame) -> bool:
         """Tests candidates, and joins the components that they link: whether there are any."""
         nonlocal labels
@@ -375,12 +380,14 @@ def _class_roots(docs: DataFrame, members: DataFrame, first: Column, n: int, per
         known = sets.select("sid", "n", F.col("before").alias("lost"))
         ends = pairs.join(known.alias("x"), F.col("a") == F.col("x.sid")).join(known.alias("y"), F.col("b") == F.col("y.sid"))
         merge(ends.where(_fits("x", "y", percent)))
-    total = entries.count()
+    fresh = listed()
+    entries, total = fresh.drop("comp"), fresh.count()
     step, depth, was, merged, whole = 0, 0, 0, True, False
     while total:
-        now = entries.withColumn("comp", F.col("sid")) if labels is None else entries.join(labels, "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
-        if pairs is not None:  # most entries are in one component by now: written once a round, and fewer with each
+        now = fresh if fresh is not None else entries.withColumn("comp", F.col("sid")) if labels is None else entries.join(labels, "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
+        if pairs is not None and fresh is None:  # most entries are in one component by now: written once a round, and fewer with each
             now = materialize(now, "now")
+        fresh = None
         sizes = now.groupBy("h", "comp").agg(F.count("*").alias("k"))
         lists = sizes.groupBy("h").agg(F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
         others = F.col("size") - F.col("main.k")

@@ -92,3 +92,19 @@ def test_links_without_a_hub(spark):
     rows += [(500 + k, t.replace("c", "d")) for k, t in rows[::3]] + [(None, rows[3][1]), (2, "other text under an id that repeats")]
     got = minhash_components(frame(spark, rows)).collect()
     assert ordered(map(tuple, got)) == brute_force(rows)
+
+
+def test_components_join_classes_and_not_entries(spark, monkeypatch):
+    """When the first lists are made, labels meet one row a class; they met every entry of every class."""
+    from quadrangle.llm import ngram_join
+
+    written, materialize = {}, ngram_join.materialize
+
+    def seen(df, name):
+        written.setdefault(name, []).append(df.columns)
+        return materialize(df, name)
+
+    monkeypatch.setattr(ngram_join, "materialize", seen)
+    rows = edited_copies(5, 10, 5, 3)
+    assert ordered(map(tuple, minhash_components(frame(spark, rows)).collect())) == brute_force(rows)
+    assert "comp" in written["entries"][0] and list(written).index("labels") < list(written).index("entries")
