@@ -7,7 +7,9 @@
    minhashes each cost 2 * half * rows minhashes instead of 2 * rows * half * half.
    Two sets of similarity s meet unless one of the collections fails them: with
    probability (1 - (1 - s ** rows) ** half) ** 2 they are in a common bucket.
-3. Keys meet in ranges. Each bucket of several classes gives the pairs of its
+   The keys of the collections are written when classes are found, so each text
+   is cut into words and shingles once for both.
+3. Keys of tables meet in ranges. Each bucket of several classes gives the pairs of its
    smallest class, the hub, with the others: k - 1 of them, which the buckets
    of other tables repeat. Classes that meet no other have no link.
 4. Pairs are confirmed on full sets, and what is linked is joined. Pairs of a
@@ -23,6 +25,7 @@ class either.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.llm.common import lean, materialize, partitions
-from quadrangle.llm.ngram_join import PER_RANGE, by_range, class_members, class_roots, named_rows, sender
+from quadrangle.llm.ngram_join import PER_RANGE, RANGED, SLICE, by_range, class_members, class_roots, named_rows, range_bounds, ranged
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-#: Shingles whose minhashes are taken at once.
-_CHUNK = 2048
+#: Shingles whose minhashes are taken at once: their products stay in a core's cache.
+_CHUNK = 512
 
 
+@cache
 def _constants(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     return rng.integers(0, 1 << 64, n, np.uint64) | np.uint64(1), rng.integers(0, 1 << 64, n, np.uint64)
@@ -46,19 +50,47 @@ def minhashes(grams: np.ndarray, n: int, seed: int) -> np.ndarray:
     times, plus = _constants(n, seed)
     least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(grams), _CHUNK):
-        np.minimum(least, (grams[k : k + _CHUNK, None] * times + plus).min(axis=0), out=least)
+        values = np.multiply.outer(times, grams[k : k + _CHUNK])
+        values += plus[:, None]
+        np.minimum(least, values.min(axis=1), out=least)
     return least
 
 
-def table_keys(grams: np.ndarray, *, half: int, rows: int, seed: int) -> np.ndarray:
-    """Sorted keys of the half * half tables for one set."""
+def half_keys(grams: np.ndarray, *, half: int, rows: int, seed: int) -> np.ndarray:
+    """The 2 * half keys of one set, those of the first collection before those of the second."""
     least = minhashes(grams, 2 * half * rows, seed).reshape(2 * half, rows)
     key = np.arange(1, 2 * half + 1, dtype=np.uint64) * _MIX  # each key of a collection has a place of its own
     for k in range(rows):
         key = (key ^ least[:, k]) * _MIX
         key ^= key >> np.uint64(29)
-    pairs = (key[:half, None] + (key[None, half:] << np.uint64(1))) * _MIX
-    return np.sort((pairs ^ (pairs >> np.uint64(32))).ravel())
+    return key
+
+
+def _paired(keys: np.ndarray) -> np.ndarray:
+    """Of half_keys(), a row for each set, the keys of the half * half tables."""
+    half = keys.shape[1] // 2
+    pairs = (keys[:, :half, None] + (keys[:, None, half:] << np.uint64(1))) * _MIX
+    return (pairs ^ (pairs >> np.uint64(32))).reshape(len(keys), half * half)
+
+
+def table_keys(grams: np.ndarray, *, half: int, rows: int, seed: int) -> np.ndarray:
+    """Sorted keys of the half * half tables for one set."""
+    return np.sort(_paired(half_keys(grams, half=half, rows=rows, seed=seed)[None])[0])
+
+
+def _tables(ranges: int):
+    """The keys of all tables for each batch's classes (sid, keys), by ranges."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = range_bounds(ranges)
+        for whole in batches:
+            for at in range(0, len(whole), SLICE):
+                sids, keys = (c.to_pylist() for c in whole.slice(at, SLICE).columns)
+                tables = _paired(np.frombuffer(b"".join(keys), np.uint64).reshape(len(keys), -1))
+                place = np.repeat(np.arange(len(sids), dtype=np.uint16), tables.shape[1])
+                yield ranged(tables.ravel(), place, np.array(sids, np.int64), bounds)
+
+    return send
 
 
 def _stars(h: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -86,15 +118,15 @@ def minhash_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    members, salt = class_members(docs, n)
-    classes = members.where("n > 0").select("sid").distinct().count()
-    ranges = max(partitions(spark), -(-classes * half * half // PER_RANGE))
 
     def keys(grams: np.ndarray) -> np.ndarray:
-        return table_keys(grams, half=half, rows=rows, seed=seed)
+        return half_keys(grams, half=half, rows=rows, seed=seed)
 
-    sent = docs.select("text").mapInArrow(lean(sender(n, ranges, salt, keys)), "range int, sids binary, places binary, steps binary")
+    members, salt = class_members(docs, n, keys)
+    classes = members.where("n > 0").select("sid").distinct().count()
+    ranges = max(partitions(spark), -(-classes * half * half // PER_RANGE))
+    sent = members.where("keys is not null").select("sid", "keys").mapInArrow(lean(_tables(ranges)), RANGED)
     stars = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(by_range(_stars)), "a long, b long")
     pairs = materialize(stars.distinct(), "stars")
-    out = named_rows(members, class_roots(docs, members, F.min("id"), n, percent, fragments, enough, salt, pairs), id_col)
+    out = named_rows(members.drop("keys"), class_roots(docs, members.drop("keys"), F.min("id"), n, percent, fragments, enough, salt, pairs), id_col)
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from quadrangle.llm.common import lean, materialize, partitions, short_plans
 from quadrangle.llm.components import components
 
-#: Words whose hashes a worker remembers, and classes it remembers to have sent.
+#: Classes that a worker remembers to have sent.
 REMEMBERED = 100_000
 #: Splits of a list at most, and how many times the entries of the first lists their splits may have. Beyond, rounds of hubs go on until one links nothing, and all pairs left are tested.
 DEEPEST, GROWTH = 12, 4
@@ -55,30 +55,37 @@ PARTS = 4
 _ODD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
+class _Hashes:
+    """Of words, 64 bits each. None is remembered: to find a word takes longer than to hash it again."""
+
+    def __init__(self):
         import xxhash
 
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < REMEMBERED:
-            self[word] = h
-        return h
+        self.digest = xxhash.xxh3_64_digest
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.digest, words)), ">u8").astype(np.uint64)
 
 
-def ngram_set(text: bytes | None, n: int, hashes: dict) -> np.ndarray:
+def ngram_set(text: bytes | None, n: int, hashes: Callable[[list[bytes]], np.ndarray]) -> np.ndarray:
     """Sorted distinct hashes of the n-grams of a text in UTF-8, A-Z lower-cased; shorter texts are one n-gram."""
     words = (text or b"").lower().split()  # on bytes: A-Z only; space and \t \n \v \f \r only
     if not words:
         return np.zeros(0, np.uint64)
-    w = np.array([hashes[x] for x in words], np.uint64)
+    w = hashes(words)
     m = min(n, len(w))
     h = np.full(len(w) - m + 1, m, np.uint64)
     for k in range(m):
-        h = (h + w[k : len(w) - m + 1 + k]) * _ODD
+        h += w[k : len(w) - m + 1 + k]
+        h *= _ODD
         h ^= h >> np.uint64(29)
-    h = (h ^ (h >> np.uint64(30))) * _MIX1
-    h = (h ^ (h >> np.uint64(27))) * _MIX2
-    return np.unique(h ^ (h >> np.uint64(31)))
+    h ^= h >> np.uint64(30)
+    h *= _MIX1
+    h ^= h >> np.uint64(27)
+    h *= _MIX2
+    h ^= h >> np.uint64(31)
+    h.sort()
+    return h[np.append(True, h[1:] != h[:-1])]
 
 
 def _class_of(grams: np.ndarray, salt: int) -> tuple[int, int]:
@@ -93,29 +100,61 @@ def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
 
 
-def _measure(n: int, salt: int):
+def _measure(n: int, salt: int, keys: Callable[[np.ndarray], np.ndarray] | None = None):
+    """keys: an array made of a class's n-grams, whose bytes are written with its first text (others, and texts without a set, have null)."""
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes, met = _Hashes(), set()
         for batch in batches:
-            sizes, sids, twins = [], [], []
+            sizes, sids, twins, made = [], [], [], []
             for text in _texts(batch):
                 grams = ngram_set(text, n, hashes)
                 sid, twin = _class_of(grams, salt)
                 sizes.append(len(grams))
                 sids.append(sid)
                 twins.append(twin)
+                if keys:
+                    fresh = len(grams) and sid not in met
+                    made.append(keys(grams).tobytes() if fresh else None)
+                    met.add(sid)
+            if len(met) > REMEMBERED:
+                met.clear()
             own = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *(pa.array(x, pa.int64()) for x in (sizes, sids, twins))], names=[*own, "n", "sid", "twin"])
+            columns, names = [*(batch.column(c) for c in own), *(pa.array(x, pa.int64()) for x in (sizes, sids, twins))], [*own, "n", "sid", "twin"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.binary())] if keys else columns, names=[*names, "keys"] if keys else names)
 
     return measure
 
 
-def sender(n: int, ranges: int, salt: int, keys: Callable[[np.ndarray], np.ndarray] = lambda grams: grams):
-    """Per batch and range of the hash one row: the sorted hashes, or keys made of a class's, each with its text's place among the batch's classes."""
+def range_bounds(ranges: int) -> np.ndarray:
+    """Where ranges of 64-bit hashes end."""
+    return (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
+
+
+def ranged(h: np.ndarray, place: np.ndarray, sids: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+    """Per range of the hash one row: sorted hashes, each with its place among sids, which are SLICE at most."""
+    order = np.argsort(h, kind="stable")
+    h, place = h[order], place[order]
+    cuts = [0, *np.searchsorted(h, bounds), len(h)]
+    rows = []
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if a < b:
+            own, where = np.unique(place[a:b], return_inverse=True)
+            steps = np.diff(h[a:b], prepend=np.uint64(0))
+            # Byte by byte: the high bytes of steps are zeros, which shuffles compress.
+            rows.append((k, sids[own].tobytes(), where.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), steps.view(np.uint8).reshape(-1, 8).T.tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["range", "sids", "places", "steps"])
+
+
+#: What ranged() gives, and by_range() takes.
+RANGED = "range int, sids binary, places binary, steps binary"
+
+
+def _sender(n: int, ranges: int, salt: int):
+    """The n-grams of each batch's classes, by ranges."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sent = _Hashes(), set()
-        bounds = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
+        hashes, sent, bounds = _Hashes(), set(), range_bounds(ranges)
         for whole in batches:
             for at in range(0, len(whole), SLICE):
                 sids, sets = [], []
@@ -124,23 +163,12 @@ def sender(n: int, ranges: int, salt: int, keys: Callable[[np.ndarray], np.ndarr
                     if len(grams) and (sid := _class_of(grams, salt)[0]) not in sent:
                         sent.add(sid)
                         sids.append(sid)
-                        sets.append(keys(grams))
+                        sets.append(grams)
                 if len(sent) > REMEMBERED:
                     sent.clear()
-                if not sets:
-                    continue
-                h, place = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
-                order = np.argsort(h, kind="stable")
-                h, place, ids = h[order], place[order], np.array(sids, np.int64)
-                cuts = [0, *np.searchsorted(h, bounds), len(h)]
-                rows = []
-                for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if a < b:
-                        own, where = np.unique(place[a:b], return_inverse=True)
-                        steps = np.diff(h[a:b], prepend=np.uint64(0))
-                        # Byte by byte: the high bytes of steps are zeros, which shuffles compress.
-                        rows.append((k, ids[own].tobytes(), where.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), steps.view(np.uint8).reshape(-1, 8).T.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["range", "sids", "places", "steps"])
+                if sets:
+                    place = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for x in sets])
+                    yield ranged(np.concatenate(sets), place, np.array(sids, np.int64), bounds)
 
     return send
 
@@ -306,12 +334,12 @@ def ngram_components(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return named_rows(members, class_roots(docs, members, F.min("id"), n, percent, fragments, enough, salt), id_col)
 
 
-def class_members(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
-    """docs without text, with n (size of the set) and sid (number of the class); and the salt of these numbers."""
+def class_members(docs: DataFrame, n: int, keys: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[DataFrame, int]:
+    """docs without text, with n (size of the set), sid (number of the class) and, if wanted, keys (see _measure()); and the salt of these numbers."""
     salt = 0
     while True:
-        kinds = ", ".join(f"{c} long" for c in docs.columns if c != "text")
-        members = materialize(docs.mapInArrow(lean(_measure(n, salt)), f"{kinds}, n long, sid long, twin long"), "members")
+        kinds = ", ".join(f"{c} long" for c in docs.columns if c != "text") + ", n long, sid long, twin long" + (", keys binary" if keys else "")
+        members = materialize(docs.mapInArrow(lean(_measure(n, salt, keys)), kinds), "members")
         clash = members.groupBy("sid").agg(F.min("twin").alias("a"), F.max("twin").alias("b")).where("a <> b")
         if clash.isEmpty():  # else two different sets have one number; about one corpus in 1e9 of 1e5 classes
             return members.drop("twin"), salt
@@ -341,7 +369,7 @@ def _class_roots(docs: DataFrame, members: DataFrame, first: Column, n: int, per
 
     grams = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(p, -(-grams // PER_RANGE))
-    sent = docs.select("text").mapInArrow(lean(sender(n, ranges, salt)), "range int, sids binary, places binary, steps binary")
+    sent = docs.select("text").mapInArrow(lean(_sender(n, ranges, salt)), RANGED)
     shared = sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(lean(by_range(_signed)), "sid long, sig long, df long")
     tokens = shared.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("grams"))  # at most one document's
     tokens = tokens.select("sid", F.size("grams").alias("shared"), _weighed("grams").alias("tokens"))

@@ -3,10 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from quadrangle.llm.minhash_dedup import _stars, minhash_components, minhashes, table_keys
-from quadrangle.llm.ngram_join import _Hashes, ngram_set
+from quadrangle.llm import minhash_dedup, ngram_join
+from quadrangle.llm.minhash_dedup import _stars, _tables, half_keys, minhash_components, minhashes, table_keys
+from quadrangle.llm.ngram_join import _Hashes, _measure, by_range, ngram_set
 from tests.llm.helpers import SCHEMA, components, documents, frame, ordered
 
 
@@ -108,3 +110,62 @@ def test_components_join_classes_and_not_entries(spark, monkeypatch):
     rows = edited_copies(5, 10, 5, 3)
     assert ordered(map(tuple, minhash_components(frame(spark, rows)).collect())) == brute_force(rows)
     assert "comp" in written["entries"][0] and list(written).index("labels") < list(written).index("entries")
+
+
+def test_keys_are_made_once_a_class():
+    """A class's first text has the keys of the two collections; copies in the same task and texts without a set have none."""
+    texts = ["one two three four", None, "ONE  two three four", "", "five", "one two three four five"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(6)), "text": texts})
+    (out,) = _measure(3, 0, lambda grams: half_keys(grams, half=14, rows=3, seed=7))(iter([batch]))
+    keys, sids = (out.column(out.schema.get_field_index(c)).to_pylist() for c in ("keys", "sid"))
+    assert [k is not None for k in keys] == [True, False, False, False, True, True]
+    first = [0, 4, 5]
+    sent = _tables(3)(iter([pa.RecordBatch.from_pydict({"sid": [sids[k] for k in first], "keys": [keys[k] for k in first]})]))
+    got: list[tuple[int, int]] = []
+
+    def emit(h, s):
+        got.extend(zip(h.tolist(), s.tolist(), strict=True))
+        return iter(())
+
+    list(by_range(emit)(sent))
+    hashes = _Hashes()
+    wanted = [(h, sids[k]) for k in first for h in table_keys(ngram_set(texts[k].encode(), 3, hashes), half=14, rows=3, seed=7).tolist()]
+    assert sorted(got) == sorted(wanted)
+
+
+def test_tables_are_made_of_written_keys(spark, monkeypatch):
+    """Texts were cut into shingles twice, for their classes and for their tables; now tables read what the classes wrote."""
+    written, materialize = {}, ngram_join.materialize
+
+    def seen(df, name):
+        written.setdefault(name, df._jdf.queryExecution().analyzed().toString())
+        return materialize(df, name)
+
+    for module in (ngram_join, minhash_dedup):
+        monkeypatch.setattr(module, "materialize", seen)
+    rows = edited_copies(6, 6, 4, 3) + [(900, None), (901, "")]
+    assert ordered(map(tuple, minhash_components(frame(spark, rows)).collect())) == brute_force(rows)
+    assert "text" in written["members"] and "keys" in written["members"]
+    assert "text" not in written["stars"] and "keys" in written["stars"]
+
+
+def test_hashes_of_ngrams_are_as_defined():
+    """Against arithmetic with Python's integers."""
+    import xxhash
+
+    mask, odd = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def one(words):
+        h = len(words)
+        for w in words:
+            h = (h + xxhash.xxh3_64_intdigest(w)) * odd & mask
+            h ^= h >> 29
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & mask
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & mask
+        return h ^ h >> 31
+
+    for text in (b"a", b"a B", b"a b c a b c A B C d", b"\xc3\x80 \xc3\xa0 x\ty\nz", b"w " * 50):
+        words = text.lower().split()
+        m = min(3, len(words))
+        assert ngram_set(text, 3, _Hashes()).tolist() == sorted({one(words[k : k + m]) for k in range(len(words) - m + 1)})
+    assert not len(ngram_set(b" \n", 3, _Hashes())) and not len(ngram_set(None, 3, _Hashes()))
